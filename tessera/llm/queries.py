@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tessera.llm import language_id, mixing, token_shards
+from tessera.llm import language_id, mixing, substring, token_shards
 
 QUERIES = {
+    "op1_substring_dedup": substring.op1_substring_dedup,
     "op10_mix": mixing.op10_mix,
     "op5_language_id": language_id.op5_language_id,
     "op9_token_shards": token_shards.op9_token_shards,
