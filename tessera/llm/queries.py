@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tessera.llm import language_id, mixing, substring, token_shards
+from tessera.llm import language_id, mixing, substring, suffix_array, token_shards
 
 QUERIES = {
+    "op7_suffix_dedup": suffix_array.op7_suffix_dedup,
     "op1_substring_dedup": substring.op1_substring_dedup,
     "op10_mix": mixing.op10_mix,
     "op5_language_id": language_id.op5_language_id,
