@@ -39,8 +39,8 @@ MAGIC, VERSION = b"TSRS", 1
 HEADER = struct.Struct("<4sIIQQI")
 #: Bits of a level for each key that is left, as BBHash has it.
 GAMMA = 2
-#: Ids of that many words are remembered by a worker; more are only encoded again.
-REMEMBERED = 250_000
+#: Ids of that many units are remembered by a worker; beyond it starts afresh.
+REMEMBERED = 3_000_000
 
 
 class PerfectHash:
@@ -101,11 +101,14 @@ def _put(fs, path: str, data: bytes) -> None:
 
 
 class Encoder:
-    """Ids of texts by a tokenizers file, one distinct word at a time.
-
-    A word runs from white space to white space.  It suits tokenizers whose pre-tokenizer drops
-    white space and whose normalizer doesn't join over it, as ``word_bpe_49k.json``; then the ids
-    of a text are those of its words, one after another.
+    """Ids of texts by a tokenizers file, one distinct unit at a time.
+
+    A unit is a word between white space or, in words that have nothing but ASCII (no apostrophe,
+    no "<") and Latin-1 letters, a run of letters or of other characters in it, for there the
+    pre-tokenizer cuts too.  It suits tokenizers whose pre-tokenizer drops white space and cuts
+    letters from other characters and whose normalizer lowers case, as ``word_bpe_49k.json``;
+    then the ids of a text are those of its units, one after another.  Ids of units that were met
+    are kept in sorted arrays, some 30 bytes a unit.
     """
 
     def __init__(self, path: str):
@@ -114,35 +117,100 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.roll = kernels.Rolling(901)
-        self.known: dict[int, list[int]] = {}
+        self.keys, self.begin, self.length = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.flat = np.zeros(0, f"<u{self.width}")
+        letter = np.zeros(256, bool)
+        letter[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+        self.ascii_letter = letter
+        self.odd = np.zeros(256, bool)
+        self.odd[[0x27, 0x3C, *range(0x80, 0x100)]] = True
+
+    def units(self, off: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, row, whether it is a run of letters) of each unit."""
+        start, end, row = kernels.words(off, raw)
+        if not len(start):
+            return start, end, row, np.zeros(0, bool)
+        odd = self.odd[raw]
+        lead = np.flatnonzero((raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] < 0xC0) & ((raw[1:] & 0xDF) != 0x97) if len(raw) > 1 else np.zeros(0, bool))
+        letter = self.ascii_letter[raw]
+        odd[lead] = odd[lead + 1] = False
+        letter[lead] = letter[lead + 1] = True
+        sums = np.concatenate([[0], np.cumsum(odd, dtype=np.int32)])
+        plain = sums[end] == sums[start]
+        inside = np.zeros(len(raw) + 1, np.int8)  # of a plain word, behind its first byte
+        inside[start[plain] + 1] += 1
+        inside[end[plain]] -= 1
+        change = np.flatnonzero((np.cumsum(inside[:-1]) > 0) & (letter != np.concatenate([letter[:1], letter[:-1]])))
+        starts = np.sort(np.concatenate([start, change]))
+        at = np.searchsorted(start, starts, side="right") - 1
+        ends = np.append(starts[1:], end[-1])
+        ends = np.minimum(ends, end[at])
+        return starts, ends, row[at], plain[at] & letter[starts]
+
+    def _encode_new(self, data: bytes, s: np.ndarray, e: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where each unit's begin, how many it has)."""
+        texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(s.tolist(), e.tolist(), strict=True)]
+        runs, rest = np.flatnonzero(letters), np.flatnonzero(~letters)
+        flat, sizes = [], []
+        for at in range(0, len(runs), 64 * 100):  # many runs as one text: each ends in one id that ends a word
+            part = runs[at : at + 64 * 100].tolist()
+            lines = [" ".join([texts[k] for k in part[i : i + 64]]) for i in range(0, len(part), 64)]
+            ids = np.concatenate([np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)])
+            cut = np.flatnonzero(self.ends[ids]) + 1
+            if len(cut) != len(part):
+                raise ValueError("this tokenizer doesn't end each run of letters by one id")
+            flat.append(ids)
+            sizes.append(np.diff(cut, prepend=0))
+        for at in range(0, len(rest), 10_000):
+            got = [x.ids for x in self.tokenizer.encode_batch_fast([texts[k] for k in rest[at : at + 10_000].tolist()], add_special_tokens=False)]
+            sizes.append(np.array([len(x) for x in got], np.int64))
+            flat.append(np.fromiter(chain.from_iterable(got), np.uint32, int(sizes[-1].sum())))
+        size = np.concatenate(sizes)
+        begin, length = np.empty(len(s), np.int64), np.empty(len(s), np.int32)
+        order = np.concatenate([runs, rest])
+        begin[order], length[order] = np.cumsum(size) - size, size
+        return np.concatenate(flat), begin, length
 
     def encode(self, off: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids by document)."""
-        start, end, row = kernels.words(off, raw)
+        start, end, row, letters = self.units(off, raw)
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(off) - 1, np.int64)
-        h = self.roll.spans(self.roll.prefix(raw), start, end)
+        low = kernels.ASCII_LOWER[raw]
+        h = self.roll.spans(self.roll.prefix(low), start, end)
         uniq, first, inv = np.unique(h, return_index=True, return_inverse=True)
-        keys = uniq.tolist()
-        new = [k for k, key in enumerate(keys) if key not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = range(len(keys))
-        data, s, e = raw.tobytes(), start[first], end[first]
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            texts = [data[s[k] : e[k]].decode("utf-8", "replace") for k in part]
-            for k, got in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                self.known[keys[k]] = got.ids
-        lists = [self.known[k] for k in keys]
-        length = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(length.sum()))
-        begin = np.cumsum(length) - length
-        ids = flat[kernels.ragged(begin[inv], length[inv])]
+        at = np.searchsorted(self.keys, uniq)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == uniq[known]
+        if not known.all():
+            if len(self.keys) > REMEMBERED:
+                self.keys, self.begin, self.length, self.flat = self.keys[:0], self.begin[:0], self.length[:0], self.flat[:0]
+                known[:] = False
+            new = np.flatnonzero(~known)
+            ids, begin, length = self._encode_new(raw.tobytes(), start[first[new]], end[first[new]], letters[first[new]])
+            begin += len(self.flat)
+            self.flat = np.concatenate([self.flat, ids.astype(self.flat.dtype)])
+            where = np.searchsorted(self.keys, uniq[new])
+            self.keys, self.begin, self.length = np.insert(self.keys, where, uniq[new]), np.insert(self.begin, where, begin), np.insert(self.length, where, length)
+            at = np.searchsorted(self.keys, uniq)
+        length = self.length[at].astype(np.int64)
+        ids = self.flat[kernels.ragged(self.begin[at][inv], length[inv])].astype(np.uint32)
         return ids, np.bincount(row, weights=length[inv], minlength=len(off) - 1).astype(np.int64)
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's own, kept from task to task with the units it has met."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def _write_shard(fs, path: str, shard: int, keys: np.ndarray, null: np.ndarray, counts: np.ndarray, width: int) -> None:
     starts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
     distinct, ordinal = np.unique(keys[~null], return_index=True)
@@ -224,7 +292,7 @@ def write_token_shards(docs: DataFrame, uri: str, tokenizer: str, end_id: int =
             if not batch.num_rows:
                 continue
             if enc is None:
-                enc, out = Encoder(tokenizer), fs.open_output_stream(tmp)
+                enc, out = encoder(tokenizer), fs.open_output_stream(tmp)
             k = batch.column(0)
             nulls.append(k.is_null().to_numpy(zero_copy_only=False))
             keys.append(k.fill_null(0).to_numpy(zero_copy_only=False))
