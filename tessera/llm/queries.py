@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tessera.llm import language_id, mixing, substring, suffix_array, token_shards
+from tessera.llm import embedding_dedup, language_id, mixing, substring, suffix_array, token_shards, topk_nra
 
 QUERIES = {
+    "op2_topk": topk_nra.op2_topk,
+    "op3_embedding_dedup": embedding_dedup.op3_embedding_dedup,
     "op7_suffix_dedup": suffix_array.op7_suffix_dedup,
     "op1_substring_dedup": substring.op1_substring_dedup,
     "op10_mix": mixing.op10_mix,
     "op5_language_id": language_id.op5_language_id,
     "op9_token_shards": token_shards.op9_token_shards,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_topk": topk_nra.OP2_SQL}
