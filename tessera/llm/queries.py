@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tessera.llm import embedding_dedup, language_id, mixing, substring, suffix_array, token_shards, topk_nra
+from tessera.llm import embedding_dedup, jaccard_join, language_id, mixing, substring, suffix_array, token_shards, topk_nra
 
 QUERIES = {
+    "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op2_topk": topk_nra.op2_topk,
     "op3_embedding_dedup": embedding_dedup.op3_embedding_dedup,
     "op7_suffix_dedup": suffix_array.op7_suffix_dedup,
