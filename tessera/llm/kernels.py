@@ -17,6 +17,8 @@ CHUNK_BYTES = 3 << 20
 #: Space and the control characters from tab to carriage return separate words.
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+#: All ASCII but letters.
+NO_LETTER = np.array([b < 0x80 and not chr(b).isalpha() for b in range(256)])
 ASCII_LOWER = np.arange(256, dtype=np.uint8)
 ASCII_LOWER[0x41:0x5B] += 0x20
 
@@ -91,12 +93,12 @@ def pieces(column, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarr
         i = j
 
 
-def words(off: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(off: np.ndarray, raw: np.ndarray, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, row) of every maximal run of other bytes than separators, within its row."""
     if not len(raw):
         none = np.zeros(0, np.int64)
         return none, none, none
-    inside = ~SEPARATOR[raw]
+    inside = ~separator[raw]
     before = np.empty_like(inside)
     before[0] = False
     before[1:] = inside[:-1]

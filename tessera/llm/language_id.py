@@ -5,8 +5,8 @@ a word is the sum over all its segmentations into pieces, by a forward pass over
 lattice; a text is the product of its words.  The piece probabilities are fitted by expectation
 maximisation on a bounded sample of labelled texts.
 
-Words are lower-cased in ASCII and cut at white space, each behind the mark of a space.  A text
-has few distinct words, so each batch scores its distinct words once and adds up by document.
+Words are runs of letters (all that isn't ASCII counts as one), lower-cased in ASCII, each behind a
+space.  Words repeat, so a worker scores a word once and adds up by document.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; a table without
 labelled rows to learn from makes every text ``und``; a repeated row is predicted again; columns
@@ -28,13 +28,15 @@ from tessera.llm import common, kernels
 from tessera.llm.lattice import Vocabulary, prefixed, rectangles
 
 #: Bound of the training sample: texts of each language, those with the least hashed ids.
-SAMPLE_DOCS = 250
+SAMPLE_DOCS = 200
 ROUNDS = 3
 #: Pseudo-count of each piece in each language.
 SMOOTHING = 0.02
 #: Each byte's probability is multiplied by this, so that long words stay within doubles.
 LIFT = float(np.exp(2.0))
 UNKNOWN = "und"
+#: Scores of that many words are remembered by a worker; beyond it starts afresh.
+REMEMBERED = 2_000_000
 
 
 @dataclass
@@ -62,17 +64,17 @@ def _lifted(v: Vocabulary, probability: np.ndarray) -> np.ndarray:
 def forward(v: Vocabulary, lifted: np.ndarray, raw: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Log probability of each word (rows) in each language (columns), all segmentations summed."""
     groups = lifted.shape[1]
-    match = v.matches(raw)
+    prefix = v.roll.prefix(raw)
     out = np.zeros((len(start), groups))
     for size, part in rectangles(start, length):
         alpha = np.zeros((size + 1, len(part), groups))
         alpha[0] = 1
         scale = np.zeros(len(part))
-        at = start[part]
+        match = v.matches(prefix, raw, start[part], size)
         for j in range(1, size + 1):
             total = alpha[j]
             for n in range(1, min(j, v.longest) + 1):
-                piece = match[n - 1][at + j - n]
+                piece = match[n - 1][:, j - n]
                 some = np.flatnonzero(piece >= 0)
                 if len(some):
                     total[some] += alpha[j - n, some] * lifted[piece[some]]
@@ -99,7 +101,7 @@ def fit(texts: list[str], labels: list[str], path: str, rounds: int = ROUNDS, sm
         return LanguageModel([], p, path)
     off = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])]).astype(np.int64)
     raw = kernels.ASCII_LOWER[np.frombuffer("".join(texts).encode(), np.uint8)]
-    start, end, row = kernels.words(off, raw)
+    start, end, row = kernels.words(off, raw, kernels.NO_LETTER)
     if not len(start):
         return LanguageModel(languages, p, path)
     roll = kernels.Rolling(77)
@@ -108,20 +110,20 @@ def fit(texts: list[str], labels: list[str], path: str, rounds: int = ROUNDS, sm
     count = np.zeros((len(first), groups))
     np.add.at(count, (inv, group), 1)
     buf, begin, length = prefixed(raw, start[first], end[first])
-    match = v.matches(buf)
+    prefix = v.roll.prefix(buf)
     for _ in range(rounds):
         lifted = _lifted(v, p)
         expected = np.zeros_like(p)
         for size, part in rectangles(begin, length):
             if size > 200:  # such words say little about pieces
                 continue
-            at = begin[part]
+            match = v.matches(prefix, buf, begin[part], size)
             alpha, beta = np.zeros((size + 1, len(part), groups)), np.zeros((size + 1, len(part), groups))
             alpha[0] = beta[size] = 1
             edges = []
             for j in range(1, size + 1):
                 for n in range(1, min(j, v.longest) + 1):
-                    piece = match[n - 1][at + j - n]
+                    piece = match[n - 1][:, j - n]
                     some = np.flatnonzero(piece >= 0)
                     if len(some):
                         edges.append((j - n, j, some, piece[some]))
@@ -144,19 +146,42 @@ class Scorer:
         self.model, self.v = model, vocabulary(model.vocabulary)
         self.lifted = _lifted(self.v, model.probability)
         self.roll = kernels.Rolling(77)
+        self.keys, self.known = np.zeros(0, np.uint64), np.zeros((0, len(model.languages)))
 
     def score(self, off: np.ndarray, raw: np.ndarray) -> np.ndarray:
         """Log probability of each document (rows) in each language (columns)."""
         n, groups = len(off) - 1, len(self.model.languages)
         raw = kernels.ASCII_LOWER[raw]
-        start, end, row = kernels.words(off, raw)
+        start, end, row = kernels.words(off, raw, kernels.NO_LETTER)
         if not len(start):
             return np.zeros((n, groups))
-        _, first, inv = np.unique(self.roll.spans(self.roll.prefix(raw), start, end), return_index=True, return_inverse=True)
-        word = forward(self.v, self.lifted, *prefixed(raw, start[first], end[first]))
+        uniq, first, inv = np.unique(self.roll.spans(self.roll.prefix(raw), start, end), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.keys, uniq)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == uniq[known]
+        if not known.all():
+            if len(self.keys) > REMEMBERED:
+                self.keys, self.known = self.keys[:0], self.known[:0]
+                known[:] = False
+            new = np.flatnonzero(~known)
+            got = forward(self.v, self.lifted, *prefixed(raw, start[first[new]], end[first[new]]))
+            where = np.searchsorted(self.keys, uniq[new])
+            self.keys, self.known = np.insert(self.keys, where, uniq[new]), np.insert(self.known, where, got, axis=0)
+            at = np.searchsorted(self.keys, uniq)
+        word = self.known[at]
         return np.stack([np.bincount(row, weights=word[inv, g], minlength=n) for g in range(groups)], axis=1)
 
 
+_SCORERS: list[Scorer] = []
+
+
+def _scorer(model: LanguageModel) -> Scorer:
+    """The worker's own, kept from task to task with the words it has scored."""
+    if not _SCORERS or _SCORERS[0].model is not model:
+        _SCORERS[:] = [Scorer(model)]
+    return _SCORERS[0]
+
+
 def has_letter(off: np.ndarray, raw: np.ndarray) -> np.ndarray:
     """Whether each text has a letter; only texts without an ASCII one are looked at by character."""
     low = raw | 0x20
@@ -194,9 +219,8 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept) + ", lang_pred string, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = None
         for batch in batches:
-            scorer = scorer or Scorer(shared.value)
+            scorer = _scorer(shared.value)
             names = np.array(scorer.model.languages or [UNKNOWN])
             where = batch.schema.get_field_index("text")
             for i, j, off, raw in kernels.pieces(batch.column(where)):

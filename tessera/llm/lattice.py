@@ -13,7 +13,9 @@ import numpy as np
 
 from tessera.llm import kernels
 
-SPACE = "▁".encode()
+#: How the file marks a space in a piece; here it is a space again, a single byte.
+MARK = "▁".encode()
+SPACE = 0x20
 
 
 class Vocabulary:
@@ -33,9 +35,9 @@ class Vocabulary:
                 self.byte_ids[int(text[1:-1], 16)] = i
                 self.texts.append(bytes([int(text[1:-1], 16)]))
             else:
-                self.texts.append(text.encode())
+                self.texts.append(text.encode().replace(MARK, b" "))
                 # pieces with a space in any other place than the first cross words
-                if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) and score[i] > -1e8 and SPACE not in self.texts[-1][1:]:
+                if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) and score[i] > -1e8 and b" " not in self.texts[-1][1:]:
                     plain.append(i)
         self.size = len(self.texts)
         self.score = score
@@ -69,22 +71,20 @@ class Vocabulary:
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Piece of each hash, -1 for none."""
-        out = np.full(len(h), -1, np.int32)
+        out = np.full(h.shape, -1, np.int32)
         for k, bits, hashes, found in self.tables:
             slot = (kernels.mix(h ^ np.uint64(k)) >> np.uint64(64 - bits)).astype(np.int64)
             out = np.where(hashes[slot] == h, found[slot], out)
         return out
 
-    def matches(self, raw: np.ndarray) -> list[np.ndarray]:
-        """For each length from 1 to the longest, the piece that starts at each place, or -1."""
-        prefix = self.roll.prefix(raw)
+    def matches(self, prefix: np.ndarray, raw: np.ndarray, start: np.ndarray, size: int) -> list[np.ndarray]:
+        """For words of that size: by length n from 1, pieces (words x places) of n bytes, -1 for none."""
         out = []
-        for n in range(1, self.longest + 1):
-            ids = np.full(len(raw), -1, np.int32)
-            got = self.find(self.roll.windows(prefix, n))
-            ids[: len(got)] = got
+        for n in range(1, min(size, self.longest) + 1):
+            at = start[:, None] + np.arange(size - n + 1)
+            ids = self.find(self.roll.spans(prefix, at, at + n))
             if n == 1:
-                ids = np.where(ids < 0, self.byte_ids[raw], ids)
+                ids = np.where(ids < 0, self.byte_ids[raw[at]], ids)
             out.append(ids)
         return out
 
@@ -98,12 +98,11 @@ def rectangles(start: np.ndarray, length: np.ndarray) -> Iterator[tuple[int, np.
 
 
 def prefixed(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words copied one after another, each behind the mark of a space: (bytes, start, length)."""
+    """Words copied one after another, each behind a space: (bytes, start, length)."""
     size = end - start
-    length = size + len(SPACE)
+    length = size + 1
     begin = np.cumsum(length) - length
     out = np.empty(int(length.sum()), np.uint8)
-    for k, b in enumerate(SPACE):
-        out[begin + k] = b
-    out[kernels.ragged(begin + len(SPACE), size)] = raw[kernels.ragged(start, size)]
+    out[begin] = SPACE
+    out[kernels.ragged(begin + 1, size)] = raw[kernels.ragged(start, size)]
     return out, begin, length
