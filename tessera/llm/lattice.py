@@ -36,8 +36,8 @@ class Vocabulary:
                 self.texts.append(bytes([int(text[1:-1], 16)]))
             else:
                 self.texts.append(text.encode().replace(MARK, b" "))
-                # pieces with a space in any other place than the first cross words
-                if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) and score[i] > -1e8 and b" " not in self.texts[-1][1:]:
+                # pieces with a space behind the first byte, or with a control character, cross words
+                if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) and score[i] > -1e8 and b" " not in self.texts[-1][1:] and (len(self.texts[-1]) == 1 or min(self.texts[-1]) >= 0x20):
                     plain.append(i)
         self.size = len(self.texts)
         self.score = score

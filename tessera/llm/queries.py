@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tessera.llm import embedding_dedup, jaccard_join, language_id, line_dedup, mixing, substring, suffix_array, token_shards, topk_nra
+from tessera.llm import embedding_dedup, jaccard_join, language_id, line_dedup, mixing, sentencepiece_nbest, substring, suffix_array, token_shards, topk_nra
 
 QUERIES = {
+    "op4_sentencepiece": sentencepiece_nbest.op4_sentencepiece,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op2_topk": topk_nra.op2_topk,
