@@ -1,19 +1,23 @@
 """N-gram Jaccard join by T-occurrence search over inverted lists (operator 8).
 
 A document is the set of its distinct runs of four words.  Two link at 85 % of their union, so a
-document of n shingles shares at least T = ceil(0.85 n) of them with any partner.  Lists are kept
-for the least T's complement plus l of a document's shingles, in hash order: partners share at
-least the lesser of their two l there (the prefix principle).
-
-1. Lists.  Each bucket of hashes merges its sorted lists.  Lists of one document are dropped, the
-   rest are short or, beyond ``SHORT`` documents, long.
-2. Collapse.  Each document is compared with the partner that leads most of its lists; sets that
-   link already share a component and need not be compared again.  Equal sets are one class.
-3. Search, as in DivideSkip.  Short lists are merged and pairs in different components counted;
+document of n shingles shares at least T = ceil(0.85 n) of them with any partner.
+
+1. Active documents.  Buckets of hashes tell how many of a hashed part of a document's shingles no
+   other document has.  Where these alone leave fewer than T, nothing can link; most go here.
+   Equal sets are one class, of which the least document goes on.
+2. Lists.  The active documents' shingles are merged into sorted inverted lists.  A document of n
+   shingles and u of its own shares at most n - u, which bounds every pair: of a pair that links
+   the smaller has u <= 8.1 % of n.  Lists are kept for each document's least T's complement plus
+   l of its shingles, its own ones first, then in hash order: partners share at least the lesser
+   of their two l there (the prefix principle).  Lists are short or, beyond ``SHORT``, long.
+3. Collapse.  Each document is compared with the partner that leads most of its lists; sets that
+   link already share a component and need not be compared again.
+4. Search, as in DivideSkip.  Short lists are merged and pairs in different components counted;
    a pair that reaches the threshold less the long lists it could share is a candidate, and its
    long lists are probed by binary search when the whole sets are compared.  Only documents whose
-   long lists alone could reach the threshold are paired from the long lists, and again only over
-   different components: that is the exact way for the rest, and it costs what is left to decide.
+   long lists alone could reach the threshold are paired from the long lists, again only over
+   different components and within the bound of 2: that is the exact way for the rest.
 
 No task holds a group: sets travel to their partner with a salt, the partner once per salt.  A
 large group of near copies costs one comparison a copy.
@@ -33,11 +37,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import common, kernels
+from tessera.llm.substring import ENTRY_SQL, HIT_SQL, by_document, doc_bucket, hit_rows, packed, unpacked
 
 WORDS = 4
 PERCENT = 85
 #: l as a part of a set.
 EXTRA = 0.04
+#: The part of all hashes in which step 1 looks for shingles of one document.
+SAMPLED = np.uint64(int(0.4 * 2**64))
+#: Parts of all hashes, in order, in which a document's list ends.
+LEVELS = 32
 #: Documents of a short list.
 SHORT = 24
 #: Sets that one copy of a partner meets.
@@ -82,7 +91,7 @@ def extra(n):
     return np.maximum(1, (np.asarray(n) * EXTRA).astype(np.int64))
 
 
-_META = "doc_id long, n long, k1 long, k2 long"
+_META = "doc_id long, n long, sampled long, k1 long, k2 long"
 
 
 def _meta(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +101,62 @@ def _meta(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first, g = s.sets(off, raw)
             k = [np.concatenate([[U64(0)], np.cumsum(kernels.mix(g ^ U64(c)))]) for c in (0x51ED270B, 0x2545F491)]
             k = [(x[first[1:]] - x[first[:-1]]).view(np.int64) for x in k]
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(np.diff(first)), pa.array(k[0]), pa.array(k[1])], ["doc_id", "n", "k1", "k2"])
+            part = np.concatenate([[0], np.cumsum(g < SAMPLED)])
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(np.diff(first)), pa.array(part[first[1:]] - part[first[:-1]]), pa.array(k[0]), pa.array(k[1])], ["doc_id", "n", "sampled", "k1", "k2"])
+
+
+def _sampled(n_buckets: int):
+    """Entries of a hashed part of all shingles for their buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = Shingler()
+        for b in batches:
+            keys = b.column(0).to_numpy(zero_copy_only=False)
+            for i, j, off, raw in kernels.pieces(b.column(1)):
+                first, g = s.sets(off, raw)
+                own = np.flatnonzero(g < SAMPLED)
+                if not len(own):
+                    continue
+                h, d = kernels.mix(g[own]), keys[i:j][np.searchsorted(first, own, side="right") - 1]
+                order = np.lexsort((d, h))
+                h, d = h[order], d[order]
+                same = (h[1:] == h[:-1]) & (d[1:] != d[:-1])
+                again = np.zeros(len(h), bool)  # shared by documents of this chunk: settled here, one goes on
+                again[1:] |= same
+                again[:-1] |= same
+                new = np.concatenate([[True], h[1:] != h[:-1]])
+                zero = np.zeros(len(h), np.int32)
+                if again.any():
+                    yield packed(doc_bucket(d[again], n_buckets), zero[again], zero[again], d[again], zero[again], True)
+                yield packed((h[new] % U64(n_buckets)).astype(np.int32), (h[new] >> U64(32)).astype(np.uint32), again[new].astype(np.uint8), d[new], zero[new], False)
+
+    return run
+
+
+def _shared(n: int):
+    """One hit for each entry whose shingle another document has as well."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have: dict[int, list[pa.RecordBatch]] = {}
+        for b in batches:
+            for k in range(b.num_rows):
+                one = b.slice(k, 1)
+                if one.column(6)[0].as_py():
+                    _, _, d, p = unpacked([one], np.int32, np.int32)
+                    yield from hit_rows(d, p, n)
+                else:
+                    have.setdefault(one.column(0)[0].as_py(), []).append(one)
+        for parts in have.values():
+            h, settled, d, p = unpacked(parts, np.uint32, np.uint8)
+            order = np.lexsort((d, h))
+            h, d, settled = h[order], d[order], settled[order].astype(bool)
+            group = np.cumsum(np.concatenate([[True], h[1:] != h[:-1]])) - 1
+            several = np.zeros(group[-1] + 1, bool)
+            several[group[1:][(h[1:] == h[:-1]) & (d[1:] != d[:-1])]] = True
+            hit = several[group] & ~settled
+            yield from hit_rows(d[hit], np.zeros(hit.sum(), np.int32), n)
+
+    return run
 
 
 _POST = pa.schema([("bucket", pa.int32()), ("h", pa.binary()), ("d", pa.binary()), ("n", pa.binary())])
@@ -104,11 +168,8 @@ def _postings(n_buckets: int):
         for b in batches:
             keys = b.column(0).to_numpy(zero_copy_only=False)
             for i, j, off, raw in kernels.pieces(b.column(1)):
-                first, g = s.sets(off, raw)
-                n = np.diff(first)
-                take = np.where(n > 0, np.minimum(n, n - required(n) + extra(n)), 0)
-                at = kernels.ragged(first[:-1], take)
-                h, d = g[at], np.repeat(keys[i:j], take)
+                first, h = s.sets(off, raw)
+                d = np.repeat(keys[i:j], np.diff(first))
                 if not len(h):
                     continue
                 bucket = (kernels.mix(h) % U64(n_buckets)).astype(np.int32)
@@ -125,79 +186,157 @@ def _postings(n_buckets: int):
     return run
 
 
-_LISTS = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("other", pa.int64()), ("hits", pa.int64()), ("short", pa.binary()), ("long", pa.binary())])
-_LISTS_SQL = "kind int, bucket int, doc_id long, other long, hits long, short binary, long binary"
+#: kind 0: a bucket's lists, by document; kind 1: leaders of lists; kind 2: facts of documents.
+_LISTS = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("tokens", pa.binary()), ("long", pa.binary())])
+_LISTS_SQL = "kind int, bucket int, docs binary, counts binary, tokens binary, long binary"
+_LED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("hits", pa.int64())])
+_FACTS = pa.schema([("doc_id", pa.int64()), ("shared", pa.binary()), ("long", pa.binary())])
 
 
-def _merge_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lists of two documents or more, by document (kind 0), and leaders of lists (kind 1)."""
+def level(h: np.ndarray) -> np.ndarray:
+    return (h >> U64(59)).astype(np.int64)
+
+
+def _merge_lists(n_buckets: int):
+    """The lists of two documents or more; what leads them; how many each document has by level."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have: dict[int, list] = {}
+        for b in batches:
+            for r in b.to_pylist():
+                have.setdefault(r["bucket"], []).append(r)
+        for bucket, parts in have.items():
+            h = common.joined([r["h"] for r in parts], U64)
+            d = np.repeat(common.joined([r["d"] for r in parts], np.int64), common.joined([r["n"] for r in parts], np.uint32))
+            order = np.lexsort((d, h))
+            h, d = h[order], d[order]
+            keep = np.concatenate([[True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])])  # rows that repeat a document
+            h, d = h[keep], d[keep]
+            new = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            size = np.diff(np.append(new, len(h)))
+            of = np.repeat(np.arange(len(new)), size)
+            many = size[of] > 1
+            lead = d[new][of]
+            led = many & (d != lead) & (level(h) == 0)  # a part of the lists is enough to find a leader
+            for kind, x, y in ((1, d[led], lead[led]),):
+                if len(x):
+                    yield from _by_bucket(kind, n_buckets, x, y, np.zeros(len(x), np.uint8))
+            h, d, long = h[many], d[many], (size[of][many] > SHORT).astype(np.uint8)
+            if len(h):
+                yield from _by_bucket(2, n_buckets, d, level(h), long)
+                order = np.lexsort((h, d))
+                h, d, long = h[order], d[order], long[order]
+                at = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
+                yield common.rows(_LISTS, [0], [bucket], [d[at].tobytes()], [np.diff(np.append(at, len(d))).astype(np.uint32).tobytes()], [h.tobytes()], [long.tobytes()])
+
+    return run
+
+
+def _by_bucket(kind: int, n: int, d: np.ndarray, v: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Values and flags of documents, a row for each bucket of documents."""
+    bucket = doc_bucket(d, n)
+    order = np.lexsort((v, d, bucket))
+    bucket, d, v, f = bucket[order], d[order], v[order], f[order]
+    edge = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(d)]]).tolist()
+    cols: list[list] = [[], [], [], [], []]
+    for x, y in zip(edge[:-1], edge[1:], strict=True):
+        at = np.flatnonzero(np.concatenate([[True], d[x + 1 : y] != d[x : y - 1]]))
+        for c, w in zip(cols, (int(bucket[x]), d[x:y][at].tobytes(), np.diff(np.append(at, y - x)).astype(np.uint32).tobytes(), v[x:y].astype(np.int64).tobytes(), f[x:y].tobytes()), strict=True):
+            c.append(w)
+    yield common.rows(_LISTS, [kind] * len(cols[0]), *cols)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     have: dict[int, list] = {}
     for b in batches:
         for r in b.to_pylist():
             have.setdefault(r["bucket"], []).append(r)
-    for bucket, parts in have.items():
-        h = common.joined([r["h"] for r in parts], U64)
-        d = np.repeat(common.joined([r["d"] for r in parts], np.int64), common.joined([r["n"] for r in parts], np.uint32))
-        order = np.lexsort((d, h))
-        h, d = h[order], d[order]
-        keep = np.concatenate([[True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])])  # rows that repeat a document
-        h, d = h[keep], d[keep]
-        new = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        size = np.diff(np.append(new, len(h)))
-        of = np.repeat(np.arange(len(new)), size)
-        many = size[of] > 1
-        lead = d[new][of]
-        led = many & (d != lead) & (h >> U64(61) == 0)  # an eighth of the lists is enough to find a leader
-        if led.any():
-            x, y = d[led], lead[led]
-            order = np.lexsort((y, x))
-            x, y = x[order], y[order]
-            at = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
-            n = len(at)
-            yield common.rows(_LISTS, np.ones(n, np.int32), np.full(n, bucket, np.int32), x[at], y[at], np.diff(np.append(at, len(x))), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()))
-        h, d, long = h[many], d[many], size[of][many] > SHORT
-        if not len(h):
+    for parts in have.values():
+        d = np.repeat(common.joined([r["docs"] for r in parts], np.int64), common.joined([r["counts"] for r in parts], np.uint32))
+        yield d, common.joined([r["tokens"] for r in parts], np.int64), common.joined([r["long"] for r in parts], np.uint8)
+
+
+def _leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each document the one that leads most of its lists."""
+    for d, v, _ in _gathered(batches):
+        order = np.lexsort((v, d))
+        d, v = d[order], v[order]
+        at = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (v[1:] != v[:-1])]))
+        hits = np.diff(np.append(at, len(d)))
+        d, v = d[at], v[at]
+        order = np.lexsort((v, -hits, d))
+        best = order[np.concatenate([[True], np.diff(d[order]) != 0])]
+        yield common.rows(_LED, d[best], v[best], hits[best])
+
+
+def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each document how many shared shingles it has up to each level, and in long lists."""
+    for d, v, f in _gathered(batches):
+        ids, inv = np.unique(d, return_inverse=True)
+        shared, long = np.zeros((len(ids), LEVELS), np.int64), np.zeros((len(ids), LEVELS), np.int64)
+        np.add.at(shared, (inv, v), 1)
+        np.add.at(long, (inv, v), f)
+        yield common.rows(_FACTS, ids, [x.tobytes() for x in shared.cumsum(axis=1)], [x.tobytes() for x in long.cumsum(axis=1)])
+
+
+_CUT_SQL = "doc_id long, n long, own long, cut int, n_long long"
+
+
+def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Up to which level each document's lists are kept; documents that can't link go."""
+    for b in batches:
+        if not b.num_rows:
             continue
-        order = np.lexsort((h, d))
-        h, d, long = h[order], d[order], long[order]
-        edge = np.concatenate([[0], np.flatnonzero(np.diff(d)) + 1, [len(d)]])
-        short_, long_, n_long = [], [], []
-        for x, y in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-            own = long[x:y]
-            short_.append(h[x:y][~own].tobytes())
-            long_.append(h[x:y][own].tobytes())
-            n_long.append(int(own.sum()))
-        n = len(short_)
-        yield common.rows(_LISTS, np.zeros(n, np.int32), np.full(n, bucket, np.int32), d[edge[:-1]], pa.nulls(n, pa.int64()), n_long, short_, long_)
+        n = b.column(1).to_numpy()
+        shared = np.stack([np.frombuffer(x, np.int64) for x in b.column(2).to_pylist()])
+        long = np.stack([np.frombuffer(x, np.int64) for x in b.column(3).to_pylist()])
+        own = n - shared[:, -1]
+        need = n - required(n) + extra(n) - own  # after the document's own shingles
+        cut = np.minimum((shared < need[:, None]).sum(axis=1), LEVELS - 1)
+        ok = np.flatnonzero(n - own >= required(n))
+        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(ok)), pa.array(n[ok]), pa.array(own[ok]), pa.array(cut[ok].astype(np.int32)), pa.array(long[ok, cut[ok]])], ["doc_id", "n", "own", "cut", "n_long"])
 
 
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("by_short", pa.int64()), ("by_long", pa.int64())])
 
 
-def _cross(token: np.ndarray, doc: np.ndarray, comp: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of places in one list whose components differ and whose sizes allow a link."""
-    order = np.lexsort((doc, token))
-    token, place = token[order], order
+def may_link(n_x, own_x, n_y, own_y):
+    """Whether what two sets don't have alone lets them link: 185 overlaps >= 85 sizes."""
+    return 185 * np.minimum(n_x - own_x, n_y - own_y) >= PERCENT * (n_x + n_y)
+
+
+def _cross(token: np.ndarray, who: np.ndarray, n: np.ndarray, own: np.ndarray, comp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of one list whose components differ and that may link, each list's in turn."""
+    order = np.lexsort((n[who], token))  # the smaller set first
+    token, who = token[order], who[order]
     new = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
     size = np.diff(np.append(new, len(token)))
-    mixed = np.maximum.reduceat(comp[place], new) != np.minimum.reduceat(comp[place], new)
+    mixed = np.maximum.reduceat(comp[who], new) != np.minimum.reduceat(comp[who], new)
     small = size <= SHORT
     live = np.repeat(mixed & small, size)
     for shift in range(1, int(size[mixed & small].max(initial=1))):
         i = np.flatnonzero(live[:-shift] & (token[:-shift] == token[shift:]))
         if not len(i):
             break
-        yield place[i], place[i + shift]
+        yield who[i], who[i + shift]
     for k in np.flatnonzero(mixed & ~small).tolist():
-        own = place[new[k] : new[k] + size[k]]
-        own = own[np.argsort(comp[own], kind="stable")]
-        c = comp[own]
-        after = np.searchsorted(c, c, side="right")  # all behind the own component
-        left = np.flatnonzero(after < len(own))
-        for at in range(0, len(left), 256):
-            some = left[at : at + 256]
-            count = len(own) - after[some]
-            yield np.repeat(own[some], count), own[kernels.ragged(after[some], count)]
+        m = who[new[k] : new[k] + size[k]]
+        tight = np.flatnonzero(may_link(n[m], own[m], n[m], 0))  # of a pair the smaller shares almost all it has
+        last = np.searchsorted(n[m] * PERCENT, n[m][tight] * 100, side="right")
+        names, count = np.unique(comp[m], return_counts=True)
+        out = comp[m] != names[count.argmax()]  # members of the largest component only meet others
+        for side, to in ((~out[tight], np.flatnonzero(out)), (out[tight], np.arange(len(m)))):
+            first = np.searchsorted(to, tight[side], side="right")
+            yield from _ranges(m, tight[side], to, first, np.maximum(first, np.searchsorted(to, last[side])))
+
+
+def _ranges(m, left, to, first, stop) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each of ``left`` with its range of ``to``, a bounded number of pairs at a time."""
+    count, at = stop - first, 0
+    while at < len(left):
+        end = max(at + 1, int(np.searchsorted(np.cumsum(count[at:]), 1 << 20, side="right")) + at)
+        yield np.repeat(m[left[at:end]], count[at:end]), m[to[kernels.ragged(first[at:end], count[at:end])]]
+        at = end
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,29 +347,40 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             have.setdefault(r["bucket"], []).append(r)
     for parts in have.values():
         ids = np.array([r["doc_id"] for r in parts])
-        n, comp = np.array([r["n"] for r in parts]), np.array([r["comp"] for r in parts])
+        n, own, comp, cut = (np.array([r[k] for r in parts]) for k in ("n", "own", "comp", "cut"))
         heavy = np.array([r["n_long"] for r in parts]) >= extra(n)
-        total: dict[str, list] = {"short": [], "long": []}
-        for kind, use in (("short", np.ones(len(parts), bool)), ("long", heavy)):
-            tokens = [np.frombuffer(r[kind], U64) if u and r[kind] else np.zeros(0, U64) for r, u in zip(parts, use, strict=True)]
-            size = np.array([len(t) for t in tokens])
-            if not size.sum():
+        size = np.array([len(r["long"]) for r in parts])
+        who = np.repeat(np.arange(len(parts)), size)
+        token = common.joined([r["tokens"] for r in parts], U64)
+        long = common.joined([r["long"] for r in parts], np.uint8).astype(bool)
+        kept = level(token) <= cut[who]
+        total: list[list] = [[], []]
+        for kind, use in ((0, kept & ~long), (1, kept & long & heavy[who])):
+            if not use.any():
                 continue
-            who = np.repeat(np.arange(len(parts)), size)
-            for i, j in _cross(np.concatenate(tokens), ids[who], comp[who], n[who]):
-                x, y = who[i], who[j]
-                ok = (comp[x] != comp[y]) & (100 * np.minimum(n[x], n[y]) >= PERCENT * np.maximum(n[x], n[y]))
+            for x, y in _cross(token[use], who[use], n, own, comp):
+                ok = (comp[x] != comp[y]) & may_link(n[x], own[x], n[y], own[y])
                 x, y = x[ok], y[ok]
                 x, y = np.where(ids[x] < ids[y], x, y), np.where(ids[x] < ids[y], y, x)
-                total[kind].append(np.unique(x * np.int64(len(parts)) + y, return_counts=True))
-        if not (total["short"] or total["long"]):
+                if len(x):
+                    total[kind].append(np.unique(x * np.int64(len(parts)) + y, return_counts=True))
+        if not (total[0] or total[1]):
             continue
-        pairs = np.concatenate([p for k in total.values() for p, _ in k])
-        s = np.concatenate([c for _, c in total["short"]] + [np.zeros(len(c), np.int64) for _, c in total["long"]])
-        g = np.concatenate([np.zeros(len(c), np.int64) for _, c in total["short"]] + [c for _, c in total["long"]])
-        pairs, inv = np.unique(pairs, return_inverse=True)
-        if len(pairs):
-            yield common.rows(_PAIRS, ids[pairs // len(parts)], ids[pairs % len(parts)], np.bincount(inv, weights=s).astype(np.int64), np.bincount(inv, weights=g).astype(np.int64))
+        pairs, inv = np.unique(np.concatenate([p for k in total for p, _ in k]), return_inverse=True)
+        counts = [np.concatenate([c * (k == kind) for k in (0, 1) for _, c in total[k]]) for kind in (0, 1)]
+        yield common.rows(_PAIRS, ids[pairs // len(parts)], ids[pairs % len(parts)], *[np.bincount(inv, weights=c).astype(np.int64) for c in counts])
+
+
+_ROWS = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("tokens", pa.binary()), ("long", pa.binary())])
+
+
+def _list_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for r in b.to_pylist():
+            ids, count = np.frombuffer(r["docs"], np.int64), np.frombuffer(r["counts"], np.uint32).astype(np.int64)
+            edge = np.concatenate([[0], np.cumsum(count)]).tolist()
+            t, f = r["tokens"], r["long"]
+            yield common.rows(_ROWS, np.full(len(ids), r["bucket"], np.int32), ids, [t[8 * x : 8 * y] for x, y in zip(edge[:-1], edge[1:], strict=True)], [f[x:y] for x, y in zip(edge[:-1], edge[1:], strict=True)])
 
 
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -279,30 +429,35 @@ def link_components(docs: DataFrame) -> DataFrame:
     meta = common.stored(docs.mapInArrow(_meta, _META), "jaccard-sets")
     some = meta.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     reps = some.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"))
-    attrs = common.stored(some.join(reps, ["n", "k1", "k2"]).select("doc_id", "n", "rep").distinct(), "jaccard-classes")
-    lists = common.stored(common.exchange(keyed.mapInArrow(_postings(n), "bucket int, h binary, d binary, n binary"), n).mapInArrow(_merge_lists, _LISTS_SQL), "jaccard-lists")
-    # collapse: each representative meets the leader of most of its lists
-    own = attrs.where("doc_id = rep").select("doc_id", "n")
-    led = lists.where("kind = 1").groupBy("doc_id", "other").agg(F.sum("hits").alias("hits"))
-    led = led.join(own, "doc_id").join(attrs.select(F.col("doc_id").alias("other"), "rep", F.col("n").alias("m")), "other").where((F.col("rep") != F.col("doc_id")) & (100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m")))
-    best = led.groupBy("doc_id").agg(F.max(F.struct("hits", (-F.col("rep")).alias("r"))).alias("m")).select(F.col("doc_id").alias("a"), (-F.col("m.r")).alias("b"))
-    links = compare(keyed, best)
+    classes = common.stored(some.join(reps, ["n", "k1", "k2"]).select("doc_id", "n", "sampled", "rep").distinct(), "jaccard-classes")
+    # 1. documents that can link at all
+    shared = by_document(common.exchange(keyed.mapInArrow(_sampled(n), ENTRY_SQL), n).mapInArrow(_shared(n), HIT_SQL), n).select("doc_id", (F.length("at") / 4).cast("long").alias("shared"))
+    least = F.floor((PERCENT * F.col("n") + 99) / 100)
+    can = classes.where("doc_id = rep").join(shared.hint("merge"), "doc_id", "left").where(F.col("n") - F.col("sampled") + F.coalesce("shared", F.lit(0)) >= least).select("doc_id", "n")
+    active = common.stored(keyed.join(can.hint("merge"), "doc_id").select("doc_id", "text", "n"), "jaccard-active")
+    # 2. their lists
+    lists = common.stored(common.exchange(active.mapInArrow(_postings(n), "bucket int, h binary, d binary, n binary"), n).mapInArrow(_merge_lists(n), _LISTS_SQL), "jaccard-lists")
+    kind = lambda k: lists.where(F.col("kind") == k)
+    facts = common.exchange(kind(2), n).mapInArrow(_facts, "doc_id long, shared binary, long binary")
+    facts = common.stored(active.select("doc_id", "n").distinct().join(facts, "doc_id").select("doc_id", "n", "shared", "long").mapInArrow(_cuts, _CUT_SQL), "jaccard-facts")
+    # 3. collapse: each document meets the leader of most of its lists
+    led = common.exchange(kind(1), n).mapInArrow(_leaders, "a long, b long, hits long")
+    fact = lambda x: facts.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("own").alias(f"u_{x}"), F.col("n_long").alias(f"l_{x}"))
+    close = 185 * F.least(F.col("n_a") - F.col("u_a"), F.col("n_b") - F.col("u_b")) >= PERCENT * (F.col("n_a") + F.col("n_b"))
+    links = compare(active, led.join(fact("a"), "a").join(fact("b"), "b").where(close).select("a", "b"))
     comp = common.components(links)
-    # search over what different components still share
-    long = lists.where("kind = 0").groupBy("doc_id").agg(F.sum("hits").alias("n_long"))
-    facts = own.join(long, "doc_id").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n", "n_long", F.coalesce("component", "doc_id").alias("comp"))
-    facts = common.stored(facts, "jaccard-facts")
-    todo = lists.where("kind = 0").select("bucket", "doc_id", "short", "long").join(facts.hint("merge"), "doc_id")
-    found = common.exchange(todo.select("bucket", "doc_id", "n", "n_long", "comp", "short", "long"), n).mapInArrow(_search, "a long, b long, by_short long, by_long long")
+    # 4. search over what different components still share
+    todo = facts.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
+    todo = kind(0).mapInArrow(_list_rows, "bucket int, doc_id long, tokens binary, long binary").join(todo.hint("merge"), "doc_id")
+    found = common.exchange(todo.select("bucket", "doc_id", "n", "own", "cut", "n_long", "comp", "tokens", "long"), n).mapInArrow(_search, "a long, b long, by_short long, by_long long")
     found = found.groupBy("a", "b").agg(F.sum("by_short").alias("by_short"), F.sum("by_long").alias("by_long"))
-    fact = lambda x: facts.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("n_long").alias(f"l_{x}"))
     found = found.join(fact("a"), "a").join(fact("b"), "b")
     l = lambda x: F.greatest(F.lit(1), F.floor(F.col(f"n_{x}") * EXTRA))  # noqa: E731, E741
     need = F.least(l("a"), l("b"))
     both = (F.col("l_a") >= l("a")) & (F.col("l_b") >= l("b"))
     enough = F.when(both, F.col("by_short") + F.col("by_long") >= need).otherwise(F.col("by_short") >= F.greatest(F.lit(1), need - F.least("l_a", "l_b")))
-    more = compare(keyed, common.stored(found.where(enough).select(F.col("b").alias("a"), F.col("a").alias("b")), "jaccard-candidates"))
-    every = links.unionByName(more).unionByName(attrs.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    more = compare(active, common.stored(found.where(enough).select(F.col("b").alias("a"), F.col("a").alias("b")), "jaccard-candidates"))
+    every = links.unionByName(more).unionByName(classes.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     comp = common.components(every).withColumnRenamed("node", "doc_id")
     return meta.select("doc_id", "n").join(comp, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 

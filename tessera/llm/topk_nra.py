@@ -32,7 +32,7 @@ SCALE = 1024
 BLOCK = 4096
 QUERY_BLOCK = 512
 #: Depths, as parts of the lists, at which bounds are compared.
-STOPS = (1 / 64, 1 / 32, 1 / 16, 1 / 8, 1 / 4, 3 / 8, 1 / 2, 5 / 8, 3 / 4, 7 / 8, 1)
+STOPS = (1 / 4, 1 / 2, 3 / 4, 1)
 
 
 class SortedLists:
@@ -41,49 +41,44 @@ class SortedLists:
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         self.ids, self.x = ids, x
         self.n, self.dims = x.shape
-        up = np.argsort(x, axis=0, kind="stable").T.astype(np.int32)
-        self.order = np.stack([up, up[:, ::-1]])  # by direction: least first, greatest first
-        self.value = np.stack([np.take_along_axis(x.T, o, axis=1) for o in self.order])
+        up = np.ascontiguousarray(np.argsort(x, axis=0, kind="stable").T)
+        self.order = [up, np.ascontiguousarray(up[:, ::-1])]  # by direction: least first, greatest first
+        self.value = [np.take_along_axis(x.T, o, axis=1).astype(float) for o in self.order]
+        place = np.empty(x.shape, np.int32)
+        np.put_along_axis(place, up.T, np.arange(self.n, dtype=np.int32)[:, None], axis=0)
+        self.place = place  # at what depth a list, least first, shows a candidate
 
     def search(self, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray, int]:
         """(positions, scores, depth read) of the k best candidates for the query."""
-        side = (q > 0).astype(int)
-        dims = np.arange(self.dims)
-        order, value = self.order[side, dims], self.value[side, dims]
-        worst = (q * value[:, -1]).astype(float)
-        known = np.zeros(self.n)  # sums of products that were read
-        floor = np.full(self.n, worst.sum())  # least values of those that weren't
-        seen = [np.zeros(self.n) for _ in range(0, self.dims, 32)]  # a bit for each list, exact in doubles
-        allowed = self.ids != own
+        down = q > 0
+        sides = [(side, np.flatnonzero(down == side)) for side in (0, 1)]
+        at = lambda column: np.where(down, self.value[1][:, column], self.value[0][:, column])
+        worst = q * at(-1)
+        # a list that is read from its other end has shown what stands from n - depth on
+        known = np.zeros(self.n)  # sums of products that were read, exact in doubles
+        alive = np.flatnonzero(self.ids != own)
         depth = 0
-        alive = np.flatnonzero(allowed)
         for part in STOPS:
             to = max(depth, int(np.ceil(self.n * part)))
-            if to == depth:
+            if to == depth or len(alive) <= k:
                 continue
-            at = order[:, depth:to]
-            flat = at.ravel()
-            known += np.bincount(flat, weights=(q[:, None] * value[:, depth:to]).ravel(), minlength=self.n)
-            floor -= np.bincount(flat, weights=np.repeat(worst, to - depth), minlength=self.n)
-            for g in range(len(seen)):
-                own_dims = range(g * 32, min(self.dims, g * 32 + 32))
-                bits = np.repeat([2.0 ** (d - g * 32) for d in own_dims], to - depth)
-                seen[g] += np.bincount(at[own_dims.start : own_dims.stop].ravel(), weights=bits, minlength=self.n)
+            for side, dims in sides:
+                for d in dims.tolist():
+                    known[self.order[side][d, depth:to]] += q[d] * self.value[side][d, depth:to]
             depth = to
-            lower = (known + floor)[alive]
-            if len(lower) <= k:
-                continue
+            if depth == self.n:
+                break
+            # unread products lie between their list's end and what it has reached: sums of both
+            # by the bits of the lists that haven't shown a candidate, a table for each byte
+            place = self.place[alive]
+            unread = np.packbits((place < np.where(down, self.n - depth, depth).astype(np.int32)) ^ ~down, axis=1, bitorder="little").T
+            reached = q * at(depth - 1)
+            lower, upper = known[alive], known[alive]
+            for b, bits in enumerate(unread):
+                on = _BITS[:, : len(worst[b * 8 : b * 8 + 8])]
+                lower += (on @ worst[b * 8 : b * 8 + 8])[bits]
+                upper += (on @ reached[b * 8 : b * 8 + 8])[bits]
             kth = np.partition(lower, len(lower) - k)[len(lower) - k]
-            # what each list has reached bounds the unread products: a table for each byte of the bits
-            reached = (q * value[:, depth - 1]).astype(float)
-            upper = known[alive].copy()
-            for g, bits in enumerate(seen):
-                word = bits[alive].astype(np.uint32)
-                r = np.zeros(32)
-                r[: min(32, self.dims - g * 32)] = reached[g * 32 : g * 32 + 32]
-                for b in range(4):
-                    unread = (~np.arange(256)[:, None] >> np.arange(8)) & 1
-                    upper += (unread @ r[b * 8 : b * 8 + 8])[(word >> np.uint32(8 * b)) & np.uint32(255)]
             alive = alive[upper >= kth]  # an equal score may still win by its id
             if len(alive) <= 4 * k:
                 break
@@ -92,6 +87,10 @@ class SortedLists:
         return alive[best], score[best], depth
 
 
+#: The bits of each byte, least first.
+_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(float)
+
+
 def scaled(column: pa.Array, dims: int | None = None) -> np.ndarray:
     rows = column.to_pylist()
     dims = max([len(r) for r in rows], default=0) if dims is None else dims
