@@ -211,7 +211,7 @@ def srgb_linear(spark, sf):
     return p.select("p_size", F.round(c[0], 9).alias("red"), c[3].alias("alpha"))
 
 
-@query("SELECT k::INTEGER AS plank, round((k - 2.5) * 0.208, 6) AS offset_x FROM range(6) t(k)")
+@query("SELECT k::INTEGER AS plank, round((k - 2.5) * 0.208, 6)::DOUBLE AS offset_x FROM range(6) t(k)")
 def even_planks(spark, sf):
     """MTH10."""
     return spark.range(1).select(F.posexplode(S.even_offsets(6, 0.2, 0.008)).alias("plank", "offset_x"))
