@@ -33,7 +33,9 @@ from tessera.llm import common, kernels
 from tessera.llm.lattice import SPACE, Vocabulary, rectangles
 
 N_BEST = 3
-REMEMBERED = 1_500_000
+REMEMBERED = 800_000
+#: Bytes of text that are segmented at a time.
+PIECE_BYTES = 1 << 20
 NONE = -1e300
 
 
@@ -163,7 +165,7 @@ class Segmenter:
         start = np.flatnonzero(cut)
         return start, np.append(start[1:], len(raw)), np.searchsorted(off, start, side="right") - 1
 
-    def encode(self, off: np.ndarray, raw: np.ndarray, n_best: int = N_BEST):
+    def encode(self, off: np.ndarray, raw: np.ndarray, n_best: int = N_BEST, alternatives: bool = True):
         """By document: (offsets, ids of the best, scores of the n best, ids of the others)."""
         n = len(off) - 1
         start, end, row = self.segments(off, raw)
@@ -178,8 +180,12 @@ class Segmenter:
                 self.__dict__.update(keys=self.keys[:0], score=self.score[:0], cost=self.cost[:0], begin=self.begin[:0], length=self.length[:0], flat=self.flat[:0])
                 known[:] = False
             new = np.flatnonzero(~known)
-            s = start[first[new]]
-            score, cost, flat, begin, count = self._solve(raw, s, end[first[new]] - s)
+            got = []
+            for x in range(0, len(new), 40_000):
+                s = start[first[new[x : x + 40_000]]]
+                got.append(self._solve(raw, s, end[first[new[x : x + 40_000]]] - s))
+            base = np.cumsum([0, *[len(g[2]) for g in got]])
+            score, cost, flat, begin, count = (np.concatenate(x) for x in zip(*[(g[0], g[1], g[2], g[3] + o, g[4]) for g, o in zip(got, base, strict=False)], strict=True))
             where = np.searchsorted(self.keys, uniq[new])
             for name, x in (("keys", uniq[new]), ("score", score), ("cost", cost), ("begin", begin + len(self.flat)), ("length", count)):
                 setattr(self, name, np.insert(getattr(self, name), where, x))
@@ -200,7 +206,7 @@ class Segmenter:
             few = order[seg_off[k] : min(seg_off[k + 1], seg_off[k] + n_best - 1)]
             got = self._merge([(g, self.nbest(data[start[g] : end[g]], n_best)) for g in few.tolist() if cost[g] < np.inf], n_best)
             scores.append([float(total[k] - c) for c, _ in got])
-            others.append([self._changed(ids, id_off[k], id_off[k + 1], np.concatenate([[0], np.cumsum(length[seg_off[k] : seg_off[k + 1]])]) + id_off[k], seg_off[k], change) for _, change in got[1:]])
+            others.append([] if not alternatives else [self._changed(ids, id_off[k], id_off[k + 1], np.concatenate([[0], np.cumsum(length[seg_off[k] : seg_off[k + 1]])]) + id_off[k], seg_off[k], change) for _, change in got[1:]])
         return id_off, ids, scores, others
 
     @staticmethod
@@ -233,29 +239,42 @@ def segmenter(path: str) -> Segmenter:
     return _SEGMENTERS[path]
 
 
-ADDED = "ids array<int>, nbest_scores array<double>, nbest_ids array<array<int>>"
+def _nested(parts: list[list[np.ndarray]]) -> pa.Array:
+    """Lists of lists of ids."""
+    flat = [x for p in parts for x in p]
+    inner = np.concatenate([[0], np.cumsum([len(x) for x in flat])]).astype(np.int32)
+    outer = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
+    values = pa.array(np.concatenate(flat).astype(np.int32) if flat else np.zeros(0, np.int32))
+    return pa.ListArray.from_arrays(pa.array(outer), pa.ListArray.from_arrays(pa.array(inner), values))
 
 
-def encode(docs: DataFrame, path: str, n_best: int = N_BEST) -> DataFrame:
-    """The documents with ``ids``, ``nbest_scores`` (best first) and ``nbest_ids`` (the others')."""
+def encode(docs: DataFrame, path: str, n_best: int = N_BEST, alternatives: bool = True) -> DataFrame:
+    """The documents with ``ids``, ``nbest_scores`` (best first) and, if wanted, ``nbest_ids``, the
+    ids of the others."""
     kept = [c for c in docs.columns if c not in ("ids", "nbest_scores", "nbest_ids")]
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept) + ", " + ADDED
+    names = [*kept, "ids", "nbest_scores"] + ["nbest_ids"] * alternatives
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept) + ", ids array<int>, nbest_scores array<double>" + ", nbest_ids array<array<int>>" * alternatives
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = segmenter(path)
         for batch in batches:
             text = batch.column(batch.schema.get_field_index("text"))
-            for i, j, off, raw in kernels.pieces(text):
-                id_off, ids, scores, others = s.encode(off, raw, n_best)
-                null = text.slice(i, j - i).is_null().to_numpy(zero_copy_only=False)
+            for i, j, off, raw in kernels.pieces(text, PIECE_BYTES):
+                ids, scores, others = _encoded(s, text.slice(i, j - i), off, raw, n_best, alternatives)
                 part = batch.slice(i, j - i)
-                lists = pa.ListArray.from_arrays(pa.array(np.append(id_off[:-1], id_off[-1]).astype(np.int32), mask=np.append(null, False)), pa.array(ids))
                 cols = [part.column(part.schema.get_field_index(c)) for c in kept]
-                yield pa.RecordBatch.from_arrays([*cols, lists, pa.array(scores, pa.list_(pa.float64())), pa.array([[x.tolist() for x in o] for o in others], pa.list_(pa.list_(pa.int32())))], [*kept, "ids", "nbest_scores", "nbest_ids"])
+                yield pa.RecordBatch.from_arrays([*cols, ids, scores] + [_nested(others)] * alternatives, names)
 
     return docs.select(*kept).mapInArrow(run, schema)
 
 
+def _encoded(s: Segmenter, text: pa.Array, off, raw, n_best: int, alternatives: bool) -> tuple[pa.ListArray, pa.Array, list]:
+    id_off, ids, scores, others = s.encode(off, raw, n_best, alternatives)
+    null = text.is_null().to_numpy(zero_copy_only=False)
+    lists = pa.ListArray.from_arrays(pa.array(id_off.astype(np.int32), mask=np.append(null, False)), pa.array(ids))
+    return lists, pa.array(scores, pa.list_(pa.float64())), others
+
+
 def decoded(v: Vocabulary, ids: pa.ListArray) -> pa.Array:
     """The texts of lists of ids; null for null."""
     size = np.array([len(t) for t in v.texts], np.int64)
@@ -284,26 +303,26 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
 DIGEST_SQL = "doc_id long, n_ids long, ids_crc32 long, nbest_scores array<double>, n_best long, round_trip boolean"
 
 
-def digest(encoded: DataFrame, path: str) -> DataFrame:
-    """What a check needs of encoded documents: counts, a checksum of the ids (as little-endian
-    unsigned 32-bit integers), the scores, and whether the ids decode to the text."""
+def digest(docs: DataFrame, path: str, n_best: int = N_BEST) -> DataFrame:
+    """Encode and decode in one pass, and return what a check needs: counts, a checksum of the ids
+    (as little-endian unsigned 32-bit integers), the scores, whether the ids decode to the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = segmenter(path).v
+        s = segmenter(path)
         for b in batches:
-            ids, text = b.column(2), b.column(1)
-            back = decoded(v, ids)
-            same = pc.or_(pc.fill_null(pc.equal(back, text), False), pc.and_(back.is_null(), text.is_null()))
-            off, flat = np.asarray(ids.offsets), np.asarray(ids.values).astype("<u4")
-            crc = [zlib.crc32(flat[x:y].tobytes()) for x, y in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
-            scores = b.column(3)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(off).astype(np.int64)), pa.array(crc, pa.int64()), scores, pc.cast(pc.list_value_length(scores), pa.int64()), same], ["doc_id", "n_ids", "ids_crc32", "nbest_scores", "n_best", "round_trip"])
+            for i, j, off, raw in kernels.pieces(b.column(1), PIECE_BYTES):
+                text = b.column(1).slice(i, j - i)
+                ids, scores, _ = _encoded(s, text, off, raw, n_best, False)
+                back = decoded(s.v, ids)
+                same = pc.or_(pc.fill_null(pc.equal(back, text), False), pc.and_(back.is_null(), text.is_null()))
+                at, flat = np.asarray(ids.offsets), np.asarray(ids.values).astype("<u4")
+                crc = [zlib.crc32(flat[x:y].tobytes()) for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(np.diff(at).astype(np.int64)), pa.array(crc, pa.int64()), scores, pc.cast(pc.list_value_length(scores), pa.int64()), same], ["doc_id", "n_ids", "ids_crc32", "nbest_scores", "n_best", "round_trip"])
 
-    return encoded.select("doc_id", "text", "ids", "nbest_scores").mapInArrow(run, DIGEST_SQL)
+    return docs.select("doc_id", "text").mapInArrow(run, DIGEST_SQL)
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    path = public_tokenizers.path("piece_bpe_32k.model")
-    return digest(encode(common.table(spark, sf_dir, "documents").select("doc_id", "text"), path), path)
+    return digest(common.table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
