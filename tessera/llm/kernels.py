@@ -13,7 +13,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes of text that one pass of a kernel works on; one longer text is worked on alone.
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 3 << 19
 #: Space and the control characters from tab to carriage return separate words.
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True

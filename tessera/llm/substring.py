@@ -46,8 +46,15 @@ REMEMBERED = 1 << 20
 
 ENTRY = pa.schema([("bucket", pa.int32()), ("h", pa.binary()), ("f", pa.binary()), ("d", pa.binary()), ("n", pa.binary()), ("p", pa.binary()), ("settled", pa.bool_())])
 ENTRY_SQL = "bucket int, h binary, f binary, d binary, n binary, p binary, settled boolean"
-HIT = pa.schema([("doc_id", pa.int64()), ("at", pa.binary())])
-HIT_SQL = "doc_id long, at binary"
+#: Places of documents on their way to them: a row for each task and bucket of documents.
+HIT = pa.schema([("bucket", pa.int32()), ("d", pa.binary()), ("n", pa.binary()), ("p", pa.binary()), ("e", pa.binary())])
+HIT_SQL = "bucket int, d binary, n binary, p binary, e binary"
+PLACES = pa.schema([("doc_id", pa.int64()), ("at", pa.binary()), ("ends", pa.binary())])
+PLACES_SQL = "doc_id long, at binary, ends binary"
+
+
+def doc_bucket(d: np.ndarray, n: int) -> np.ndarray:
+    return (kernels.mix(d.astype(np.int64).view(np.uint64)) % np.uint64(n)).astype(np.int32)
 
 
 def packed(bucket: np.ndarray, h: np.ndarray, f: np.ndarray, d: np.ndarray, p: np.ndarray, settled: bool) -> pa.RecordBatch:
@@ -71,14 +78,41 @@ def unpacked(batches: list[pa.RecordBatch], kind_h, kind_f) -> tuple[np.ndarray,
     return col(1, kind_h), col(2, kind_f), np.repeat(col(3, np.int64), col(4, np.uint32)), col(5, np.int32)
 
 
-def hit_rows(d: np.ndarray, p: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One row for each document with its places."""
+def hit_rows(d: np.ndarray, p: np.ndarray, n: int, e: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Places (or starts and ends) of documents for the ``n`` buckets of documents."""
     if not len(d):
         return
-    order = np.lexsort((p, d))
-    d, p = d[order], p[order].astype(np.int32)
-    edge = np.concatenate([[0], np.flatnonzero(np.diff(d)) + 1, [len(d)]])
-    yield common.rows(HIT, d[edge[:-1]], [p[a:b].tobytes() for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)])
+    bucket = doc_bucket(d, n)
+    e = np.zeros(len(d), np.int32) if e is None else e
+    order = np.lexsort((p, d, bucket))
+    bucket, d, p, e = bucket[order], d[order], p[order].astype(np.int32), e[order].astype(np.int32)
+    edge = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(d)]])
+    cols: list[list] = [[] for _ in range(5)]
+    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+        new = np.flatnonzero(np.concatenate([[True], d[a + 1 : b] != d[a : b - 1]]))
+        for c, x in zip(cols, (int(bucket[a]), d[a:b][new].tobytes(), np.diff(np.append(new, b - a)).astype(np.uint32).tobytes(), p[a:b].tobytes(), e[a:b].tobytes()), strict=True):
+            c.append(x)
+    yield common.rows(HIT, *cols)
+
+
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    have: dict[int, list] = {}
+    for batch in batches:
+        for r in batch.to_pylist():
+            have.setdefault(r["bucket"], []).append(r)
+    for parts in have.values():
+        col = lambda k, t: common.joined([r[k] for r in parts], t)  # noqa: B023, E731
+        d, p, e = np.repeat(col("d", np.int64), col("n", np.uint32)), col("p", np.int32), col("e", np.int32)
+        order = np.lexsort((p, d))
+        d, p, e = d[order], p[order], e[order]
+        edge = np.concatenate([[0], np.flatnonzero(np.diff(d)) + 1, [len(d)]])
+        pairs = list(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True))
+        yield common.rows(PLACES, d[edge[:-1]], [p[a:b].tobytes() for a, b in pairs], [e[a:b].tobytes() for a, b in pairs])
+
+
+def by_document(hits: DataFrame, n: int) -> DataFrame:
+    """(doc_id, at, ends): a row for each document that has hits."""
+    return common.exchange(hits, n).mapInArrow(_by_document, PLACES_SQL)
 
 
 def repeated(h: np.ndarray) -> np.ndarray:
@@ -134,7 +168,7 @@ def _grams(n: int):
                     known = seen[place] == h
                 settled = again | known
                 if settled.any():
-                    yield packed(((d[settled] * 0x9E3779B1) % n).astype(np.int32), np.zeros(settled.sum(), np.uint8), np.zeros(settled.sum(), np.uint8), d[settled], p[settled], True)
+                    yield packed(doc_bucket(d[settled], n), np.zeros(settled.sum(), np.uint8), np.zeros(settled.sum(), np.uint8), d[settled], p[settled], True)
                 send = np.flatnonzero(~known)
                 send = send[np.unique(h[send], return_index=True)[1]]
                 send.sort()
@@ -184,7 +218,7 @@ class FingerprintIndex:
 
     def add(self, docs: DataFrame) -> DataFrame:
         """Join a batch of (doc_id, text) with the runs, make its own run; returns the hits."""
-        uri, old, new, read, write = self.uri, [r for _, r in self.runs], f"run-{uuid4().hex}", self._read, self._write
+        uri, n, old, new, read, write = self.uri, self.buckets, [r for _, r in self.runs], f"run-{uuid4().hex}", self._read, self._write
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             have: dict[int, list[pa.RecordBatch]] = {}
@@ -193,7 +227,7 @@ class FingerprintIndex:
                     one = batch.slice(k, 1)
                     if one.column(6)[0].as_py():
                         _, _, d, p = unpacked([one], np.uint8, np.uint8)
-                        yield from hit_rows(d, p)
+                        yield from hit_rows(d, p, n)
                     else:
                         have.setdefault(one.column(0)[0].as_py(), []).append(one)
             fs, path = pafs.FileSystem.from_uri(uri)
@@ -214,8 +248,8 @@ class FingerprintIndex:
                     hit |= found
                     fresh &= ~found
                     back = np.unique(at[found])
-                    yield from hit_rows(rd[back], rp[back])
-                yield from hit_rows(d[hit], p[hit])
+                    yield from hit_rows(rd[back], rp[back], n)
+                yield from hit_rows(d[hit], p[hit], n)
                 write(fs, path, new, bucket, h[fresh], d[fresh], p[fresh])
 
         hits = common.exchange(docs.mapInArrow(_grams(self.buckets), ENTRY_SQL), self.buckets).mapInArrow(run, HIT_SQL)
@@ -266,7 +300,7 @@ def _windows(n: int):
                 marked = np.zeros(len(start) + 1, bool)
                 for k, own in enumerate(hits.slice(i, j - i).to_pylist()):
                     if own:
-                        at = first[k] + common.joined(own, np.int32)
+                        at = first[k] + np.frombuffer(own, np.int32)
                         marked[at[at < first[k + 1]]] = True
                 wh = w.hashes(raw, start, end)
                 at, a, b = kernels.anchors(w.windows(wh, GRAM), first, WINDOW, GRAM)
@@ -280,7 +314,7 @@ def _windows(n: int):
                 d, p = keys[i:j][row[win]], (win - first[row[win]]).astype(np.int32)
                 again = repeats(h, f, d, p)
                 if again.any():
-                    yield packed(((d[again] * 0x9E3779B1) % n).astype(np.int32), np.zeros(again.sum(), np.uint8), np.zeros(again.sum(), np.uint8), d[again], p[again], True)
+                    yield packed(doc_bucket(d[again], n), np.zeros(again.sum(), np.uint8), np.zeros(again.sum(), np.uint8), d[again], p[again], True)
                 new = ~again
                 yield packed((h[new] % np.uint64(n)).astype(np.int32), h[new], f[new], d[new], p[new], False)
 
@@ -298,20 +332,23 @@ def repeats(h: np.ndarray, f: np.ndarray, d: np.ndarray, p: np.ndarray) -> np.nd
     return out
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    have: dict[int, list[pa.RecordBatch]] = {}
-    for batch in batches:
-        for k in range(batch.num_rows):
-            one = batch.slice(k, 1)
-            if one.column(6)[0].as_py():
-                _, _, d, p = unpacked([one], np.uint8, np.uint8)
-                yield from hit_rows(d, p)
-            else:
-                have.setdefault(one.column(0)[0].as_py(), []).append(one)
-    for parts in have.values():
-        h, f, d, p = unpacked(parts, np.uint64, np.uint32)
-        again = repeats(h, f, d, p)
-        yield from hit_rows(d[again], p[again])
+def _verified(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have: dict[int, list[pa.RecordBatch]] = {}
+        for batch in batches:
+            for k in range(batch.num_rows):
+                one = batch.slice(k, 1)
+                if one.column(6)[0].as_py():
+                    _, _, d, p = unpacked([one], np.uint8, np.uint8)
+                    yield from hit_rows(d, p, n)
+                else:
+                    have.setdefault(one.column(0)[0].as_py(), []).append(one)
+        for parts in have.values():
+            h, f, d, p = unpacked(parts, np.uint64, np.uint32)
+            again = repeats(h, f, d, p)
+            yield from hit_rows(d[again], p[again], n)
+
+    return run
 
 
 CLEANED = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.string())])
@@ -328,7 +365,7 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ws = data[off[k] : off[k + 1]].split()
                 n.append(len(ws))
                 if hits:
-                    at = common.joined(hits, np.int32).astype(np.int64)
+                    at = np.frombuffer(hits, np.int32).astype(np.int64)
                     at = at[at + WINDOW <= len(ws)]
                     drop = kernels.cover(len(ws), at, at + WINDOW)
                     gone.append(int(drop.sum()))
@@ -359,11 +396,10 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
             part = part.where(F.col("doc_id") <= int(high))
         got = index.add(part)
         hits = got if hits is None else hits.unionByName(got)
-    by_doc = lambda h: h.groupBy("doc_id").agg(F.collect_list("at").alias("at"))  # noqa: E731  at most one row a bucket and batch
-    around = keyed.join(by_doc(hits).hint("merge"), "doc_id").select("doc_id", "text", "at")
-    repeats_ = common.exchange(around.mapInArrow(_windows(n), ENTRY_SQL), n).mapInArrow(_verified, HIT_SQL)
-    judged = keyed.join(by_doc(repeats_).hint("merge"), "doc_id", "left").select("doc_id", "text", "at")
-    free = docs.where(F.col("doc_id").isNull()).select("doc_id", "text", F.lit(None).cast("array<binary>").alias("at"))
+    around = keyed.join(by_document(hits, n).hint("merge"), "doc_id").select("doc_id", "text", "at")
+    found = common.exchange(around.mapInArrow(_windows(n), ENTRY_SQL), n).mapInArrow(_verified(n), HIT_SQL)
+    judged = keyed.join(by_document(found, n).hint("merge"), "doc_id", "left").select("doc_id", "text", "at")
+    free = docs.where(F.col("doc_id").isNull()).select("doc_id", "text", F.lit(None).cast("binary").alias("at"))
     return judged.mapInArrow(_clean, CLEANED_SQL).unionByName(free.mapInArrow(_clean, CLEANED_SQL))
 
 

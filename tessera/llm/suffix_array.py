@@ -16,7 +16,8 @@ Each byte covered by a string of 50 bytes that also starts in a document with a
 Where it is large: one exchange of about a sixteenth of the places of the texts, one of the texts
 that is used twice, one of the compressed strings.  Equal strings of one chunk of text go to their
 bucket once, for the least document, and a gram that a task has often met is settled there, so a
-frequent passage reaches a bucket a few times a task.  Collections have a bounded size.
+frequent passage reaches a bucket a few times a task.  A collection has a bounded number of strings
+(more only where one gram alone has more), so its files are small.
 
 Defined results: a null text is empty; a row with a null key is returned unjudged; rows that
 repeat a key are one document, each of them returned; a string that repeats only within its own
@@ -35,24 +36,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import common, kernels
-from tessera.llm.substring import ENTRY_SQL, HIT_SQL, REMEMBERED, _keys, hit_rows, packed, repeated, unpacked
+from tessera.llm.substring import ENTRY_SQL, HIT, HIT_SQL, REMEMBERED, _keys, by_document, doc_bucket, hit_rows, packed, unpacked
 
 WINDOW = 50
 GRAM = 20
 #: Strings that one collection has at most, and so the bytes that its files hold.
-COLLECTION = 12_000
+COLLECTION = 800
 
 STRINGS = pa.schema([("bucket", pa.int32()), ("h", pa.binary()), ("d", pa.binary()), ("p", pa.binary()), ("size", pa.binary()), ("data", pa.binary()), ("settled", pa.bool_())])
 STRINGS_SQL = "bucket int, h binary, d binary, p binary, size binary, data binary, settled boolean"
-SPAN = pa.schema([("doc_id", pa.int64()), ("start", pa.binary()), ("end", pa.binary())])
-SPAN_SQL = "doc_id long, start binary, end binary"
-
 
 # ---- the transform ---------------------------------------------------------------------------
 
 
-def column_bwt(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(transform, starts of the suffixes in sorted order) of a collection of byte strings.
+class Columns:
+    """Two external files that take turns: one is read front to back, the other written."""
+
+    def __init__(self):
+        self.files = [tempfile.TemporaryFile(), tempfile.TemporaryFile()]
+
+    def put(self, data: np.ndarray) -> None:
+        self.files.reverse()
+        self.files[0].seek(0)
+        self.files[0].write(data)
+        self.size = len(data)
+
+    def get(self) -> np.ndarray:
+        self.files[0].seek(0)
+        return np.frombuffer(self.files[0].read(self.size), np.uint8)
+
+
+def column_bwt(data: np.ndarray, off: np.ndarray, files: Columns) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(transform, start and string of each suffix in sorted order) of a collection of byte strings.
 
     Symbols are the bytes plus 1; 0 ends each string, and ends sort by the number of the string.
     Round r inserts the suffix of length r of every string that has one.  Its place follows from
@@ -60,63 +75,50 @@ def column_bwt(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     the transform.  A string's end stands where its whole suffix is, so nothing follows it.
     """
     n = np.diff(off)
-    m = len(n)
-    ends = off[1:]
+    m, ends, rounds = len(n), off[1:], int(n.max(initial=0))
     rank = np.zeros(256, np.uint8)
     used = np.unique(data)
     if len(used) == 256:
         raise ValueError("a collection must leave one byte value free")
     rank[used] = np.arange(1, len(used) + 1)
     text = rank[data]
-    with tempfile.TemporaryFile() as a, tempfile.TemporaryFile() as b:
-        old, new = a, b
-        # round 0: the empty suffixes, preceded by the last symbol of each string
-        last = np.zeros(m, np.uint8)
-        last[n > 0] = text[ends[n > 0] - 1]
-        old.write(last.tobytes())
-        at = np.arange(m)  # where the newest suffix of each string stands
-        live = np.flatnonzero(n > 0)
-        for r in range(1, int(n.max(initial=0)) + 1):
-            old.seek(0)
-            bwt = np.frombuffer(old.read(), np.uint8)
-            c = bwt[at[live]]
-            # place of c S: the ends come first, then suffixes by first symbol, then as in the transform
-            order = np.argsort(bwt, kind="stable")
-            count = np.bincount(bwt, minlength=len(used) + 1)
-            stops = int(count[0])
-            place = np.empty(len(bwt), np.int32)
-            place[order] = np.arange(len(bwt), dtype=np.int32)
-            spot = place[at[live]] - stops + m
-            following = np.zeros(len(live), np.uint8)
-            more = n[live] > r
-            following[more] = text[ends[live[more]] - r - 1]
-            grown = np.empty(len(bwt) + len(live), np.uint8)
-            fresh = np.zeros(len(grown), bool)
-            fresh[spot] = True
-            grown[spot] = following
-            grown[~fresh] = bwt
-            new.seek(0)
-            new.truncate()
-            new.write(grown.tobytes())
-            new.flush()
-            at[live] = spot
-            live = live[more]
-            old, new = new, old
-        old.seek(0)
-        bwt = np.frombuffer(old.read(), np.uint8)
+    numbers = np.arange(len(data) + m, dtype=np.int32)
+    place = np.empty(len(data) + m, np.int32)
+    # round 0: the empty suffixes, preceded by the last symbol of each string
+    last = np.zeros(m, np.uint8)
+    last[n > 0] = text[ends[n > 0] - 1]
+    files.put(last)
+    at = np.arange(m)  # where the newest suffix of each string stands
+    live = np.flatnonzero(n > 0)
+    for r in range(1, rounds + 1):
+        bwt = files.get()
+        size = len(bwt)
+        # place of c S: the ends come first, then suffixes by first symbol, then as in the transform
+        place[np.argsort(bwt, kind="stable")] = numbers[:size]
+        spot = place[at[live]] + (m - size + np.count_nonzero(bwt))
+        following = np.zeros(len(live), np.uint8)
+        more = n[live] > r
+        following[more] = text[ends[live[more]] - r - 1]
+        grown = np.empty(size + len(live), np.uint8)
+        old = np.ones(len(grown), bool)
+        old[spot] = False
+        grown[old] = bwt
+        grown[spot] = following
+        files.put(grown)
+        at[live] = spot
+        live = live[more]
+    bwt = files.get()
     # walk every string back from its end: the place of each of its suffixes
-    order = np.argsort(bwt, kind="stable")
-    step = np.empty(len(bwt), np.int64)
-    step[order] = np.arange(len(bwt))
-    step += m - int((bwt == 0).sum())
-    start = np.empty(len(bwt), np.int64)
+    place[np.argsort(bwt, kind="stable")] = numbers[: len(bwt)]
+    place += m - len(bwt) + np.count_nonzero(bwt)
+    start, string = np.empty(len(bwt), np.int64), np.empty(len(bwt), np.int64)
     at, live = np.arange(m), np.arange(m)
-    start[at] = ends
-    for r in range(1, int(n.max(initial=0)) + 1):
+    start[at], string[at] = ends, live
+    for r in range(1, rounds + 1):
         live = live[n[live] >= r]
-        at[live] = step[at[live]]
-        start[at[live]] = ends[live] - r
-    return bwt, start
+        at[live] = place[at[live]]
+        start[at[live]], string[at[live]] = ends[live] - r, live
+    return bwt, start, string
 
 
 def shared_prefix(data: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
@@ -136,19 +138,18 @@ def shared_prefix(data: np.ndarray, start: np.ndarray, width: int) -> np.ndarray
     return out
 
 
-def marked_windows(data: np.ndarray, off: np.ndarray, doc: np.ndarray, width: int = WINDOW) -> np.ndarray:
-    """Starts, in ``data``, of windows inside the strings that a smaller document has as well."""
-    _, start = column_bwt(data, off)
-    row = np.searchsorted(off, start, side="right") - 1
-    row = np.minimum(row, len(off) - 2)
+def marked_windows(data: np.ndarray, off: np.ndarray, doc: np.ndarray, width: int = WINDOW, files: Columns | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(start in ``data``, string) of windows inside the strings that a smaller document has as well."""
+    _, start, row = column_bwt(data, off, files or Columns())
     whole = start + width <= off[row + 1]
     start, row = start[whole], row[whole]
     if not len(start):
-        return start
+        return start, row
     new = ~shared_prefix(data, start, width)
     group = np.cumsum(new) - 1
     least = np.minimum.reduceat(doc[row], np.flatnonzero(new))
-    return start[doc[row] > least[group]]
+    hit = doc[row] > least[group]
+    return start[hit], row[hit]
 
 
 # ---- nomination ------------------------------------------------------------------------------
@@ -180,7 +181,7 @@ def _grams(n: int):
                 settled = again | known
                 none = np.zeros(settled.sum(), np.uint8)
                 if settled.any():
-                    yield packed(((d[settled] * 0x9E3779B1) % n).astype(np.int32), none, none, d[settled], p[settled], True)
+                    yield packed(doc_bucket(d[settled], n), none, none, d[settled], p[settled], True)
                 send = ~settled
                 send[np.flatnonzero(again & ~known)[np.unique(h[again & ~known], return_index=True)[1]]] = True
                 if send.any():
@@ -192,39 +193,31 @@ def _grams(n: int):
     return run
 
 
-def _nominate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    have: dict[int, list[pa.RecordBatch]] = {}
-    for batch in batches:
-        for k in range(batch.num_rows):
-            one = batch.slice(k, 1)
-            if one.column(6)[0].as_py():
-                _, _, d, p = unpacked([one], np.uint8, np.uint8)
-                yield from hit_rows(d, p)
-            else:
-                have.setdefault(one.column(0)[0].as_py(), []).append(one)
-    for parts in have.values():
-        h, _, d, p = unpacked(parts, np.uint32, np.uint8)
-        order = np.lexsort((d, h))
-        h, d, p = h[order], d[order], p[order]
-        new = np.concatenate([[True], h[1:] != h[:-1]])
-        group = np.cumsum(new) - 1
-        several = np.zeros(group[-1] + 1, bool)
-        several[group[1:][(h[1:] == h[:-1]) & (d[1:] != d[:-1])]] = True
-        hit = several[group]
-        yield from hit_rows(d[hit], p[hit])
-
+def _nominate(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have: dict[int, list[pa.RecordBatch]] = {}
+        for batch in batches:
+            for k in range(batch.num_rows):
+                one = batch.slice(k, 1)
+                if one.column(6)[0].as_py():
+                    _, _, d, p = unpacked([one], np.uint8, np.uint8)
+                    yield from hit_rows(d, p, n)
+                else:
+                    have.setdefault(one.column(0)[0].as_py(), []).append(one)
+        for parts in have.values():
+            h, _, d, p = unpacked(parts, np.uint32, np.uint8)
+            order = np.lexsort((d, h))
+            h, d, p = h[order], d[order], p[order]
+            group = np.cumsum(np.concatenate([[True], h[1:] != h[:-1]])) - 1
+            several = np.zeros(group[-1] + 1, bool)
+            several[group[1:][(h[1:] == h[:-1]) & (d[1:] != d[:-1])]] = True
+            hit = several[group]
+            yield from hit_rows(d[hit], p[hit], n)
 
-# ---- construction ----------------------------------------------------------------------------
+    return run
 
 
-def _span_rows(d: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[pa.RecordBatch]:
-    if not len(d):
-        return
-    order = np.lexsort((start, d))
-    d, start, end = d[order], start[order].astype(np.int32), end[order].astype(np.int32)
-    edge = np.concatenate([[0], np.flatnonzero(np.diff(d)) + 1, [len(d)]])
-    pairs = list(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True))
-    yield common.rows(SPAN, d[edge[:-1]], [start[a:b].tobytes() for a, b in pairs], [end[a:b].tobytes() for a, b in pairs])
+# ---- construction ----------------------------------------------------------------------------
 
 
 def _strings(n: int):
@@ -240,7 +233,7 @@ def _strings(n: int):
                 marked = np.zeros(len(raw) + 1, bool)
                 for k, own in enumerate(hits.slice(i, j - i).to_pylist()):
                     if own:
-                        at = off[k] + common.joined(own, np.int32)
+                        at = off[k] + np.frombuffer(own, np.int32)
                         marked[at[at < off[k + 1]]] = True
                 prefix = roll.prefix(raw)
                 g = roll.windows(prefix, GRAM)
@@ -260,10 +253,9 @@ def _strings(n: int):
                 done = np.zeros(len(at), bool)
                 done[order] = d[order] > d[lead]
                 if done.any():
-                    for cut in _span_rows(d[done], p[done], p[done] + (e - a)[done]):
-                        bucket = (cut.column(0).to_numpy() * 0x9E3779B1) % n
-                        yield common.rows(STRINGS, bucket.astype(np.int32), [b""] * len(bucket), [x.to_bytes(8, "little", signed=True) for x in cut.column(0).to_pylist()], cut.column(1), cut.column(2), [b""] * len(bucket), [True] * len(bucket))
-                # of equal strings of one document one goes on as well, but all of them must hear of it: they go on apart
+                    for cut in hit_rows(d[done], p[done], n, p[done] + (e - a)[done]):
+                        k = cut.num_rows
+                        yield common.rows(STRINGS, cut.column(0), [b""] * k, cut.column(1), cut.column(3), cut.column(2), cut.column(4), [True] * k)
                 send = np.flatnonzero(~done)
                 bucket = (h[send] % np.uint64(n)).astype(np.int32)
                 by = np.argsort(bucket, kind="stable")
@@ -280,48 +272,67 @@ def _strings(n: int):
     return run
 
 
-def _construct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    have: dict[int, list[pa.RecordBatch]] = {}
-    open_ = zstandard.ZstdDecompressor()
-    for batch in batches:
-        for k in range(batch.num_rows):
-            one = batch.slice(k, 1)
-            if one.column(6)[0].as_py():
-                yield common.rows(SPAN, [int.from_bytes(one.column(2)[0].as_py(), "little", signed=True)], [one.column(3)[0].as_py()], [one.column(4)[0].as_py()])
-            else:
-                have.setdefault(one.column(0)[0].as_py(), []).append(one)
-    for parts in have.values():
-        col = lambda k, t: common.joined([v for b in parts for v in b.column(k).to_pylist()], t)  # noqa: B023, E731
-        h, d, p, size = col(1, np.uint32), col(2, np.int64), col(3, np.int32), col(4, np.uint8).astype(np.int64)
-        raw = np.frombuffer(b"".join(open_.decompress(v) for b in parts for v in b.column(5).to_pylist()), np.uint8)
-        begin = np.cumsum(size) - size
-        order = np.argsort(h, kind="stable")
-        # strings of one gram stay together; a collection is a run of grams
-        new = np.flatnonzero(np.concatenate([[True], np.diff(h[order]) != 0]))
-        ends = np.append(new[1:], len(order))
-        at = 0
-        while at < len(order):
-            stop = ends[min(len(ends) - 1, max(int(np.searchsorted(ends, at + COLLECTION, side="right")) - 1, int(np.searchsorted(ends, at, side="right"))))]
-            s = order[at:stop]
-            off = np.concatenate([[0], np.cumsum(size[s])])
-            data = raw[kernels.ragged(begin[s], size[s])]
-            hit = marked_windows(data, off, d[s])
-            row = np.searchsorted(off, hit, side="right") - 1
-            start = p[s][row] + (hit - off[row])
-            yield from _runs(d[s][row], start)
-            at = int(stop)
-
-
-def _runs(d: np.ndarray, start: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _construct(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have: dict[int, list[pa.RecordBatch]] = {}
+        files = Columns()
+        open_, rolls = zstandard.ZstdDecompressor(), (kernels.Rolling(73), kernels.Rolling(74))
+        for batch in batches:
+            for k in range(batch.num_rows):
+                one = batch.slice(k, 1)
+                if one.column(6)[0].as_py():  # (bucket, -, documents, starts, counts, ends)
+                    yield common.rows(HIT, one.column(0), one.column(2), one.column(4), one.column(3), one.column(5))
+                else:
+                    have.setdefault(one.column(0)[0].as_py(), []).append(one)
+        for parts in have.values():
+            col = lambda k, t: common.joined([v for b in parts for v in b.column(k).to_pylist()], t)  # noqa: B023, E731
+            h, d, p, size = col(1, np.uint32), col(2, np.int64), col(3, np.int32), col(4, np.uint8).astype(np.int64)
+            raw = np.frombuffer(b"".join(open_.decompress(v) for b in parts for v in b.column(5).to_pylist()), np.uint8)
+            begin = np.cumsum(size) - size
+            # equal strings are one string of the collection, that of the least document: all windows of the others repeat
+            same = [np.empty(len(size), np.uint64) for _ in rolls]
+            for x in range(0, len(size), 20_000):  # as many bytes at a time as a chunk has
+                part = slice(x, x + 20_000)
+                low, high = begin[part][0], begin[part][-1] + size[part][-1]
+                for roll, out in zip(rolls, same, strict=True):
+                    out[part] = roll.spans(roll.prefix(raw[low:high]), begin[part] - low, begin[part] - low + size[part])
+            order = np.lexsort((d, *same, h))
+            new = np.concatenate([[True], (h[order][1:] != h[order][:-1]) | (same[0][order][1:] != same[0][order][:-1]) | (same[1][order][1:] != same[1][order][:-1])])
+            lead = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+            later = d[order] > d[lead]
+            rest = order[later]
+            yield from hit_rows(d[rest], p[rest], n, p[rest] + size[rest].astype(np.int32))
+            head = order[new]
+            members = order[~later]  # more than one where a document has a string twice
+            of = (np.cumsum(new) - 1)[~later]
+            # strings of one gram stay together; a collection is a run of grams
+            ends = np.append(np.flatnonzero(np.diff(h[head])) + 1, len(head))
+            at = 0
+            while at < len(head):
+                full, next_ = np.searchsorted(ends, [at + COLLECTION, at], side="right")
+                stop = int(ends[max(full - 1, next_)])
+                s = head[at:stop]
+                off = np.concatenate([[0], np.cumsum(size[s])])
+                hit, row = marked_windows(raw[kernels.ragged(begin[s], size[s])], off, d[s], files=files)
+                own = slice(*np.searchsorted(of, [at, stop]))
+                first = np.searchsorted(of[own], row + at)
+                count = np.searchsorted(of[own], row + at, side="right") - first
+                m = members[own][kernels.ragged(first, count)]
+                yield from _runs(d[m], p[m] + np.repeat(hit - off[row], count), n)
+                at = stop
+
+    return run
+
+
+def _runs(d: np.ndarray, start: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
     """Windows by document as intervals, overlapping ones joined."""
     if not len(d):
         return
     order = np.lexsort((start, d))
     d, start = d[order], start[order]
-    new = np.concatenate([[True], (d[1:] != d[:-1]) | (start[1:] > start[:-1] + WINDOW)])
-    a = np.flatnonzero(new)
+    a = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (start[1:] > start[:-1] + WINDOW)]))
     b = np.append(a[1:], len(d)) - 1
-    yield from _span_rows(d[a], start[a], start[b] + WINDOW)
+    yield from hit_rows(d[a], start[a], n, start[b] + WINDOW)
 
 
 # ---- removal ---------------------------------------------------------------------------------
@@ -338,7 +349,7 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k in range(j - i):
                 own = raw[off[k] : off[k + 1]]
                 if starts[k]:
-                    drop = kernels.cover(len(own), np.minimum(common.joined(starts[k], np.int32), len(own)), np.minimum(common.joined(ends[k], np.int32), len(own)))
+                    drop = kernels.cover(len(own), np.minimum(np.frombuffer(starts[k], np.int32), len(own)), np.minimum(np.frombuffer(ends[k], np.int32), len(own)))
                     edge = np.flatnonzero(np.diff(np.concatenate([[False], drop, [False]]).astype(np.int8))).tolist()
                     spans.append([{"start": a, "end": b} for a, b in zip(edge[::2], edge[1::2], strict=True)])
                     own = own[~drop]
@@ -353,14 +364,12 @@ def remove_shared(docs: DataFrame) -> DataFrame:
     n = common.partitions(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     keyed = docs.where(F.col("doc_id").isNotNull())
-    hits = common.exchange(keyed.mapInArrow(_grams(n), ENTRY_SQL), n).mapInArrow(_nominate, HIT_SQL)
-    hits = hits.groupBy("doc_id").agg(F.collect_list("at").alias("at"))
-    around = keyed.join(hits.hint("merge"), "doc_id").select("doc_id", "text", "at")
-    spans = common.exchange(around.mapInArrow(_strings(n), STRINGS_SQL), n).mapInArrow(_construct, SPAN_SQL)
-    spans = spans.groupBy("doc_id").agg(F.collect_list("start").alias("s"), F.collect_list("end").alias("e"))
-    judged = keyed.join(spans.hint("merge"), "doc_id", "left").select("doc_id", "text", "s", "e")
-    none = F.lit(None).cast("array<binary>")
-    free = docs.where(F.col("doc_id").isNull()).select("doc_id", "text", none.alias("s"), none.alias("e"))
+    hits = common.exchange(keyed.mapInArrow(_grams(n), ENTRY_SQL), n).mapInArrow(_nominate(n), HIT_SQL)
+    around = keyed.join(by_document(hits, n).hint("merge"), "doc_id").select("doc_id", "text", "at")
+    spans = common.exchange(around.mapInArrow(_strings(n), STRINGS_SQL), n).mapInArrow(_construct(n), HIT_SQL)
+    judged = keyed.join(by_document(spans, n).hint("merge"), "doc_id", "left").select("doc_id", "text", "at", "ends")
+    none = F.lit(None).cast("binary")
+    free = docs.where(F.col("doc_id").isNull()).select("doc_id", "text", none.alias("at"), none.alias("ends"))
     return judged.mapInArrow(_clean, CLEANED_SQL).unionByName(free.mapInArrow(_clean, CLEANED_SQL))
 
 
