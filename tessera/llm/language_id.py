@@ -153,7 +153,7 @@ class Scorer:
         n, groups = len(off) - 1, len(self.model.languages)
         raw = kernels.ASCII_LOWER[raw]
         start, end, row = kernels.words(off, raw, kernels.NO_LETTER)
-        if not len(start):
+        if not len(start) or not groups:
             return np.zeros((n, groups))
         uniq, first, inv = np.unique(self.roll.spans(self.roll.prefix(raw), start, end), return_index=True, return_inverse=True)
         at = np.searchsorted(self.keys, uniq)
