@@ -135,16 +135,17 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
     A repeat keeps its text as it was; a part keeps its words, joined by one space.
     """
-    key = [F.xxhash64("doc_id", "source", "h").alias("_k1"), F.xxhash64("h", "source", "doc_id", F.lit(1)).alias("_k2")]
-    p = plan(docs, **options).where((F.col("copies") > 0) | (F.size("ranges") > 0)).select(*key, F.struct("copies", "ranges").alias("_t"))
+    key = [F.xxhash64("doc_id", "source", "h").alias("_ts_k1"), F.xxhash64("h", "source", "doc_id", F.lit(1)).alias("_ts_k2")]
+    p = plan(docs, **options).where((F.col("copies") > 0) | (F.size("ranges") > 0)).select(*key, F.struct("copies", "ranges").alias("_ts_t"))
     names = docs.columns
-    own = docs.withColumn("h", F.xxhash64("text")).select("*", *key).drop("h") if "h" not in names else docs.withColumn("_h", F.xxhash64("text")).select("*", F.xxhash64("doc_id", "source", "_h").alias("_k1"), F.xxhash64("_h", "source", "doc_id", F.lit(1)).alias("_k2"))
+    text_hash = F.xxhash64("text")
+    own = docs.select("*", F.xxhash64("doc_id", "source", text_hash).alias("_ts_k1"), F.xxhash64(text_hash, "source", "doc_id", F.lit(1)).alias("_ts_k2"))
     # rows that repeat a document are one text with the takes of all of them
-    got = own.dropDuplicates(["_k1", "_k2"]).join(p, ["_k1", "_k2"])
+    got = own.dropDuplicates(["_ts_k1", "_ts_k2"]).join(p, ["_ts_k1", "_ts_k2"])
     words = F.regexp_extract_all(F.col("text"), F.lit(f"({common.WORD})"))
-    part = F.array_join(F.flatten(F.transform(F.col("_t")["ranges"], lambda r: F.slice(words, (r["at"] + 1).cast("int"), r["n"].cast("int")))), " ")
-    texts = F.concat(F.array_repeat(F.col("text"), F.col("_t")["copies"].cast("int")), F.when(F.size(F.col("_t")["ranges"]) > 0, F.array(part)).otherwise(F.expr("cast(array() as array<string>)")))
-    return got.withColumn("_text", F.explode(texts)).select(*[F.col("_text").alias("text") if c == "text" else F.char_length("_text").cast("long").alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in names])
+    part = F.array_join(F.flatten(F.transform(F.col("_ts_t")["ranges"], lambda r: F.slice(words, (r["at"] + 1).cast("int"), r["n"].cast("int")))), " ")
+    texts = F.concat(F.array_repeat(F.col("text"), F.col("_ts_t")["copies"].cast("int")), F.when(F.size(F.col("_ts_t")["ranges"]) > 0, F.array(part)).otherwise(F.expr("cast(array() as array<string>)")))
+    return got.withColumn("_ts_text", F.explode(texts)).select(*[F.col("_ts_text").alias("text") if c == "text" else F.char_length("_ts_text").cast("long").alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in names])
 
 
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
