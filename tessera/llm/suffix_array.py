@@ -40,6 +40,8 @@ from tessera.llm.substring import ENTRY_SQL, HIT, HIT_SQL, REMEMBERED, _keys, by
 
 WINDOW = 50
 GRAM = 20
+#: Bytes of text that one pass works on: repeats within them are settled before any shuffle.
+PIECE_BYTES = 3 << 20
 #: Strings that one collection has at most, and so the bytes that its files hold.
 COLLECTION = 800
 
@@ -160,7 +162,7 @@ def _grams(n: int):
         roll, seen = kernels.Rolling(71), np.zeros(0, np.uint64)
         for batch in batches:
             keys, valid = _keys(batch)
-            for i, j, off, raw in kernels.pieces(batch.column(1)):
+            for i, j, off, raw in kernels.pieces(batch.column(1), PIECE_BYTES):
                 g = roll.windows(roll.prefix(raw), GRAM)
                 at, _, _ = kernels.anchors(g, off, WINDOW, GRAM)
                 row = np.searchsorted(off, at, side="right") - 1
@@ -229,7 +231,7 @@ def _strings(n: int):
         for batch in batches:
             keys, _ = _keys(batch)
             hits = batch.column(2)
-            for i, j, off, raw in kernels.pieces(batch.column(1)):
+            for i, j, off, raw in kernels.pieces(batch.column(1), PIECE_BYTES):
                 marked = np.zeros(len(raw) + 1, bool)
                 for k, own in enumerate(hits.slice(i, j - i).to_pylist()):
                     if own:
@@ -343,7 +345,7 @@ CLEANED_SQL = "doc_id long, n_bytes long, removed array<struct<start: long, end:
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for i, j, off, raw in kernels.pieces(batch.column(1)):
+        for i, j, off, raw in kernels.pieces(batch.column(1), PIECE_BYTES):
             spans, kept = [], []
             starts, ends = batch.column(2).slice(i, j - i).to_pylist(), batch.column(3).slice(i, j - i).to_pylist()
             for k in range(j - i):
