@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import json
 import posixpath
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -102,3 +104,9 @@ def run_job(root: str, prompt: str, script: str, job: Callable[[str], None], val
     put(f"{base}/scene.py", script.encode())
     job(root)
     validate(root)
+
+
+def workspace(spark: SparkSession, name: str = "workspace") -> str:
+    """A new folder that driver and executors share, below ``spark.checkpoint.dir``."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tessera-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars as S
-from tessera.functions.answers import parse_answers
 from tessera.operators import layout, models, pages
 from tessera.plans.registry import query, read
 
@@ -201,4 +198,3 @@ def canvas_size(spark, sf):
     return layout.canvas(d.select(F.col("source").alias("doc_id"), F.col("n_chars").alias("width"), F.col("n_chars").alias("height")))
 
 
-_ = (json, parse_answers)

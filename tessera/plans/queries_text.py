@@ -74,4 +74,3 @@ def dynamic_values(spark, sf):
     return e.groupBy("user_id").agg(F.count("*").alias("events"), F.count("v").alias("with_key"))
 
 
-_ = S

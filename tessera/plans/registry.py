@@ -29,4 +29,4 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from tessera.plans import queries_media, queries_pages, queries_text  # noqa: E402, F401  they add themselves
+from tessera.plans import queries_media, queries_models, queries_pages, queries_text  # noqa: E402, F401  they add themselves
