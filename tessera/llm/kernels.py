@@ -174,3 +174,14 @@ def ragged(start: np.ndarray, length: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(length)
     return np.arange(total) - np.repeat(ends - length, length) + np.repeat(start, length)
+
+
+def planes(x: np.ndarray) -> bytes:
+    """Numbers by their first bytes, second bytes and so on: small ones then compress well."""
+    x = np.ascontiguousarray(x)
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def unplanes(data: bytes, dtype) -> np.ndarray:
+    dtype = np.dtype(dtype)
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(dtype.itemsize, -1).T).view(dtype).ravel()

@@ -67,15 +67,16 @@ def packed(bucket: np.ndarray, h: np.ndarray, f: np.ndarray, d: np.ndarray, p: n
     for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
         new = np.flatnonzero(np.concatenate([[True], d[a + 1 : b] != d[a : b - 1]]))
         cols[0].append(int(bucket[a]))
-        for c, x in zip(cols[1:], (h[a:b], f[a:b], d[a:b][new], np.diff(np.append(new, b - a)).astype(np.uint32), p[a:b].astype(np.int32)), strict=True):
-            c.append(x.tobytes())
+        for c, x in zip(cols[1:], (h[a:b].tobytes(), f[a:b].tobytes(), d[a:b][new].tobytes(), np.diff(np.append(new, b - a)).astype(np.uint32).tobytes(), kernels.planes(p[a:b].astype(np.int32))), strict=True):
+            c.append(x)
     return common.rows(ENTRY, *cols, [settled] * len(cols[0]))
 
 
 def unpacked(batches: list[pa.RecordBatch], kind_h, kind_f) -> tuple[np.ndarray, ...]:
     """(h, f, d, p) of all entries of the rows."""
     col = lambda k, t: common.joined([v for b in batches for v in b.column(k).to_pylist()], t)
-    return col(1, kind_h), col(2, kind_f), np.repeat(col(3, np.int64), col(4, np.uint32)), col(5, np.int32)
+    places = [kernels.unplanes(v, np.int32) for b in batches for v in b.column(5).to_pylist()]
+    return col(1, kind_h), col(2, kind_f), np.repeat(col(3, np.int64), col(4, np.uint32)), np.concatenate(places)
 
 
 def hit_rows(d: np.ndarray, p: np.ndarray, n: int, e: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
@@ -90,7 +91,7 @@ def hit_rows(d: np.ndarray, p: np.ndarray, n: int, e: np.ndarray | None = None)
     cols: list[list] = [[] for _ in range(5)]
     for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
         new = np.flatnonzero(np.concatenate([[True], d[a + 1 : b] != d[a : b - 1]]))
-        for c, x in zip(cols, (int(bucket[a]), d[a:b][new].tobytes(), np.diff(np.append(new, b - a)).astype(np.uint32).tobytes(), p[a:b].tobytes(), e[a:b].tobytes()), strict=True):
+        for c, x in zip(cols, (int(bucket[a]), d[a:b][new].tobytes(), np.diff(np.append(new, b - a)).astype(np.uint32).tobytes(), kernels.planes(p[a:b]), kernels.planes(e[a:b])), strict=True):
             c.append(x)
     yield common.rows(HIT, *cols)
 
@@ -102,7 +103,7 @@ def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             have.setdefault(r["bucket"], []).append(r)
     for parts in have.values():
         col = lambda k, t: common.joined([r[k] for r in parts], t)  # noqa: B023, E731
-        d, p, e = np.repeat(col("d", np.int64), col("n", np.uint32)), col("p", np.int32), col("e", np.int32)
+        d, p, e = np.repeat(col("d", np.int64), col("n", np.uint32)), *(np.concatenate([kernels.unplanes(r[k], np.int32) for r in parts]) for k in "pe")
         order = np.lexsort((p, d))
         d, p, e = d[order], p[order], e[order]
         edge = np.concatenate([[0], np.flatnonzero(np.diff(d)) + 1, [len(d)]])

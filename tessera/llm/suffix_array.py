@@ -267,7 +267,7 @@ def _strings(n: int):
                 for x, y in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
                     s = send[x:y]
                     size = (e - a)[s]
-                    for c, v in zip(cols, (int(bucket[x]), (h[s] >> np.uint64(32)).astype(np.uint32).tobytes(), d[s].tobytes(), p[s].astype(np.int32).tobytes(), size.astype(np.uint8).tobytes(), press.compress(raw[kernels.ragged(a[s], size)].tobytes())), strict=True):
+                    for c, v in zip(cols, (int(bucket[x]), (h[s] >> np.uint64(32)).astype(np.uint32).tobytes(), d[s].tobytes(), kernels.planes(p[s].astype(np.int32)), size.astype(np.uint8).tobytes(), press.compress(raw[kernels.ragged(a[s], size)].tobytes())), strict=True):
                         c.append(v)
                 yield common.rows(STRINGS, *cols, [False] * len(cols[0]))
 
@@ -288,7 +288,8 @@ def _construct(n: int):
                     have.setdefault(one.column(0)[0].as_py(), []).append(one)
         for parts in have.values():
             col = lambda k, t: common.joined([v for b in parts for v in b.column(k).to_pylist()], t)  # noqa: B023, E731
-            h, d, p, size = col(1, np.uint32), col(2, np.int64), col(3, np.int32), col(4, np.uint8).astype(np.int64)
+            h, d, size = col(1, np.uint32), col(2, np.int64), col(4, np.uint8).astype(np.int64)
+            p = np.concatenate([kernels.unplanes(v, np.int32) for b in parts for v in b.column(3).to_pylist()])
             raw = np.frombuffer(b"".join(open_.decompress(v) for b in parts for v in b.column(5).to_pylist()), np.uint8)
             begin = np.cumsum(size) - size
             # equal strings are one string of the collection, that of the least document: all windows of the others repeat
