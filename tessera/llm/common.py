@@ -111,5 +111,3 @@ def joined(values, dtype) -> np.ndarray:
     return np.frombuffer(data, dtype)
 
 
-def by_partition(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    return function
