@@ -30,6 +30,7 @@ of them returned; other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,8 @@ LEVELS = 32
 SHORT = 24
 #: Sets that one copy of a partner meets.
 SALT_ROWS = 512
+#: Bytes of text whose sets are made at a time.
+PIECE_BYTES = 1 << 20
 
 U64 = np.uint64
 
@@ -97,7 +100,7 @@ _META = "doc_id long, n long, sampled long, k1 long, k2 long"
 def _meta(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     s = Shingler()
     for b in batches:
-        for i, j, off, raw in kernels.pieces(b.column(1)):
+        for i, j, off, raw in kernels.pieces(b.column(1), PIECE_BYTES):
             first, g = s.sets(off, raw)
             k = [np.concatenate([[U64(0)], np.cumsum(kernels.mix(g ^ U64(c)))]) for c in (0x51ED270B, 0x2545F491)]
             k = [(x[first[1:]] - x[first[:-1]]).view(np.int64) for x in k]
@@ -112,7 +115,7 @@ def _sampled(n_buckets: int):
         s = Shingler()
         for b in batches:
             keys = b.column(0).to_numpy(zero_copy_only=False)
-            for i, j, off, raw in kernels.pieces(b.column(1)):
+            for i, j, off, raw in kernels.pieces(b.column(1), PIECE_BYTES):
                 first, g = s.sets(off, raw)
                 own = np.flatnonzero(g < SAMPLED)
                 if not len(own):
@@ -167,7 +170,7 @@ def _postings(n_buckets: int):
         s = Shingler()
         for b in batches:
             keys = b.column(0).to_numpy(zero_copy_only=False)
-            for i, j, off, raw in kernels.pieces(b.column(1)):
+            for i, j, off, raw in kernels.pieces(b.column(1), PIECE_BYTES):
                 first, h = s.sets(off, raw)
                 d = np.repeat(keys[i:j], np.diff(first))
                 if not len(h):
@@ -187,8 +190,9 @@ def _postings(n_buckets: int):
 
 
 #: kind 0: a bucket's lists, by document; kind 1: leaders of lists; kind 2: facts of documents.
-_LISTS = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("tokens", pa.binary()), ("long", pa.binary())])
-_LISTS_SQL = "kind int, bucket int, docs binary, counts binary, tokens binary, long binary"
+#: Kinds 0 to 2 stand in buckets of documents; ``home`` is the bucket of hashes that a list is of.
+_LISTS = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("tokens", pa.binary()), ("long", pa.binary()), ("home", pa.int32())])
+_LISTS_SQL = "kind int, bucket int, docs binary, counts binary, tokens binary, long binary, home int"
 _LED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("hits", pa.int64())])
 _FACTS = pa.schema([("doc_id", pa.int64()), ("shared", pa.binary()), ("long", pa.binary())])
 
@@ -218,21 +222,17 @@ def _merge_lists(n_buckets: int):
             many = size[of] > 1
             lead = d[new][of]
             led = many & (d != lead) & (level(h) == 0)  # a part of the lists is enough to find a leader
-            for kind, x, y in ((1, d[led], lead[led]),):
-                if len(x):
-                    yield from _by_bucket(kind, n_buckets, x, y, np.zeros(len(x), np.uint8))
+            if led.any():
+                yield from _by_bucket(1, n_buckets, d[led], lead[led], np.zeros(led.sum(), np.uint8))
             h, d, long = h[many], d[many], (size[of][many] > SHORT).astype(np.uint8)
             if len(h):
                 yield from _by_bucket(2, n_buckets, d, level(h), long)
-                order = np.lexsort((h, d))
-                h, d, long = h[order], d[order], long[order]
-                at = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
-                yield common.rows(_LISTS, [0], [bucket], [d[at].tobytes()], [np.diff(np.append(at, len(d))).astype(np.uint32).tobytes()], [h.tobytes()], [long.tobytes()])
+                yield from _by_bucket(0, n_buckets, d, h, long, bucket)
 
     return run
 
 
-def _by_bucket(kind: int, n: int, d: np.ndarray, v: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _by_bucket(kind: int, n: int, d: np.ndarray, v: np.ndarray, f: np.ndarray, home: int = 0) -> Iterator[pa.RecordBatch]:
     """Values and flags of documents, a row for each bucket of documents."""
     bucket = doc_bucket(d, n)
     order = np.lexsort((v, d, bucket))
@@ -241,9 +241,9 @@ def _by_bucket(kind: int, n: int, d: np.ndarray, v: np.ndarray, f: np.ndarray) -
     cols: list[list] = [[], [], [], [], []]
     for x, y in zip(edge[:-1], edge[1:], strict=True):
         at = np.flatnonzero(np.concatenate([[True], d[x + 1 : y] != d[x : y - 1]]))
-        for c, w in zip(cols, (int(bucket[x]), d[x:y][at].tobytes(), np.diff(np.append(at, y - x)).astype(np.uint32).tobytes(), v[x:y].astype(np.int64).tobytes(), f[x:y].tobytes()), strict=True):
+        for c, w in zip(cols, (int(bucket[x]), d[x:y][at].tobytes(), np.diff(np.append(at, y - x)).astype(np.uint32).tobytes(), (v[x:y] if v.dtype == U64 else v[x:y].astype(np.int64)).tobytes(), f[x:y].tobytes()), strict=True):
             c.append(w)
-    yield common.rows(_LISTS, [kind] * len(cols[0]), *cols)
+    yield common.rows(_LISTS, [kind] * len(cols[0]), *cols, [home] * len(cols[0]))
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -297,7 +297,9 @@ def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(ok)), pa.array(n[ok]), pa.array(own[ok]), pa.array(cut[ok].astype(np.int32)), pa.array(long[ok, cut[ok]])], ["doc_id", "n", "own", "cut", "n_long"])
 
 
-_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("by_short", pa.int64()), ("by_long", pa.int64())])
+#: Counts of pairs on their way to be summed: a row for each task and bucket of pairs.
+_PAIRS = pa.schema([("bucket", pa.int32())] + [(c, pa.binary()) for c in ("a", "b", "short", "long", "n_a", "n_b", "l_a", "l_b")])
+_PAIRS_SQL = "bucket int, a binary, b binary, short binary, long binary, n_a binary, n_b binary, l_a binary, l_b binary"
 
 
 def may_link(n_x, own_x, n_y, own_y):
@@ -339,23 +341,21 @@ def _ranges(m, left, to, first, stop) -> Iterator[tuple[np.ndarray, np.ndarray]]
         at = end
 
 
-def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate counts from the lists of each bucket."""
+def _search(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[pa.RecordBatch]:
+    """Candidate counts from the lists of each bucket, packed for the buckets of pairs."""
     have: dict[int, list] = {}
     for b in batches:
         for r in b.to_pylist():
             have.setdefault(r["bucket"], []).append(r)
     for parts in have.values():
-        ids = np.array([r["doc_id"] for r in parts])
-        n, own, comp, cut = (np.array([r[k] for r in parts]) for k in ("n", "own", "comp", "cut"))
-        heavy = np.array([r["n_long"] for r in parts]) >= extra(n)
-        size = np.array([len(r["long"]) for r in parts])
-        who = np.repeat(np.arange(len(parts)), size)
+        ids = common.joined([r["docs"] for r in parts], np.int64)
+        n, own, _, n_long, comp = np.concatenate([np.frombuffer(r["facts"], np.int64).reshape(len(_FACT_NAMES), -1) for r in parts], axis=1)
+        heavy = n_long >= extra(n)
+        who = np.repeat(np.arange(len(ids)), common.joined([r["counts"] for r in parts], np.uint32))
         token = common.joined([r["tokens"] for r in parts], U64)
         long = common.joined([r["long"] for r in parts], np.uint8).astype(bool)
-        kept = level(token) <= cut[who]
         total: list[list] = [[], []]
-        for kind, use in ((0, kept & ~long), (1, kept & long & heavy[who])):
+        for kind, use in ((0, ~long), (1, long & heavy[who])):
             if not use.any():
                 continue
             for x, y in _cross(token[use], who[use], n, own, comp):
@@ -363,24 +363,88 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 x, y = x[ok], y[ok]
                 x, y = np.where(ids[x] < ids[y], x, y), np.where(ids[x] < ids[y], y, x)
                 if len(x):
-                    total[kind].append(np.unique(x * np.int64(len(parts)) + y, return_counts=True))
+                    total[kind].append(np.unique(x * np.int64(len(ids)) + y, return_counts=True))
         if not (total[0] or total[1]):
             continue
         pairs, inv = np.unique(np.concatenate([p for k in total for p, _ in k]), return_inverse=True)
         counts = [np.concatenate([c * (k == kind) for k in (0, 1) for _, c in total[k]]) for kind in (0, 1)]
-        yield common.rows(_PAIRS, ids[pairs // len(parts)], ids[pairs % len(parts)], *[np.bincount(inv, weights=c).astype(np.int64) for c in counts])
+        x, y = pairs // len(ids), pairs % len(ids)
+        values = [ids[x], ids[y], *[np.bincount(inv, weights=c).astype(np.int32) for c in counts], *[v.astype(np.int32) for v in (n[x], n[y], n_long[x], n_long[y])]]
+        bucket = (kernels.mix(ids[x].view(U64) * U64(0x9E3779B97F4A7C15) + ids[y].view(U64)) % U64(n_buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        edge = np.concatenate([[0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)]]).tolist()
+        parts_ = [order[p:q] for p, q in zip(edge[:-1], edge[1:], strict=True)]
+        yield common.rows(_PAIRS, [int(bucket[o[0]]) for o in parts_], *[[v[o].tobytes() for o in parts_] for v in values])
+
+
+def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose counts over all buckets reach what theirs must."""
+    have: dict[int, list] = {}
+    for b in batches:
+        for r in b.to_pylist():
+            have.setdefault(r["bucket"], []).append(r)
+    for parts in have.values():
+        a, b = (common.joined([r[k] for r in parts], np.int64) for k in "ab")
+        short, long, n_a, n_b, l_a, l_b = (common.joined([r[k] for r in parts], np.int32).astype(np.int64) for k in ("short", "long", "n_a", "n_b", "l_a", "l_b"))
+        order = np.lexsort((b, a))
+        new = np.flatnonzero(np.concatenate([[True], (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])]))
+        short, long = np.add.reduceat(short[order], new), np.add.reduceat(long[order], new)
+        first = order[new]
+        l_x, l_y = extra(n_a[first]), extra(n_b[first])
+        need, both = np.minimum(l_x, l_y), (l_a[first] >= l_x) & (l_b[first] >= l_y)
+        ok = np.where(both, short + long >= need, short >= np.maximum(1, need - np.minimum(l_a[first], l_b[first])))
+        if ok.any():
+            yield common.rows(_LINK, b[first[ok]], a[first[ok]])
+
+
+_FACT_NAMES = ("n", "own", "cut", "n_long", "comp")
 
 
-_ROWS = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("tokens", pa.binary()), ("long", pa.binary())])
+def _packed_facts(n_buckets: int):
+    """Facts of documents in their buckets (kind 3), next to their lists."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            ids = b.column(0).to_numpy()
+            facts = np.stack([b.column(k + 1).to_numpy().astype(np.int64) for k in range(len(_FACT_NAMES))])
+            bucket = doc_bucket(ids, n_buckets)
+            for k in np.unique(bucket).tolist():
+                own = bucket == k
+                yield common.rows(_LISTS, [3], [k], [ids[own].tobytes()], [b""], [facts[:, own].tobytes()], [b""], [0])
+
+    return run
 
-def _list_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+_TODO = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("tokens", pa.binary()), ("long", pa.binary()), ("facts", pa.binary())])
+_TODO_SQL = "bucket int, docs binary, counts binary, tokens binary, long binary, facts binary"
+
+
+def _attach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lists with the facts of their documents, cut to what is kept, for their own buckets again."""
+    facts: dict[int, list] = {}
+    lists: dict[int, list] = {}
     for b in batches:
         for r in b.to_pylist():
-            ids, count = np.frombuffer(r["docs"], np.int64), np.frombuffer(r["counts"], np.uint32).astype(np.int64)
-            edge = np.concatenate([[0], np.cumsum(count)]).tolist()
-            t, f = r["tokens"], r["long"]
-            yield common.rows(_ROWS, np.full(len(ids), r["bucket"], np.int32), ids, [t[8 * x : 8 * y] for x, y in zip(edge[:-1], edge[1:], strict=True)], [f[x:y] for x, y in zip(edge[:-1], edge[1:], strict=True)])
+            (facts if r["kind"] == 3 else lists).setdefault(r["bucket"], []).append(r)
+    for k, parts in lists.items():
+        if k not in facts:
+            continue
+        ids = common.joined([r["docs"] for r in facts[k]], np.int64)
+        known = np.concatenate([np.frombuffer(r["tokens"], np.int64).reshape(len(_FACT_NAMES), -1) for r in facts[k]], axis=1)
+        order = np.argsort(ids)
+        ids, known = ids[order], known[:, order]
+        for r in parts:
+            d, count = np.frombuffer(r["docs"], np.int64), np.frombuffer(r["counts"], np.uint32).astype(np.int64)
+            at = np.minimum(np.searchsorted(ids, d), len(ids) - 1)
+            of = np.repeat(np.arange(len(d)), count)
+            token, long = np.frombuffer(r["tokens"], U64), np.frombuffer(r["long"], np.uint8)
+            keep = (ids[at] == d)[of] & (level(token) <= known[2][at][of])
+            count = np.bincount(of[keep], minlength=len(d))
+            some = count > 0
+            if some.any():
+                yield common.rows(_TODO, [r["home"]], [d[some].tobytes()], [count[some].astype(np.uint32).tobytes()], [token[keep].tobytes()], [long[keep].tobytes()], [known[:, at[some]].tobytes()])
 
 
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -391,7 +455,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     s, partner, own = Shingler(), None, np.zeros(0, U64)
     for b in batches:
         ys, xs = b.column(0).to_pylist(), b.column(2).to_pylist()
-        for i, j, off, raw in kernels.pieces(b.column(3)):
+        for i, j, off, raw in kernels.pieces(b.column(3), PIECE_BYTES):
             first, g = s.sets(off, raw)
             out: list[list] = [[], []]
             for k in range(j - i):
@@ -411,13 +475,12 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def compare(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose documents link: one exchange of texts to their partners b."""
-    n = common.partitions(docs.sparkSession)
     per = pairs.groupBy("b").count().select("b", F.ceil(F.col("count") / SALT_ROWS).cast("int").alias("salts"))
     to = pairs.join(per, "b").select(F.col("a").alias("doc_id"), "b", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt"))
     to = to.unionByName(per.select(F.col("b").alias("doc_id"), "b", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")))
     to = common.stored(to, "jaccard-pairs")
     sent = docs.join(to, "doc_id").select("b", "salt", "doc_id", "text")
-    sent = sent.repartition(n, "b", "salt").sortWithinPartitions("b", "salt", (F.col("doc_id") != F.col("b")))
+    sent = sent.repartition("b", "salt").sortWithinPartitions("b", "salt", (F.col("doc_id") != F.col("b")))
     return common.stored(sent.mapInArrow(_compare, "a long, b long"), "jaccard-links").distinct()
 
 
@@ -448,15 +511,11 @@ def link_components(docs: DataFrame) -> DataFrame:
     comp = common.components(links)
     # 4. search over what different components still share
     todo = facts.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
-    todo = kind(0).mapInArrow(_list_rows, "bucket int, doc_id long, tokens binary, long binary").join(todo.hint("merge"), "doc_id")
-    found = common.exchange(todo.select("bucket", "doc_id", "n", "own", "cut", "n_long", "comp", "tokens", "long"), n).mapInArrow(_search, "a long, b long, by_short long, by_long long")
-    found = found.groupBy("a", "b").agg(F.sum("by_short").alias("by_short"), F.sum("by_long").alias("by_long"))
-    found = found.join(fact("a"), "a").join(fact("b"), "b")
-    l = lambda x: F.greatest(F.lit(1), F.floor(F.col(f"n_{x}") * EXTRA))  # noqa: E731, E741
-    need = F.least(l("a"), l("b"))
-    both = (F.col("l_a") >= l("a")) & (F.col("l_b") >= l("b"))
-    enough = F.when(both, F.col("by_short") + F.col("by_long") >= need).otherwise(F.col("by_short") >= F.greatest(F.lit(1), need - F.least("l_a", "l_b")))
-    more = compare(active, common.stored(found.where(enough).select(F.col("b").alias("a"), F.col("a").alias("b")), "jaccard-candidates"))
+    todo = kind(0).unionByName(todo.select("doc_id", *_FACT_NAMES).mapInArrow(_packed_facts(n), _LISTS_SQL))
+    todo = common.exchange(todo, n).mapInArrow(_attach, _TODO_SQL)
+    found = common.exchange(todo, n).mapInArrow(partial(_search, n_buckets=n), _PAIRS_SQL)
+    found = common.exchange(found, n).mapInArrow(_decide, "a long, b long")
+    more = compare(active, common.stored(found, "jaccard-candidates"))
     every = links.unionByName(more).unionByName(classes.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     comp = common.components(every).withColumnRenamed("node", "doc_id")
     return meta.select("doc_id", "n").join(comp, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
