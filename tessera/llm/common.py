@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -46,6 +47,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_RESIDENT: dict = {}
+
+
+def resident(key, make):
+    """A Python worker's model with what it remembers, kept from task to task; one at a time, so
+    that a worker which serves several operators holds the memory of one."""
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        gc.collect()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
+
+
 def exchange(df: DataFrame, n: int, bucket: str = "bucket") -> DataFrame:
     """Send each row to the partition that its bucket numbers."""
     return df.repartitionById(n, F.col(bucket))

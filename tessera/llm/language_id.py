@@ -36,7 +36,7 @@ SMOOTHING = 0.02
 LIFT = float(np.exp(2.0))
 UNKNOWN = "und"
 #: Scores of that many words are remembered by a worker; beyond it starts afresh.
-REMEMBERED = 2_000_000
+REMEMBERED = 1_200_000
 
 
 @dataclass
@@ -47,15 +47,6 @@ class LanguageModel:
     vocabulary: str
 
 
-_LOADED: dict[str, Vocabulary] = {}
-
-
-def vocabulary(path: str) -> Vocabulary:
-    if path not in _LOADED:
-        _LOADED[path] = Vocabulary(path)
-    return _LOADED[path]
-
-
 def _lifted(v: Vocabulary, probability: np.ndarray) -> np.ndarray:
     size = np.array([len(t) for t in v.texts] + [0], float)
     return probability * LIFT ** size[:, None]
@@ -91,7 +82,7 @@ def forward(v: Vocabulary, lifted: np.ndarray, raw: np.ndarray, start: np.ndarra
 
 def fit(texts: list[str], labels: list[str], path: str, rounds: int = ROUNDS, smoothing: float = SMOOTHING) -> LanguageModel:
     """Expectation maximisation of the piece probabilities of each language."""
-    v = vocabulary(path)
+    v = Vocabulary(path)
     languages = sorted(set(labels))
     groups = len(languages)
     usable = np.ones(v.size + 1)
@@ -143,7 +134,7 @@ class Scorer:
     """Scores batches of texts; the distinct words of each are scored once."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.v = model, vocabulary(model.vocabulary)
+        self.model, self.v = model, Vocabulary(model.vocabulary)
         self.lifted = _lifted(self.v, model.probability)
         self.roll = kernels.Rolling(77)
         self.keys, self.known = np.zeros(0, np.uint64), np.zeros((0, len(model.languages)))
@@ -172,14 +163,8 @@ class Scorer:
         return np.stack([np.bincount(row, weights=word[inv, g], minlength=n) for g in range(groups)], axis=1)
 
 
-_SCORERS: list[Scorer] = []
-
-
 def _scorer(model: LanguageModel) -> Scorer:
-    """The worker's own, kept from task to task with the words it has scored."""
-    if not _SCORERS or _SCORERS[0].model is not model:
-        _SCORERS[:] = [Scorer(model)]
-    return _SCORERS[0]
+    return common.resident(("scorer", id(model)), lambda: Scorer(model))  # the scorer holds its model, so the id stays its own
 
 
 def has_letter(off: np.ndarray, raw: np.ndarray) -> np.ndarray:

@@ -230,13 +230,8 @@ class Segmenter:
         return b"".join([self.v.texts[i] for i in ids.tolist()])
 
 
-_SEGMENTERS: dict[str, Segmenter] = {}
-
-
 def segmenter(path: str) -> Segmenter:
-    if path not in _SEGMENTERS:
-        _SEGMENTERS[path] = Segmenter(path)
-    return _SEGMENTERS[path]
+    return common.resident(("segmenter", path), lambda: Segmenter(path))
 
 
 def _nested(parts: list[list[np.ndarray]]) -> pa.Array:

@@ -201,14 +201,8 @@ class Encoder:
         return ids, np.bincount(row, weights=length[inv], minlength=len(off) - 1).astype(np.int64)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    """The worker's own, kept from task to task with the units it has met."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return common.resident(("encoder", path), lambda: Encoder(path))
 
 
 def _write_shard(fs, path: str, shard: int, keys: np.ndarray, null: np.ndarray, counts: np.ndarray, width: int) -> None:
