@@ -106,6 +106,7 @@ def _meta(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             k = [(x[first[1:]] - x[first[:-1]]).view(np.int64) for x in k]
             part = np.concatenate([[0], np.cumsum(g < SAMPLED)])
             yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(np.diff(first)), pa.array(part[first[1:]] - part[first[:-1]]), pa.array(k[0]), pa.array(k[1])], ["doc_id", "n", "sampled", "k1", "k2"])
+    common.trim()
 
 
 def _sampled(n_buckets: int):

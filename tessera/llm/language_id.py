@@ -36,7 +36,9 @@ SMOOTHING = 0.02
 LIFT = float(np.exp(2.0))
 UNKNOWN = "und"
 #: Scores of that many words are remembered by a worker; beyond it starts afresh.
-REMEMBERED = 1_200_000
+REMEMBERED = 600_000
+#: Bytes of text that are scored at a time.
+PIECE_BYTES = 1 << 20
 
 
 @dataclass
@@ -208,7 +210,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
             scorer = _scorer(shared.value)
             names = np.array(scorer.model.languages or [UNKNOWN])
             where = batch.schema.get_field_index("text")
-            for i, j, off, raw in kernels.pieces(batch.column(where)):
+            for i, j, off, raw in kernels.pieces(batch.column(where), PIECE_BYTES):
                 part = batch.slice(i, j - i)
                 s = scorer.score(off, raw)
                 known = has_letter(off, raw) & bool(len(scorer.model.languages))
@@ -220,6 +222,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 pred = np.where(known, names[best], UNKNOWN)
                 cols = [part.column(part.schema.get_field_index(c)) for c in kept]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(pred.astype(str).tolist(), pa.string()), pa.array(np.where(known, score, 0.0))], [*kept, "lang_pred", "score"])
+        common.trim()
 
     return docs.select(*kept).mapInArrow(run, schema)
 
