@@ -53,7 +53,7 @@ SHORT = 24
 #: Sets that one copy of a partner meets.
 SALT_ROWS = 512
 #: Bytes of text whose sets are made at a time.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 
 U64 = np.uint64
 
