@@ -263,3 +263,26 @@ def test_components(spark):
     got = {r.node: r.component for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: 0 for k in range(41)} | {k: 100 for k in range(100, 130)} | {200: 200, 201: 200}
     assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def brute_characters(lines):
+    """Lines that go of documents of one line each, by all their runs of 16 characters."""
+    sets = {k: {x[a : a + 16] for a in range(max(1, len(x) - 15))} for k, x in enumerate(x.strip().lower() for x in lines)}
+    return {k for k, c in brute_components(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b)).items() if k != c}
+
+
+def test_line_dedup_looks_at_every_character(spark):
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdefghij0123456789") for _ in range(n))
+    long = word(300)
+    lines = ["https://www.example.com/page1", "https://www.example.com/other/2", "日本語" * 5 + "abcdefghijkl", "日本語" * 5 + "mnopqrstuvwx"]
+    lines += [f"0123456789abcdef{word(60)}" for _ in range(20)] + [long, "x" + long, long[:299] + "!", long[:150] + word(150)]
+    lines += [f"a common beginning {word(12)}" for _ in range(5)] + ["an end behind\rthis", "an end behind\rthat"]
+    want = brute_characters(lines)
+    got = {r.doc_id for r in line_dedup.dedup_lines(docs(spark, lines)).collect() if r.n_removed}
+    assert got == want == {25, 26}
+
+
+def test_line_dedup_keeps_lines_apart_that_differ_at_the_end(spark):
+    lines = ["import numpy_extension_a", "import numpy_extension_b"]
+    assert not any(r.n_removed for r in line_dedup.dedup_lines(docs(spark, lines)).collect())
