@@ -19,9 +19,12 @@ SPACE = 0x20
 
 
 class Vocabulary:
-    """Pieces of a public SentencePiece file: bytes, scores, and a hash table to find them."""
+    """Pieces of a public SentencePiece file: bytes, scores, and a hash table to find them.
 
-    def __init__(self, path: str, seed: int = 411):
+    ``whole`` takes those that cross words (runs of spaces, control characters) as well.
+    """
+
+    def __init__(self, path: str, seed: int = 411, whole: bool = False):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -37,7 +40,8 @@ class Vocabulary:
             else:
                 self.texts.append(text.encode().replace(MARK, b" "))
                 # pieces with a space behind the first byte, or with a control character, cross words
-                if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) and score[i] > -1e8 and b" " not in self.texts[-1][1:] and (len(self.texts[-1]) == 1 or min(self.texts[-1]) >= 0x20):
+                word = score[i] > -1e8 and b" " not in self.texts[-1][1:] and (len(self.texts[-1]) == 1 or min(self.texts[-1]) >= 0x20)
+                if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) and (whole or word):
                     plain.append(i)
         self.size = len(self.texts)
         self.score = score
@@ -45,6 +49,11 @@ class Vocabulary:
         self.byte_score = float(score[plain].min()) - 10.0
         self.score = np.where(np.isin(np.arange(self.size), self.byte_ids), self.byte_score, self.score)
         self.longest = max(len(self.texts[i]) for i in plain)
+        #: Whether a piece has a byte, of 256 rows, next before another.
+        self.joins = np.zeros((256, 256), bool)
+        for i in plain:
+            own = np.frombuffer(self.texts[i], np.uint8)
+            self.joins[own[:-1], own[1:]] = True
         self.roll = kernels.Rolling(seed)
         self._fill(plain)
 

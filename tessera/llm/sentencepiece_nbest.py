@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding with N-best segmentation (operator 4).
 
-A text is cut before every space; a control character stands alone.  No piece crosses such a cut,
-so the lattice of a text is a chain of the lattices of its segments, and a forward Viterbi pass
+A text is cut before spaces and around control characters, but not between two bytes that stand next
+to each other in a piece (runs of spaces, ``;\\r``).  No piece of the vocabulary crosses such a cut, so
+the lattice of a text is a chain of the lattices of its segments, and a forward Viterbi pass
 scores each distinct segment once.  Those forward scores are the exact heuristic of a backward
 A* search, which gives the n best segmentations of a segment one after another, best first.
 
@@ -43,7 +44,7 @@ class Segmenter:
     """N-best segmentations of texts, the distinct segments of each worker solved once."""
 
     def __init__(self, path: str):
-        self.v = Vocabulary(path)
+        self.v = Vocabulary(path, whole=True)
         self.roll = kernels.Rolling(431)
         self.table = {self.v.texts[i]: i for _, _, _, found in self.v.tables for i in found[found >= 0].tolist()}
         self.keys = np.zeros(0, np.uint64)
@@ -154,13 +155,14 @@ class Segmenter:
     # ---- texts
 
     def segments(self, off: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, end, row): cut before spaces and around control characters."""
+        """(start, end, row): cut before spaces and around control characters where no piece crosses."""
         if not len(raw):
             none = np.zeros(0, np.int64)
             return none, none, none
         control = raw < 0x20
         cut = (raw == SPACE) | control
         cut[1:] |= control[:-1]
+        cut[1:] &= ~self.v.joins[raw[:-1], raw[1:]]
         cut[off[:-1][off[:-1] < len(raw)]] = True
         start = np.flatnonzero(cut)
         return start, np.append(start[1:], len(raw)), np.searchsorted(off, start, side="right") - 1

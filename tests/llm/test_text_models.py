@@ -107,6 +107,30 @@ def test_sentencepiece_nbest_against_a_whole_lattice(spark):
     assert sentencepiece_nbest.encode(docs(spark, []), path).count() == 0
 
 
+def test_sentencepiece_uses_pieces_that_cross_words():
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    of = {}
+    for i in range(model.get_piece_size()):
+        if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
+            of[model.id_to_piece(i).replace("▁", " ").encode()] = model.get_score(i)
+    longest, least = max(map(len, of)), min(of.values()) - 10
+    s = sentencepiece_nbest.Segmenter(path)
+    texts = ["if x:\n    y", "x = 1;\r\n  return x", "a" + " " * 40 + "b  c", "f();\r\n\r\n}\r", "   ", " \r\t\t x", "", "\x01 \x02", "y  ", "  z"]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    off, ids, scores, others = s.encode(np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])]), raw, 3)
+    for k, t in enumerate(texts):
+        b, best = t.encode(), [[0.0]]
+        for j in range(1, len(b) + 1):
+            pieces = [(a, of.get(b[a:j], least if j - a == 1 else None)) for a in range(max(0, j - longest), j)]
+            best.append(heapq.nlargest(3, [x + w for a, w in pieces if w is not None for x in best[a]]))
+        assert scores[k] == best[-1], t
+        ways = [ids[off[k] : off[k + 1]], *others[k]]
+        assert [sum(float(s.v.score[i]) for i in w) for w in ways] == scores[k] and all(s.decode(np.asarray(w)) == b for w in ways)
+
+
 def test_sentencepiece_digest(spark):
     got = queries.QUERIES["op4_sentencepiece"](spark, SF)
     assert got.where("round_trip").count() == got.count() == 200 and got.where("n_best < 2").count() < 5
