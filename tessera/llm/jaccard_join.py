@@ -85,9 +85,9 @@ class Shingler:
         return kernels.bounds(of, n), g
 
 
-def required(n):
+def required(n, percent: int = PERCENT):
     """Least overlap with any partner of a set of n."""
-    return (PERCENT * n + 99) // 100
+    return (percent * n + 99) // 100
 
 
 def extra(n):
@@ -97,8 +97,8 @@ def extra(n):
 _META = "doc_id long, n long, sampled long, k1 long, k2 long"
 
 
-def _meta(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    s = Shingler()
+def _meta(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    s = Shingler(words)
     for b in batches:
         for i, j, off, raw in kernels.pieces(b.column(1), PIECE_BYTES):
             first, g = s.sets(off, raw)
@@ -109,11 +109,11 @@ def _meta(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     common.trim()
 
 
-def _sampled(n_buckets: int):
+def _sampled(n_buckets: int, words: int):
     """Entries of a hashed part of all shingles for their buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = Shingler()
+        s = Shingler(words)
         for b in batches:
             keys = b.column(0).to_numpy(zero_copy_only=False)
             for i, j, off, raw in kernels.pieces(b.column(1), PIECE_BYTES):
@@ -166,9 +166,9 @@ def _shared(n: int):
 _POST = pa.schema([("bucket", pa.int32()), ("h", pa.binary()), ("d", pa.binary()), ("n", pa.binary())])
 
 
-def _postings(n_buckets: int):
+def _postings(n_buckets: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = Shingler()
+        s = Shingler(words)
         for b in batches:
             keys = b.column(0).to_numpy(zero_copy_only=False)
             for i, j, off, raw in kernels.pieces(b.column(1), PIECE_BYTES):
@@ -283,7 +283,7 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _CUT_SQL = "doc_id long, n long, own long, cut int, n_long long"
 
 
-def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cuts(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Up to which level each document's lists are kept; documents that can't link go."""
     for b in batches:
         if not b.num_rows:
@@ -292,9 +292,9 @@ def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = np.stack([np.frombuffer(x, np.int64) for x in b.column(2).to_pylist()])
         long = np.stack([np.frombuffer(x, np.int64) for x in b.column(3).to_pylist()])
         own = n - shared[:, -1]
-        need = n - required(n) + extra(n) - own  # after the document's own shingles
+        need = n - required(n, percent) + extra(n) - own  # after the document's own shingles
         cut = np.minimum((shared < need[:, None]).sum(axis=1), LEVELS - 1)
-        ok = np.flatnonzero(n - own >= required(n))
+        ok = np.flatnonzero(n - own >= required(n, percent))
         yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(ok)), pa.array(n[ok]), pa.array(own[ok]), pa.array(cut[ok].astype(np.int32)), pa.array(long[ok, cut[ok]])], ["doc_id", "n", "own", "cut", "n_long"])
 
 
@@ -303,12 +303,12 @@ _PAIRS = pa.schema([("bucket", pa.int32())] + [(c, pa.binary()) for c in ("a", "
 _PAIRS_SQL = "bucket int, a binary, b binary, short binary, long binary, n_a binary, n_b binary, l_a binary, l_b binary"
 
 
-def may_link(n_x, own_x, n_y, own_y):
-    """Whether what two sets don't have alone lets them link: 185 overlaps >= 85 sizes."""
-    return 185 * np.minimum(n_x - own_x, n_y - own_y) >= PERCENT * (n_x + n_y)
+def may_link(n_x, own_x, n_y, own_y, percent: int = PERCENT):
+    """Whether what two sets don't have alone lets them link: at 85 %, 185 overlaps >= 85 sizes."""
+    return (100 + percent) * np.minimum(n_x - own_x, n_y - own_y) >= percent * (n_x + n_y)
 
 
-def _cross(token: np.ndarray, who: np.ndarray, n: np.ndarray, own: np.ndarray, comp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _cross(token: np.ndarray, who: np.ndarray, n: np.ndarray, own: np.ndarray, comp: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of one list whose components differ and that may link, each list's in turn."""
     order = np.lexsort((n[who], token))  # the smaller set first
     token, who = token[order], who[order]
@@ -324,8 +324,8 @@ def _cross(token: np.ndarray, who: np.ndarray, n: np.ndarray, own: np.ndarray, c
         yield who[i], who[i + shift]
     for k in np.flatnonzero(mixed & ~small).tolist():
         m = who[new[k] : new[k] + size[k]]
-        tight = np.flatnonzero(may_link(n[m], own[m], n[m], 0))  # of a pair the smaller shares almost all it has
-        last = np.searchsorted(n[m] * PERCENT, n[m][tight] * 100, side="right")
+        tight = np.flatnonzero(may_link(n[m], own[m], n[m], 0, percent))  # of a pair the smaller shares almost all it has
+        last = np.searchsorted(n[m] * percent, n[m][tight] * 100, side="right")
         names, count = np.unique(comp[m], return_counts=True)
         out = comp[m] != names[count.argmax()]  # members of the largest component only meet others
         for side, to in ((~out[tight], np.flatnonzero(out)), (out[tight], np.arange(len(m)))):
@@ -342,7 +342,7 @@ def _ranges(m, left, to, first, stop) -> Iterator[tuple[np.ndarray, np.ndarray]]
         at = end
 
 
-def _search(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[pa.RecordBatch]:
+def _search(batches: Iterator[pa.RecordBatch], n_buckets: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Candidate counts from the lists of each bucket, packed for the buckets of pairs."""
     have: dict[int, list] = {}
     for b in batches:
@@ -359,8 +359,8 @@ def _search(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[pa.Re
         for kind, use in ((0, ~long), (1, long & heavy[who])):
             if not use.any():
                 continue
-            for x, y in _cross(token[use], who[use], n, own, comp):
-                ok = (comp[x] != comp[y]) & may_link(n[x], own[x], n[y], own[y])
+            for x, y in _cross(token[use], who[use], n, own, comp, percent):
+                ok = (comp[x] != comp[y]) & may_link(n[x], own[x], n[y], own[y], percent)
                 x, y = x[ok], y[ok]
                 x, y = np.where(ids[x] < ids[y], x, y), np.where(ids[x] < ids[y], y, x)
                 if len(x):
@@ -451,9 +451,9 @@ def _attach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
     """(partner, salt, doc_id, text), the partner first: pairs that link."""
-    s, partner, own = Shingler(), None, np.zeros(0, U64)
+    s, partner, own = Shingler(words), None, np.zeros(0, U64)
     for b in batches:
         ys, xs = b.column(0).to_pylist(), b.column(2).to_pylist()
         for i, j, off, raw in kernels.pieces(b.column(3), PIECE_BYTES):
@@ -467,14 +467,14 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     few, many = (mine, own) if len(mine) < len(own) else (own, mine)
                     at = np.minimum(np.searchsorted(many, few), len(many) - 1)  # binary probes
                     both = int((many[at] == few).sum())
-                    if 100 * both >= PERCENT * (len(mine) + len(own) - both):
+                    if 100 * both >= percent * (len(mine) + len(own) - both):
                         out[0].append(x)
                         out[1].append(y)
             if out[0]:
                 yield common.rows(_LINK, *out)
 
 
-def compare(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def compare(docs: DataFrame, pairs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose documents link: one exchange of texts to their partners b."""
     per = pairs.groupBy("b").count().select("b", F.ceil(F.col("count") / SALT_ROWS).cast("int").alias("salts"))
     to = pairs.join(per, "b").select(F.col("a").alias("doc_id"), "b", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt"))
@@ -482,49 +482,52 @@ def compare(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     to = common.stored(to, "jaccard-pairs")
     sent = docs.join(to, "doc_id").select("b", "salt", "doc_id", "text")
     sent = sent.repartition("b", "salt").sortWithinPartitions("b", "salt", (F.col("doc_id") != F.col("b")))
-    return common.stored(sent.mapInArrow(_compare, "a long, b long"), "jaccard-links").distinct()
+    return common.stored(sent.mapInArrow(partial(_compare, words=words, percent=percent), "a long, b long"), "jaccard-links").distinct()
 
 
-def link_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document of (doc_id, text)."""
+def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document of (doc_id, text).
+
+    ``words`` and ``percent``: the width of a shingle and the similarity of a link.
+    """
     n = common.partitions(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     keyed = docs.where(F.col("doc_id").isNotNull())
-    meta = common.stored(docs.mapInArrow(_meta, _META), "jaccard-sets")
+    meta = common.stored(docs.mapInArrow(partial(_meta, words=words), _META), "jaccard-sets")
     some = meta.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     reps = some.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"))
     classes = common.stored(some.join(reps, ["n", "k1", "k2"]).select("doc_id", "n", "sampled", "rep").distinct(), "jaccard-classes")
     # 1. documents that can link at all
-    shared = by_document(common.exchange(keyed.mapInArrow(_sampled(n), ENTRY_SQL), n).mapInArrow(_shared(n), HIT_SQL), n).select("doc_id", (F.length("at") / 4).cast("long").alias("shared"))
-    least = F.floor((PERCENT * F.col("n") + 99) / 100)
+    shared = by_document(common.exchange(keyed.mapInArrow(_sampled(n, words), ENTRY_SQL), n).mapInArrow(_shared(n), HIT_SQL), n).select("doc_id", (F.length("at") / 4).cast("long").alias("shared"))
+    least = F.floor((percent * F.col("n") + 99) / 100)
     can = classes.where("doc_id = rep").join(shared.hint("merge"), "doc_id", "left").where(F.col("n") - F.col("sampled") + F.coalesce("shared", F.lit(0)) >= least).select("doc_id", "n")
     active = common.stored(keyed.join(can.hint("merge"), "doc_id").select("doc_id", "text", "n"), "jaccard-active")
     # 2. their lists
-    lists = common.stored(common.exchange(active.mapInArrow(_postings(n), "bucket int, h binary, d binary, n binary"), n).mapInArrow(_merge_lists(n), _LISTS_SQL), "jaccard-lists")
+    lists = common.stored(common.exchange(active.mapInArrow(_postings(n, words), "bucket int, h binary, d binary, n binary"), n).mapInArrow(_merge_lists(n), _LISTS_SQL), "jaccard-lists")
     kind = lambda k: lists.where(F.col("kind") == k)
     facts = common.exchange(kind(2), n).mapInArrow(_facts, "doc_id long, shared binary, long binary")
-    facts = common.stored(active.select("doc_id", "n").distinct().join(facts, "doc_id").select("doc_id", "n", "shared", "long").mapInArrow(_cuts, _CUT_SQL), "jaccard-facts")
+    facts = common.stored(active.select("doc_id", "n").distinct().join(facts, "doc_id").select("doc_id", "n", "shared", "long").mapInArrow(partial(_cuts, percent=percent), _CUT_SQL), "jaccard-facts")
     # 3. collapse: each document meets the leader of most of its lists
     led = common.exchange(kind(1), n).mapInArrow(_leaders, "a long, b long, hits long")
     fact = lambda x: facts.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("own").alias(f"u_{x}"), F.col("n_long").alias(f"l_{x}"))
-    close = 185 * F.least(F.col("n_a") - F.col("u_a"), F.col("n_b") - F.col("u_b")) >= PERCENT * (F.col("n_a") + F.col("n_b"))
-    links = compare(active, led.join(fact("a"), "a").join(fact("b"), "b").where(close).select("a", "b"))
+    close = (100 + percent) * F.least(F.col("n_a") - F.col("u_a"), F.col("n_b") - F.col("u_b")) >= percent * (F.col("n_a") + F.col("n_b"))
+    links = compare(active, led.join(fact("a"), "a").join(fact("b"), "b").where(close).select("a", "b"), words, percent)
     comp = common.components(links)
     # 4. search over what different components still share
     todo = facts.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
     todo = kind(0).unionByName(todo.select("doc_id", *_FACT_NAMES).mapInArrow(_packed_facts(n), _LISTS_SQL))
     todo = common.exchange(todo, n).mapInArrow(_attach, _TODO_SQL)
-    found = common.exchange(todo, n).mapInArrow(partial(_search, n_buckets=n), _PAIRS_SQL)
+    found = common.exchange(todo, n).mapInArrow(partial(_search, n_buckets=n, percent=percent), _PAIRS_SQL)
     found = common.exchange(found, n).mapInArrow(_decide, "a long, b long")
-    more = compare(active, common.stored(found, "jaccard-candidates"))
+    more = compare(active, common.stored(found, "jaccard-candidates"), words, percent)
     every = links.unionByName(more).unionByName(classes.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     comp = common.components(every).withColumnRenamed("node", "doc_id")
     return meta.select("doc_id", "n").join(comp, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents that are the least of their component, columns as they were."""
-    comp = link_components(docs).where("component_id <> doc_id").select("doc_id").distinct()
+    comp = link_components(docs, words, percent).where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(comp, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -225,6 +225,23 @@ def test_jaccard_join(spark):
     assert {r.doc_id for r in kept.collect()} == set(want.values()) and kept.columns == docs(spark, []).columns
 
 
+def test_near_copies_of_the_pipeline(spark):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    w = [f"w{i}" for i in range(4000)]
+    texts = []
+    for _ in range(25):  # one edited block each, of sizes around both rules' bounds
+        x = [rng.choice(w) for _ in range(300)]
+        texts.append(" ".join(x))
+        for k in (18, 24, 27, 40):
+            texts.append(" ".join(x[:100] + [rng.choice(w) for _ in range(k)] + x[100 + k :]))
+    sets = {k: {tuple(t.split()[a : a + 5]) for a in range(296)} for k, t in enumerate(texts)}
+    want = set(brute_components(sets, lambda a, b: 100 * len(a & b) >= 80 * len(a | b)).values())
+    assert {r.doc_id for r in corpus_pipeline.near_copies(spark, docs(spark, texts), "").collect()} == want
+    assert len(jaccard_join.one_of_each(docs(spark, texts)).collect()) > len(want)
+
+
 def test_jaccard_join_edges(spark):
     got = jaccard_join.link_components(docs(spark, ["a b c d e"] * 4, [None, 3, 3, 7])).collect()
     assert sorted((r.doc_id or 0, r.component_id or 0) for r in got) == [(0, 0), (3, 3), (3, 3), (7, 3)]
