@@ -42,8 +42,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of every text, with the scores of its best segmentations."""
-    return sentencepiece_nbest.encode(docs, _vocabulary(), alternatives=False).select("doc_id", "lang", "source", "n_chars", "ids", "nbest_scores")
+    """The ids of every text's best segmentations, with their scores."""
+    return sentencepiece_nbest.encode(docs, _vocabulary()).select("doc_id", "lang", "source", "n_chars", "ids", "nbest_scores", "nbest_ids")
 
 
 STAGES = [

@@ -298,24 +298,26 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     return encoded.select(*names).mapInArrow(run, schema)
 
 
-DIGEST_SQL = "doc_id long, n_ids long, ids_crc32 long, nbest_scores array<double>, n_best long, round_trip boolean"
+DIGEST_SQL = "doc_id long, n_ids long, ids_crc32 long, nbest_scores array<double>, n_best long, round_trip boolean, nbest_ids_crc32 array<long>"
 
 
 def digest(docs: DataFrame, path: str, n_best: int = N_BEST) -> DataFrame:
     """Encode and decode in one pass, and return what a check needs: counts, a checksum of the ids
-    (as little-endian unsigned 32-bit integers), the scores, whether the ids decode to the text."""
+    (as little-endian unsigned 32-bit integers), the scores, whether the ids decode to the text, and
+    the checksums of the others' ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = segmenter(path)
         for b in batches:
             for i, j, off, raw in kernels.pieces(b.column(1), PIECE_BYTES):
                 text = b.column(1).slice(i, j - i)
-                ids, scores, _ = _encoded(s, text, off, raw, n_best, False)
+                ids, scores, others = _encoded(s, text, off, raw, n_best, True)
                 back = decoded(s.v, ids)
                 same = pc.or_(pc.fill_null(pc.equal(back, text), False), pc.and_(back.is_null(), text.is_null()))
                 at, flat = np.asarray(ids.offsets), np.asarray(ids.values).astype("<u4")
                 crc = [zlib.crc32(flat[x:y].tobytes()) for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(np.diff(at).astype(np.int64)), pa.array(crc, pa.int64()), scores, pc.cast(pc.list_value_length(scores), pa.int64()), same], ["doc_id", "n_ids", "ids_crc32", "nbest_scores", "n_best", "round_trip"])
+                more = pa.array([[zlib.crc32(x.astype("<u4").tobytes()) for x in ways] for ways in others], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(np.diff(at).astype(np.int64)), pa.array(crc, pa.int64()), scores, pc.cast(pc.list_value_length(scores), pa.int64()), same, more], ["doc_id", "n_ids", "ids_crc32", "nbest_scores", "n_best", "round_trip", "nbest_ids_crc32"])
 
     return docs.select("doc_id", "text").mapInArrow(run, DIGEST_SQL)
 

@@ -136,6 +136,15 @@ def test_sentencepiece_digest(spark):
     assert got.where("round_trip").count() == got.count() == 200 and got.where("n_best < 2").count() < 5
 
 
+def test_sentencepiece_digest_and_pipeline_have_the_other_segmentations(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    d = common.table(spark, SF, "documents").where("doc_id < 20")
+    want = {r.doc_id: r for r in sentencepiece_nbest.encode(d, path).collect()}
+    for r in sentencepiece_nbest.digest(d, path).collect():
+        assert r.nbest_ids_crc32 == [zlib.crc32(np.array(x, "<u4").tobytes()) for x in want[r.doc_id].nbest_ids] and len(r.nbest_ids_crc32) == r.n_best - 1
+    assert {r.doc_id: r.nbest_ids for r in corpus_pipeline.pieces(spark, d, SF).collect()} == {k: r.nbest_ids for k, r in want.items()}
+
+
 # ---- languages
 
 
