@@ -44,7 +44,7 @@ def shape(n: int, threshold: float = THRESHOLD) -> tuple[int, int]:
     return bits, math.ceil(math.log(MISS) / math.log(1 - agree**bits))
 
 
-def _hash(bits: int, tables: int):
+def _hash(bits: int, tables: int, kind: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
         for b in batches:
@@ -56,18 +56,20 @@ def _hash(bits: int, tables: int):
                     planes[dims] = np.random.Generator(np.random.PCG64(SEED + dims)).standard_normal((dims, bits * tables))
                 own = np.flatnonzero(size == dims)
                 x = np.array([vectors[k] for k in own], np.float64)
+                if kind is np.float64:  # by a power of two, which no cosine depends on: squares neither overflow nor vanish
+                    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
                 sign = (x @ planes[dims] > 0).reshape(len(own), tables, bits)
                 sig = (sign * (1 << np.arange(bits, dtype=np.int64))).sum(axis=2)
                 for t in range(tables):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(own), t, np.int32)), pa.array(sig[:, t] * 65536 + dims % 65536), pa.array(reps[own]), pa.array(copies[own]), pa.array([v.tobytes() for v in x.astype(np.float32)], pa.binary()), pa.array([s[:t].astype(np.int32).tobytes() for s in sig], pa.binary())],
+                        [pa.array(np.full(len(own), t, np.int32)), pa.array(sig[:, t] * 65536 + dims % 65536), pa.array(reps[own]), pa.array(copies[own]), pa.array([v.tobytes() for v in x.astype(kind)], pa.binary()), pa.array([s[:t].astype(np.int32).tobytes() for s in sig], pa.binary())],
                         ["t", "key", "rep", "copies", "vec", "sig"],
                     )
 
     return run
 
 
-def _links(threshold: float):
+def _links(threshold: float, kind: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         group = None
@@ -75,22 +77,22 @@ def _links(threshold: float):
             for r in b.to_pylist():
                 g = (r["t"], r["key"], r["i"], r["j"])
                 if g != group and held:
-                    yield from judged(held, threshold)
+                    yield from judged(held, threshold, kind)
                     held = []
                 group = g
                 held.append(r)
         if held:
-            yield from judged(held, threshold)
+            yield from judged(held, threshold, kind)
 
     return run
 
 
-def judged(members: list[dict], threshold: float) -> Iterator[pa.RecordBatch]:
+def judged(members: list[dict], threshold: float, kind: type) -> Iterator[pa.RecordBatch]:
     """Links and a spanning forest of one bucket, or of one pair of its blocks."""
     if len(members) < 2:
         return
     rep, copies = np.array([m["rep"] for m in members]), np.array([m["copies"] for m in members])
-    x = np.array([np.frombuffer(m["vec"], np.float32) for m in members]).astype(np.float64)
+    x = np.array([np.frombuffer(m["vec"], kind) for m in members]).astype(np.float64)
     sig = np.array([np.frombuffer(m["sig"], np.int32) for m in members])
     block, i, j = np.array([m["block"] for m in members]), members[0]["i"], members[0]["j"]
     norm = np.sqrt((x * x).sum(axis=1))
@@ -130,15 +132,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     key = [F.xxhash64(e).alias("k1"), F.xxhash64(e, F.lit(7)).alias("k2")]
     usable = v.where(good)
     classes = common.stored(usable.groupBy(*key).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first(e).alias("embedding")), "vector-classes")
+    kind = np.float64 if vectors.schema["embedding"].dataType.elementType.typeName() == "double" else np.float32
     bits, tables = shape(classes.count(), threshold)
-    keyed = common.stored(classes.select("rep", "copies", "embedding").mapInArrow(_hash(bits, tables), _KEYED), "vector-keys")
+    keyed = common.stored(classes.select("rep", "copies", "embedding").mapInArrow(_hash(bits, tables, kind), _KEYED), "vector-keys")
     # a bucket over the bound is split in s blocks; each member goes to the pairs that its block has
     full = keyed.groupBy("t", "key").count().where(F.col("count") > 1)
     s = F.ceil(F.col("count") / BLOCK).cast("int")
     dealt = keyed.join(full, ["t", "key"]).withColumn("s", s).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("s")).cast("int"))
     dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("s") - 1))).withColumn("i", F.least("o", "block")).withColumn("j", F.greatest("o", "block"))
     dealt = dealt.select("t", "key", "i", "j", "block", "rep", "copies", "vec", "sig").repartition(n_parts, "t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j")
-    found = common.stored(dealt.mapInArrow(_links(threshold), "rep long, links long, root long"), "vector-links")
+    found = common.stored(dealt.mapInArrow(_links(threshold, kind), "rep long, links long, root long"), "vector-links")
     comp = common.components(found.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
     per = found.groupBy("rep").agg(F.sum("links").alias("links"))
     known = classes.join(per, "rep", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")

@@ -264,6 +264,13 @@ def test_embedding_dedup(spark):
     assert embedding_dedup.near_duplicates(df.where("1 = 0")).count() == 0
 
 
+def test_embedding_dedup_in_double_precision(spark):
+    turn = lambda c: [c, float(np.sqrt(1 - c * c))]
+    rows = [[1.0, 0.0], turn(0.95 + 1e-10), [-1.0, 0.0], [-x for x in turn(0.95 - 1e-10)], [0.0, 1e200], [1e190, 1e200], [1e-300, -1e-300], [2e-300, -2e-300]]
+    df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    assert [r.component_id for r in embedding_dedup.near_duplicates(df).orderBy("vec_id").collect()] == [0, 0, 2, 3, 4, 4, 6, 6]
+
+
 def test_embedding_buckets_over_the_bound_are_dealt_out(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
     rng = np.random.default_rng(8)
