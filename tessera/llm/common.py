@@ -93,6 +93,33 @@ def fold_components(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarra
             root = nxt
 
 
+def apart(docs: DataFrame, key: str, content: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """Rows that share a key but not their content become documents of their own.
+
+    Returns ``docs`` with a long key and a function that gives columns of its result their keys
+    back.  Where no key repeats nothing is changed.  Else every distinct (key, content) gets a
+    number, in the order of keys and then of hashes of the content; equal rows share it.
+    """
+    docs = docs.withColumn(key, F.col(key).cast("long"))
+    n, different = docs.agg(F.count(key), F.count_distinct(key)).first()
+    if n == different:
+        return docs, lambda df, *_: df
+    mark = [F.xxhash64(content).alias("_ts_m1"), F.xxhash64(F.lit(7), F.col(content)).alias("_ts_m2")]
+    own = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("_ts_name"), *mark).distinct().orderBy("_ts_name", "_ts_m1", "_ts_m2")
+    names = stored(own.withColumn("_ts_key", F.monotonically_increasing_id()), "keys")
+    marked = docs.select("*", *mark)
+    same = (F.col(key) == F.col("_ts_name")) & (marked["_ts_m1"] == names["_ts_m1"]) & (marked["_ts_m2"] == names["_ts_m2"])
+    told = marked.join(names, same, "left").select(*[F.col("_ts_key").alias(c) if c == key else docs[c] for c in docs.columns])
+
+    def back(df: DataFrame, *columns: str) -> DataFrame:
+        order = df.columns
+        for c in columns:
+            df = df.join(names.select(F.col("_ts_key").alias(c), F.col("_ts_name").alias(f"_ts_{c}")), c, "left").drop(c).withColumnRenamed(f"_ts_{c}", c)
+        return df.select(*order)
+
+    return told, back
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) from (a, b) links: the least node that each linked node can reach.
 
@@ -116,6 +143,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if total == last:
             break
         last = total
+    else:
+        raise RuntimeError(f"components are unfinished after {rounds} rounds")
     return e.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component").unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

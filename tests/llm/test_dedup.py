@@ -135,6 +135,11 @@ def test_keys_that_repeat_or_are_null(spark, operator):
     assert operator(docs(spark, [], [])).count() == 0
 
 
+def runs_of_16(line):
+    u = ("\n" * 15 + line + "\n" * 15).encode("utf-16-be")
+    return {u[a : a + 32] for a in range(0, len(u) - 31, 2)}
+
+
 def brute_lines(rows):
     first, occ = {}, []
     for k, t in sorted(rows, key=lambda r: r[0]):
@@ -143,7 +148,7 @@ def brute_lines(rows):
             if key:
                 occ.append((k, p, key))
                 first.setdefault(key, (k, p))
-    sets = {k: {m[1] for m in re.finditer(r"(?=(.{16}|^.{1,15}$))(?:[!-~]+|[^ -~])[ \t]*", k)} for k in first}
+    sets = {k: runs_of_16(k) for k in first}
     parent = {k: k for k in first}
 
     def find(a):
@@ -291,10 +296,14 @@ def test_components(spark):
 
 def brute_characters(lines):
     """Lines that go of documents of one line each, by all their runs of 16 characters."""
-    sets = {k: {x[a : a + 16] for a in range(max(1, len(x) - 15))} for k, x in enumerate(x.strip().lower() for x in lines)}
+    sets = {k: runs_of_16(x.strip().lower()) for k, x in enumerate(lines)}
     return {k for k, c in brute_components(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b)).items() if k != c}
 
 
+def gone(spark, lines):
+    return {r.doc_id for r in line_dedup.dedup_lines(docs(spark, lines)).collect() if r.n_removed}
+
+
 def test_line_dedup_looks_at_every_character(spark):
     rng = random.Random(9)
     word = lambda n: "".join(rng.choice("abcdefghij0123456789") for _ in range(n))
@@ -302,11 +311,32 @@ def test_line_dedup_looks_at_every_character(spark):
     lines = ["https://www.example.com/page1", "https://www.example.com/other/2", "日本語" * 5 + "abcdefghijkl", "日本語" * 5 + "mnopqrstuvwx"]
     lines += [f"0123456789abcdef{word(60)}" for _ in range(20)] + [long, "x" + long, long[:299] + "!", long[:150] + word(150)]
     lines += [f"a common beginning {word(12)}" for _ in range(5)] + ["an end behind\rthis", "an end behind\rthat"]
+    lines += ["import numpy_extension_a", "import numpy_extension_b", "chapter number 12", "https://example.org/page/1", "invoice total for march 100"]
+    lines += ["chapter number 13", "https://example.org/page/2", "invoice total for march 999"]
+    assert gone(spark, lines) == brute_characters(lines) == {25, 26}
+
+
+@pytest.mark.parametrize("large", [4096, 40])
+def test_line_dedup_finds_near_copies_in_bands_with_common_boilerplate(spark, monkeypatch, large):
+    monkeypatch.setattr(line_dedup, "LARGE", large)
+    rng = random.Random(10)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    common_part, lines = word(200), []
+    for _ in range(100):
+        own = word(150)
+        at = rng.randrange(20, 110)
+        lines += [common_part + own, common_part + own[:at] + word(8) + own[at + 8 :]]
     want = brute_characters(lines)
-    got = {r.doc_id for r in line_dedup.dedup_lines(docs(spark, lines)).collect() if r.n_removed}
-    assert got == want == {25, 26}
+    got = gone(spark, lines)
+    assert len(want) >= 95 and got <= want and len(got) >= (0.95 if large > 100 else 0.85) * len(want)
+
+
+def test_line_dedup_of_different_texts_under_one_key(spark):
+    got = line_dedup.dedup_lines(docs(spark, ["first\nsame", "first\nsame", "second\nthird", None, "third"], [5, 5, 5, 5, 9])).collect()
+    assert sorted((r.doc_id, r.text or "", r.n_removed) for r in got) == [(5, "", 0), (5, "first\nsame", 0), (5, "first\nsame", 0), (5, "second\nthird", 0), (9, "", 1)]
 
 
-def test_line_dedup_keeps_lines_apart_that_differ_at_the_end(spark):
-    lines = ["import numpy_extension_a", "import numpy_extension_b"]
-    assert not any(r.n_removed for r in line_dedup.dedup_lines(docs(spark, lines)).collect())
+def test_line_dedup_of_very_long_lines(spark):
+    rng = random.Random(4)
+    long = "".join(rng.choice("abcdefghijklmnop ") for _ in range(300_000))
+    assert gone(spark, [long, long[:200_000] + "x" + long[200_000:], long[:150_000]]) == {1}
