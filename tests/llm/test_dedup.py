@@ -316,7 +316,7 @@ def test_line_dedup_looks_at_every_character(spark):
     assert gone(spark, lines) == brute_characters(lines) == {25, 26}
 
 
-@pytest.mark.parametrize("large", [4096, 40])
+@pytest.mark.parametrize("large", [512, 40])
 def test_line_dedup_finds_near_copies_in_bands_with_common_boilerplate(spark, monkeypatch, large):
     monkeypatch.setattr(line_dedup, "LARGE", large)
     rng = random.Random(10)
