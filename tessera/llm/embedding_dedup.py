@@ -10,8 +10,9 @@ spanning forest.  Buckets over a bound are dealt out as pairs of blocks.
 
 Defined results: null vectors and ids, zero vectors and vectors with null or non-finite components
 link with nothing and are their own component; vectors of different length don't link; a repeated
-row is a vector of its own that shares its id's component; an empty table gives no rows; other
-columns are ignored.
+row is a vector of its own that shares its id's component; different vectors under one id are told
+apart, in the order of a hash; an empty table gives no rows; other columns are ignored.  Vectors
+are equal by two independent 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -126,10 +127,10 @@ def judged(members: list[dict], threshold: float, kind: type) -> Iterator[pa.Rec
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every vector of (vec_id, embedding)."""
     n_parts = common.partitions(vectors.sparkSession)
-    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    v, back = common.apart(vectors.select("vec_id", "embedding"), "vec_id", "embedding")
     e = F.col("embedding")
     good = F.col("vec_id").isNotNull() & e.isNotNull() & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(e, lambda x: x != 0)
-    key = [F.xxhash64(e).alias("k1"), F.xxhash64(e, F.lit(7)).alias("k2")]
+    key = [F.xxhash64(e).alias("k1"), F.xxhash64(F.lit(7), e).alias("k2")]
     usable = v.where(good)
     classes = common.stored(usable.groupBy(*key).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first(e).alias("embedding")), "vector-classes")
     kind = np.float64 if vectors.schema["embedding"].dataType.elementType.typeName() == "double" else np.float32
@@ -149,7 +150,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     out = v.select("vec_id", good.alias("good"), *key).join(known.hint("merge"), ["k1", "k2"], "left")
     ok = F.coalesce("good", F.lit(False)) & F.col("rep").isNotNull()
     comp_id = F.when(ok, F.col("component_id")).otherwise(F.col("vec_id"))
-    return out.select("vec_id", F.when(ok, F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links"), comp_id.alias("component_id"), F.coalesce(comp_id == F.col("vec_id"), F.lit(True)).alias("kept"))
+    out = out.select("vec_id", F.when(ok, F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links"), comp_id.alias("component_id"))
+    return back(out, "vec_id", "component_id").withColumn("kept", F.coalesce(F.col("component_id") == F.col("vec_id"), F.lit(True)))
 
 
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

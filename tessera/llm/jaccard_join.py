@@ -24,7 +24,9 @@ large group of near copies costs one comparison a copy.
 
 Defined results: without words or text the set is empty and links with nothing; a null key links
 with nothing and is its own component; rows that repeat a key and a text are one document, each
-of them returned; other columns are ignored; an empty table gives no rows.
+of them returned; rows that share a key only are documents of their own, in the order of a hash of
+their texts; a text of any length is one set, made alone where it is longer than a piece; other
+columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -490,8 +492,13 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     ``words`` and ``percent``: the width of a shingle and the similarity of a link.
     """
+    docs, back = common.apart(docs.select("doc_id", "text"), "doc_id", "text")
+    return back(_link_components(docs, words, percent), "doc_id", "component_id")
+
+
+def _link_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The same for keys that no two texts share."""
     n = common.partitions(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     keyed = docs.where(F.col("doc_id").isNotNull())
     meta = common.stored(docs.mapInArrow(partial(_meta, words=words), _META), "jaccard-sets")
     some = meta.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
@@ -527,8 +534,11 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents that are the least of their component, columns as they were."""
-    comp = link_components(docs, words, percent).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(comp, "doc_id", "left_anti").select(*docs.columns)
+    kind = docs.schema["doc_id"].dataType
+    told, back = common.apart(docs, "doc_id", "text")
+    comp = _link_components(told.select("doc_id", "text"), words, percent).where("component_id <> doc_id").select("doc_id").distinct()
+    left = back(told.join(comp, "doc_id", "left_anti").select(*docs.columns), "doc_id")
+    return left.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

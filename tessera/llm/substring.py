@@ -14,8 +14,10 @@ Repeats inside a chunk of text are settled there, so a frequent passage reaches
 times a task and no task holds it whole.
 
 Defined results: null text is no words; a row with a null key is returned unjudged; rows that
-repeat a key are one document, each of them returned, and none is a repeat of another; equal
-windows of one document keep the first; an empty table gives no rows; other columns are ignored.
+repeat a key and a text are one document, each of them returned, and none is a repeat of another;
+rows that share a key only are documents of their own, in the order of a hash of their texts; equal
+windows of one document keep the first; a text of any length is one document, worked on alone where
+it is longer than a piece; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -384,7 +386,7 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """(doc_id, n_words, n_removed, removed, kept) of every document of (doc_id, text)."""
     spark = docs.sparkSession
     n = common.partitions(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs, back = common.apart(docs.select("doc_id", "text"), "doc_id", "text")
     keyed = docs.where(F.col("doc_id").isNotNull())
     index = FingerprintIndex(spark, common.shared_dir(spark, "fingerprints"), n)
     cuts = sorted(set(keyed.approxQuantile("doc_id", [k / batches for k in range(1, batches)], 0.01)))
@@ -401,7 +403,7 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     found = common.exchange(around.mapInArrow(_windows(n), ENTRY_SQL), n).mapInArrow(_verified(n), HIT_SQL)
     judged = keyed.join(by_document(found, n).hint("merge"), "doc_id", "left").select("doc_id", "text", "at")
     free = docs.where(F.col("doc_id").isNull()).select("doc_id", "text", F.lit(None).cast("binary").alias("at"))
-    return judged.mapInArrow(_clean, CLEANED_SQL).unionByName(free.mapInArrow(_clean, CLEANED_SQL))
+    return back(judged.mapInArrow(_clean, CLEANED_SQL).unionByName(free.mapInArrow(_clean, CLEANED_SQL)), "doc_id")
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

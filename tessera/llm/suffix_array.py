@@ -20,8 +20,10 @@ frequent passage reaches a bucket a few times a task.  A collection has a bounde
 (more only where one gram alone has more), so its files are small.
 
 Defined results: a null text is empty; a row with a null key is returned unjudged; rows that
-repeat a key are one document, each of them returned; a string that repeats only within its own
-document stays; an empty table gives no rows; other columns are ignored.
+repeat a key and a text are one document, each of them returned; rows that share a key only are
+documents of their own, in the order of a hash of their texts; a string that repeats only within
+its own document stays; a text of any length is one document, worked on alone where it is longer
+than a piece; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -365,7 +367,7 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_shared(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, removed, kept) of every document of (doc_id, text)."""
     n = common.partitions(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs, back = common.apart(docs.select("doc_id", "text"), "doc_id", "text")
     keyed = docs.where(F.col("doc_id").isNotNull())
     hits = common.exchange(keyed.mapInArrow(_grams(n), ENTRY_SQL), n).mapInArrow(_nominate(n), HIT_SQL)
     around = keyed.join(by_document(hits, n).hint("merge"), "doc_id").select("doc_id", "text", "at")
@@ -373,7 +375,7 @@ def remove_shared(docs: DataFrame) -> DataFrame:
     judged = keyed.join(by_document(spans, n).hint("merge"), "doc_id", "left").select("doc_id", "text", "at", "ends")
     none = F.lit(None).cast("binary")
     free = docs.where(F.col("doc_id").isNull()).select("doc_id", "text", none.alias("at"), none.alias("ends"))
-    return judged.mapInArrow(_clean, CLEANED_SQL).unionByName(free.mapInArrow(_clean, CLEANED_SQL))
+    return back(judged.mapInArrow(_clean, CLEANED_SQL).unionByName(free.mapInArrow(_clean, CLEANED_SQL)), "doc_id")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

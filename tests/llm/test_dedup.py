@@ -340,3 +340,24 @@ def test_line_dedup_of_very_long_lines(spark):
     rng = random.Random(4)
     long = "".join(rng.choice("abcdefghijklmnop ") for _ in range(300_000))
     assert gone(spark, [long, long[:200_000] + "x" + long[200_000:], long[:150_000]]) == {1}
+
+
+@pytest.mark.parametrize("operator", [substring.remove_repeats, suffix_array.remove_shared])
+def test_different_texts_under_one_key_lose_nothing(spark, operator):
+    w = vocabulary(900)
+    a, b = " ".join(w[:60]), " ".join(w[100:160])
+    got = operator(docs(spark, [a, a, a, b, b], [1, 5, 5, 5, 9])).collect()
+    text = lambda r: r.kept if isinstance(r.kept, str) else bytes(r.kept).decode()
+    assert sorted((r.doc_id, text(r)) for r in got) == [(1, a), (5, ""), (5, ""), (5, b), (9, "")]
+
+
+def test_different_texts_and_vectors_under_one_key(spark):
+    w = vocabulary(900)
+    a, b, c = " ".join(w[:60]), " ".join(w[100:160]), " ".join(w[200:260])
+    got = jaccard_join.link_components(docs(spark, [a, a, b, b, c], [1, 5, 5, 9, 9])).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (5, 1), (5, 5), (9, 5), (9, 9)]
+    kept = jaccard_join.one_of_each(docs(spark, [a, a, b, b, c], [1, 5, 5, 9, 9])).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, a), (5, b), (9, c)]
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.0]), (3, [1.0, 0.01])], "vec_id long, embedding array<float>")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(df).collect())
+    assert got == [(1, 0, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False)]
