@@ -5,15 +5,17 @@ component.  A query reads the lists front to back, each from the end at which th
 its own component is greatest, a stretch of all lists at a time.  What was read gives each
 candidate a lower bound (unread products at their least) and an upper bound (unread products at
 what their list has reached).  Reading stops when no candidate outside the k best lower bounds
-can qualify any more; the final scores of those that can are then resolved, exactly.
+can qualify any more; the lists are then read on for those that can, until each has shown them all,
+so that every score is a sum of products read from lists.
 
-Every query meets every block by an equality of block numbers: blocks of queries are written out
-once per block of candidates.  Each pair returns k rows a query, and a limited window keeps k.
+The queries are a stated part of the rows: blocks of them are sent once to every block of
+candidates, one partition a block.  Each pair returns k rows a query, and a limited window keeps k.
 
 Vectors that are null or hold null or non-finite components take no part, neither do null ids;
 shorter vectors count as followed by zeros; a repeated row is a candidate again, but a query is
 never its own candidate, by id; ties go to the smaller id; an empty table gives no rows; other
-columns are ignored.  Scaled components must fit 24 bits, so that scores are exact.
+columns are ignored.  All sums are of 64-bit integers; where a score might not fit them an error says
+so.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from tessera.llm import common
 
 TOP = 10
 SCALE = 1024
-BLOCK = 4096
+BLOCK = 2048
 QUERY_BLOCK = 512
 #: Depths, as parts of the lists, at which bounds are compared.
 STOPS = (1 / 4, 1 / 2, 3 / 4, 1)
@@ -43,19 +45,21 @@ class SortedLists:
         self.n, self.dims = x.shape
         up = np.ascontiguousarray(np.argsort(x, axis=0, kind="stable").T)
         self.order = [up, np.ascontiguousarray(up[:, ::-1])]  # by direction: least first, greatest first
-        self.value = [np.take_along_axis(x.T, o, axis=1).astype(float) for o in self.order]
+        self.value = [np.take_along_axis(x.T, o, axis=1) for o in self.order]
         place = np.empty(x.shape, np.int32)
         np.put_along_axis(place, up.T, np.arange(self.n, dtype=np.int32)[:, None], axis=0)
         self.place = place  # at what depth a list, least first, shows a candidate
 
     def search(self, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray, int]:
-        """(positions, scores, depth read) of the k best candidates for the query."""
+        """(positions, scores, depth at which outsiders were out) of the k best candidates."""
+        if self.n and np.abs(q.astype(float)) @ np.abs(self.x.astype(float)).max(axis=0) >= 2.0**63:
+            raise OverflowError("scores of these vectors do not fit 64 bits")
         down = q > 0
         sides = [(side, np.flatnonzero(down == side)) for side in (0, 1)]
         at = lambda column: np.where(down, self.value[1][:, column], self.value[0][:, column])
         worst = q * at(-1)
         # a list that is read from its other end has shown what stands from n - depth on
-        known = np.zeros(self.n)  # sums of products that were read, exact in doubles
+        known = np.zeros(self.n, np.int64)  # sums of products that were read
         alive = np.flatnonzero(self.ids != own)
         depth = 0
         for part in STOPS:
@@ -82,13 +86,21 @@ class SortedLists:
             alive = alive[upper >= kth]  # an equal score may still win by its id
             if len(alive) <= 4 * k:
                 break
-        score = self.x[alive].astype(np.int64) @ q.astype(np.int64)
+        if depth < self.n:  # resolve: the rest of each list, of which only the candidates count
+            wanted = np.zeros(self.n, bool)
+            wanted[alive] = True
+            for side, dims in sides:
+                for d in dims.tolist():
+                    order = self.order[side][d, depth:]
+                    shown = np.flatnonzero(wanted[order])
+                    known[order[shown]] += q[d] * self.value[side][d, depth:][shown]
+        score = known[alive]
         best = np.lexsort((self.ids[alive], -score))[:k]
         return alive[best], score[best], depth
 
 
 #: The bits of each byte, least first.
-_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(float)
+_BITS = (np.arange(256)[:, None] >> np.arange(8)) & 1
 
 
 def scaled(column: pa.Array, dims: int | None = None) -> np.ndarray:
@@ -97,7 +109,10 @@ def scaled(column: pa.Array, dims: int | None = None) -> np.ndarray:
     x = np.zeros((len(rows), dims))
     for k, r in enumerate(rows):
         x[k, : len(r)] = r
-    return np.floor(SCALE * x).astype(np.int64)
+    x = np.floor(SCALE * x)
+    if (np.abs(x) >= 2.0**62).any():
+        raise OverflowError("scaled components do not fit 64 bits")
+    return x.astype(np.int64)
 
 
 _PACKED = pa.schema([("block", pa.int32()), ("n", pa.int32()), ("ids", pa.binary()), ("x", pa.binary())])
@@ -111,7 +126,7 @@ def _pack(dims: int):
         for b in batches:
             block, ids, x = b.column(0).to_numpy(), b.column(1).to_numpy(), scaled(b.column(2), dims)
             for k in np.unique(block):
-                parts.setdefault(int(k), []).append((ids[block == k], x[block == k].astype(np.int32)))
+                parts.setdefault(int(k), []).append((ids[block == k], x[block == k]))
         for k, own in parts.items():
             ids, x = np.concatenate([o[0] for o in own]), np.concatenate([o[1] for o in own])
             yield common.rows(_PACKED, [k], [len(ids)], [ids.astype(np.int64).tobytes()], [x.tobytes()])
@@ -131,25 +146,29 @@ def top_k(vectors: DataFrame, is_query, k: int = TOP, block: int = BLOCK, query_
     n, dims, queries = v.agg(F.count("*"), F.max(F.size("embedding")), F.count_if(is_query)).first()
     blocks, q_blocks = max(1, -(-n // block)), max(1, -(-(queries or 0) // query_block))
     pack = lambda d, m: common.exchange(d.select(F.pmod(F.xxhash64("vec_id"), F.lit(m)).cast("int").alias("block"), "vec_id", "embedding"), m, "block").mapInArrow(_pack(dims or 0), "block int, n int, ids binary, x binary")
-    c = pack(v, blocks)
-    q = pack(v.where(is_query), q_blocks).select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.col("n").alias("qn"), F.col("ids").alias("qids"), F.col("x").alias("qx"))
+    c = pack(v, blocks).withColumn("query", F.lit(0))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    q = pack(v.where(is_query), q_blocks).select(every.alias("block"), "n", "ids", "x", F.lit(1).alias("query"))
     made = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, lists = None, None
+        lists = None
         for b in batches:
             for r in b.to_pylist():
-                if lists is None or last != r["block"]:
-                    last, lists = r["block"], SortedLists(np.frombuffer(r["ids"], np.int64), np.frombuffer(r["x"], np.int32).reshape(r["n"], -1).astype(np.int64))
-                out: list[list] = [[], [], []]
-                for own, x in zip(np.frombuffer(r["qids"], np.int64).tolist(), np.frombuffer(r["qx"], np.int32).reshape(r["qn"], -1).astype(np.int64), strict=True):
-                    at, score, _ = lists.search(x, own, k)
-                    out[0] += [own] * len(at)
-                    out[1] += lists.ids[at].tolist()
-                    out[2] += score.tolist()
-                yield common.rows(made, *out)
-
-    found = c.join(q.hint("merge"), "block").select("block", "n", "ids", "x", "qn", "qids", "qx").mapInArrow(run, "query_id long, vec_id long, score long")
+                ids, x = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["x"], np.int64).reshape(r["n"], -1)
+                if not r["query"]:  # the block's candidates come first
+                    block, lists = r["block"], SortedLists(ids, x)
+                elif lists is not None and block == r["block"]:
+                    out: list[list] = [[], [], []]
+                    for own, y in zip(ids.tolist(), x, strict=True):
+                        at, score, _ = lists.search(y, own, k)
+                        out[0] += [own] * len(at)
+                        out[1] += lists.ids[at].tolist()
+                        out[2] += score.tolist()
+                    yield common.rows(made, *out)
+
+    found = common.exchange(c.unionByName(q), blocks, "block").sortWithinPartitions("block", "query").select("block", "n", "ids", "x", "query")
+    found = found.mapInArrow(run, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -295,3 +295,24 @@ def test_pipeline_of_an_empty_table_and_of_nulls(spark):
         for name, stage in corpus_pipeline.STAGES:
             table = common.stored(stage(spark, table, SF), f"test-{name}")
         assert table.count() <= 4
+
+
+def test_top_k_of_large_components(spark):
+    rows = [(0, [1.0, 0.0]), (1, [3e6, 0.0]), (2, [2.0, 5.0]), (3, [-3e6, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk_nra.top_k(df, F.col("vec_id") == 0, 3).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(1, 3_000_000 * 1024 * 1024), (2, 2 * 1024 * 1024), (3, -3_000_000 * 1024 * 1024)]
+    with pytest.raises(Exception, match="64 bits"):
+        topk_nra.top_k(spark.createDataFrame([(0, [1e15]), (1, [1e15])], "vec_id long, embedding array<double>"), F.col("vec_id") == 0).collect()
+    with pytest.raises(OverflowError):
+        topk_nra.SortedLists(np.arange(2), np.full((2, 1), 2**40)).search(np.array([2**40]), 0, 1)
+
+
+def test_scores_are_resolved_from_the_lists():
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.integers(-50, 50, (400, 8)), rng.integers(4000, 5000, (30, 8))])
+    q = rng.integers(200, 900, 8)
+    lists = topk_nra.SortedLists(np.arange(len(x)), x)
+    lists.x = np.zeros_like(lists.x)  # nothing is looked up beside the lists
+    got, score, depth = lists.search(q, -1, 10)
+    assert depth < len(x) and score.tolist() == np.sort(x @ q)[::-1][:10].tolist()
