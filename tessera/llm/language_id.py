@@ -6,7 +6,9 @@ lattice; a text is the product of its words.  The piece probabilities are fitted
 maximisation on a bounded sample of labelled texts.
 
 Words are runs of letters (all that isn't ASCII counts as one), lower-cased in ASCII, each behind a
-space.  Words repeat, so a worker scores a word once and adds up by document.
+space; a script without spaces makes long words, which are scored whole and learned from in parts.
+Words repeat, so a worker scores a word once and adds up by document.  A text of any length is
+scored whole.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; a table without
 labelled rows to learn from makes every text ``und``; a repeated row is predicted again; columns
@@ -35,6 +37,8 @@ SMOOTHING = 0.02
 #: Each byte's probability is multiplied by this, so that long words stay within doubles.
 LIFT = float(np.exp(2.0))
 UNKNOWN = "und"
+#: Bytes of a word that pieces are learned from at a time; a longer one is cut between characters.
+LONGEST = 180
 #: Scores of that many words are remembered by a worker; beyond it starts afresh.
 REMEMBERED = 600_000
 #: Bytes of text that are scored at a time.
@@ -82,6 +86,20 @@ def forward(v: Vocabulary, lifted: np.ndarray, raw: np.ndarray, start: np.ndarra
     return out
 
 
+def in_parts(raw: np.ndarray, start: np.ndarray, end: np.ndarray, most: int = LONGEST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, word) of the words, those of more bytes than ``most`` cut between characters."""
+    of = np.arange(len(start))
+    while (end - start > most).any():
+        long = np.flatnonzero(end - start > most)
+        cut = start[long] + most
+        for _ in range(3):  # not inside a character of UTF-8
+            cut = cut - ((raw[cut] & 0xC0) == 0x80)
+        start, end, of = np.concatenate([start, cut]), np.concatenate([end, end[long]]), np.concatenate([of, of[long]])
+        end[long] = cut
+    order = np.lexsort((start, of))
+    return start[order], end[order], of[order]
+
+
 def fit(texts: list[str], labels: list[str], path: str, rounds: int = ROUNDS, smoothing: float = SMOOTHING) -> LanguageModel:
     """Expectation maximisation of the piece probabilities of each language."""
     v = Vocabulary(path)
@@ -97,6 +115,8 @@ def fit(texts: list[str], labels: list[str], path: str, rounds: int = ROUNDS, sm
     start, end, row = kernels.words(off, raw, kernels.NO_LETTER)
     if not len(start):
         return LanguageModel(languages, p, path)
+    start, end, of = in_parts(raw, start, end)
+    row = row[of]
     roll = kernels.Rolling(77)
     _, first, inv = np.unique(roll.spans(roll.prefix(raw), start, end), return_index=True, return_inverse=True)
     group = np.array([languages.index(x) for x in labels])[row]
@@ -108,8 +128,6 @@ def fit(texts: list[str], labels: list[str], path: str, rounds: int = ROUNDS, sm
         lifted = _lifted(v, p)
         expected = np.zeros_like(p)
         for size, part in rectangles(begin, length):
-            if size > 200:  # such words say little about pieces
-                continue
             match = v.matches(prefix, buf, begin[part], size)
             alpha, beta = np.zeros((size + 1, len(part), groups)), np.zeros((size + 1, len(part), groups))
             alpha[0] = beta[size] = 1

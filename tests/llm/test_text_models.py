@@ -316,3 +316,19 @@ def test_scores_are_resolved_from_the_lists():
     lists.x = np.zeros_like(lists.x)  # nothing is looked up beside the lists
     got, score, depth = lists.search(q, -1, 10)
     assert depth < len(x) and score.tolist() == np.sort(x @ q)[::-1][:10].tolist()
+
+
+def test_language_id_learns_scripts_without_spaces(spark):
+    rng = random.Random(21)
+    alphabets = {"ja": "日本語文章東京大学生活", "zh": "这是一个简体中文网页内容", "th": "กขคงจฉชซฌญ", "en": None}
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8)))
+    make = lambda k: " ".join(word() for _ in range(60)) if alphabets[k] is None else "".join(rng.choice(alphabets[k]) for _ in range(400))
+    rows = [(i, make(k), k if i < 160 else None) for i, k in enumerate(list(alphabets) * 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(df, public_tokenizers.path("piece_bpe_32k.model"))
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(df.drop("lang"), model).collect()}
+    right = [got[i] == k for i, k in enumerate(list(alphabets) * 60)]
+    assert np.mean(right) > 0.98
+    raw = np.frombuffer(("é" * 300 + "x" * 10).encode(), np.uint8)
+    a, b, of = language_id.in_parts(raw, np.array([0, 600]), np.array([600, 610]), 181)
+    assert a.tolist() == [0, 180, 360, 540, 600] and b.tolist() == [180, 360, 540, 600, 610] and of.tolist() == [0, 0, 0, 0, 1]
