@@ -100,21 +100,26 @@ def answered(pages: DataFrame, spec: ModelSpec, item: str = "image", mode: str =
 
 def answered_until_failure(pages: DataFrame, spec: ModelSpec, ok: Callable[[str], bool], doc: str = "doc_id", item: str = "image", mode: str = "layout_all", max_tokens: int = 8192) -> DataFrame:
     """As ``answered``, but a document's pages go one after another and end with the first that
-    fails, so that no further call is made (ERR3).  A group is the selected pages of one document.
+    fails, so that no further call is made (ERR3).  Only the document at hand is remembered.
     """
     names = pages.columns
     schema = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in names) + ", answer string, error string"
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        model, rows = handle(spec), []
-        for _, r in group.sort_values("page").iterrows():
-            answer, error = _captured(lambda v: model.generate(v, prompt_mode=mode, max_tokens=max_tokens), r[item])
-            rows.append({**r.to_dict(), "answer": answer, "error": error})
-            if error is not None or not ok(answer):
-                break
-        return pd.DataFrame(rows, columns=[*names, "answer", "error"])
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, stopped = object(), False
+        for b in batches:
+            model, rows = handle(spec), []
+            for r in b.to_dict("records"):
+                if r[doc] != current:
+                    current, stopped = r[doc], False
+                if stopped:
+                    continue
+                answer, error = _captured(lambda v: model.generate(v, prompt_mode=mode, max_tokens=max_tokens), r[item])
+                rows.append({**r, "answer": answer, "error": error})
+                stopped = error is not None or not ok(answer)
+            yield pd.DataFrame(rows, columns=[*names, "answer", "error"])
 
-    return pages.groupBy(doc).applyInPandas(run, schema)
+    return pages.repartition(doc).sortWithinPartitions(doc, "page").mapInPandas(run, schema)
 
 
 def transcriber(spec: ModelSpec, language: str | None = None, word_timestamps: bool = False) -> Callable[[DataFrame], DataFrame]:
@@ -162,16 +167,22 @@ def pooled(output: Any) -> list[float]:
 def tracked(frames: DataFrame, spec: ModelSpec, video: str = "video") -> DataFrame:
     """Detections of a tracker that keeps state over the frames of a video (MDL7).
 
-    One group is one video; its frames are handed over in order.
+    The frames of a video come to one task in order; it holds one tracker and a batch of them.
     """
-    schema = "video string, frame_index int, cls int, bbox_xyxy array<float>, score float, track_id int"
+    columns = ["video", "frame_index", "cls", "bbox_xyxy", "score", "track_id"]
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        model = spec.factory(spec.name)  # a tracker's state belongs to one video
-        rows = [{"video": r[video], "frame_index": r["frame_index"], **d} for _, r in group.sort_values("frame_index").iterrows() for d in model.generate(r.to_dict())]
-        return pd.DataFrame(rows, columns=["video", "frame_index", "cls", "bbox_xyxy", "score", "track_id"])
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, model = object(), None
+        for b in batches:
+            rows = []
+            for r in b.to_dict("records"):
+                if r[video] != current:  # a tracker's state belongs to one video
+                    current, model = r[video], spec.factory(spec.name)
+                rows += [{"video": current, "frame_index": r["frame_index"], **d} for d in model.generate(r)]
+            yield pd.DataFrame(rows, columns=columns)
 
-    return frames.groupBy(video).applyInPandas(run, schema)
+    ordered = frames.repartition(video).sortWithinPartitions(video, "frame_index")
+    return ordered.mapInPandas(run, "video string, frame_index int, cls int, bbox_xyxy array<float>, score float, track_id int")
 
 
 def posed(chunks: DataFrame, spec: ModelSpec, keys: list[str], batch: int = 4) -> DataFrame:
@@ -197,6 +208,8 @@ class FakePageModel:
             raise RuntimeError(f"cannot read {image}")
         if "blank" in image:
             return "nothing on this page"
+        if "cites" in image:
+            return "see [1]"
         return json.dumps([{"bbox": [0, 0, 10, 10], "category": "Title", "text": f"Title of {image}"}, {"bbox": [0, 10, 10, 20], "category": "Text", "text": f"Text of {image}"}])
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars as S
+from tessera.functions.answers import items
 from tessera.operators import asr, consistency, layout, models, pages, sinks, tracks
 from tessera.sources import catalog, files, media
 
@@ -29,7 +30,7 @@ def parse_pdfs(spark: SparkSession, path: str, spec: models.ModelSpec, count: Ca
     S.positive(max_tokens, "max_tokens")
     todo = media.pdf_pages(files.pdfs(spark, path), count, selection)
     if stop_on_first_error:
-        answers = models.answered_until_failure(todo, spec, lambda a: bool(a and "[" in a), mode=mode, max_tokens=max_tokens)
+        answers = models.answered_until_failure(todo, spec, lambda a: blank_page_ok or bool(items(a)), mode=mode, max_tokens=max_tokens)
     else:
         answers = models.answered(todo, spec, mode=mode, max_tokens=max_tokens)
     done = pages.parsed(answers, blank_page_ok)

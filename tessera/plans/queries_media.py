@@ -14,16 +14,17 @@ from tessera.sources import catalog, files
 
 
 def _pairs(spark, sf) -> DataFrame:
-    e = read(spark, sf, "embeddings")
-    images = e.where("vec_id < 50").select(F.col("vec_id").alias("image_id"), "label", F.col("embedding").alias("image_embedding"))
-    texts = e.where("vec_id >= 50").select(F.col("vec_id").alias("pos"), "label", F.col("embedding").alias("text_embedding"))
-    return consistency.pairs(images, texts, ["label"])
+    """Every fourth vector is an image, the three behind it are its texts."""
+    e = read(spark, sf, "embeddings").withColumn("request", F.floor(F.col("vec_id") / 4))
+    images = e.where("vec_id % 4 = 0").select("request", F.col("vec_id").alias("image_id"), F.col("embedding").alias("image_embedding"))
+    texts = e.where("vec_id % 4 <> 0").select("request", F.col("vec_id").alias("pos"), F.col("embedding").alias("text_embedding"))
+    return consistency.pairs(images, texts, ["request"])
 
 
 _SCORED = """
 WITH p AS (
   SELECT i.vec_id AS image_id, t.vec_id AS pos, list_cosine_similarity(i.embedding::double[], t.embedding::double[]) AS c
-  FROM embeddings i JOIN embeddings t ON i.label = t.label AND i.vec_id < 50 AND t.vec_id >= 50
+  FROM embeddings i JOIN embeddings t ON i.vec_id // 4 = t.vec_id // 4 AND i.vec_id % 4 = 0 AND t.vec_id % 4 <> 0
 ), m AS (SELECT *, max(c) OVER (PARTITION BY image_id) AS top FROM p),
 x AS (SELECT *, exp(100.0 * (c - top)) AS e FROM m),
 s AS (SELECT image_id, pos, round(c, 6) AS cosine_similarity, round(e / sum(e) OVER (PARTITION BY image_id), 6) AS consistency_score FROM x)
@@ -43,15 +44,14 @@ def consistency_best_match(spark, sf):
 
 
 @query("""
-SELECT image_id, pos, cosine_similarity FROM (
-  SELECT i.vec_id AS image_id, t.vec_id AS pos, round(list_cosine_similarity(i.embedding::double[], t.embedding::double[]), 6) AS cosine_similarity
-  FROM embeddings i CROSS JOIN (SELECT * FROM embeddings WHERE vec_id % 50 = 7) t WHERE i.vec_id % 10 = 3)
+SELECT i.vec_id AS image_id, t.pos, round(list_cosine_similarity(i.embedding::double[], t.embedding::double[]), 6) AS cosine_similarity
+FROM embeddings i CROSS JOIN (SELECT label AS pos, arg_min(embedding, vec_id) AS embedding FROM embeddings GROUP BY label) t
 """)
 def request_scores(spark, sf):
-    """JOIN3 as a request: a few texts with every image."""
+    """JOIN3 as a request: a text for each label with every image."""
     e = read(spark, sf, "embeddings")
-    texts = e.where("vec_id % 50 = 7").select(F.col("vec_id").alias("pos"), F.col("embedding").alias("t"))
-    p = consistency.pairs(e.where("vec_id % 10 = 3").select(F.col("vec_id").alias("image_id"), F.col("embedding").alias("i")), texts)
+    texts = e.groupBy(F.col("label").alias("pos")).agg(F.min_by("embedding", "vec_id").alias("t"))
+    p = consistency.pairs(e.select(F.col("vec_id").alias("image_id"), F.col("embedding").alias("i")), texts)
     return p.select("image_id", "pos", F.bround(S.cosine(F.col("i"), F.col("t")), 6).alias("cosine_similarity"))
 
 
@@ -112,11 +112,11 @@ def track_chunks(spark, sf):
     return c.select("user_id", "segment_id", "chunk_id", "valid_count", F.array_join(F.transform("frame_indices", lambda x: x.cast("string")), ",").alias("frame_indices"))
 
 
-@query(_DENSE + "SELECT user_id, segment_id, frame_index FROM d")
+@query(_DENSE + "SELECT user_id, segment_id, frame_index, round(value, 6) AS value FROM d")
 def track_unchunk(spark, sf):
-    """WIN6: the frames of the chunks are those that went in."""
+    """WIN6: the frames of the chunks and what was made of them are those that went in."""
     c = tracks.chunked(tracks.interpolated(_segments(spark, sf), ["user_id"], ["value"]), ["user_id"], value="value")
-    return tracks.unchunked(c.withColumnRenamed("boxes", "outputs"), ["user_id", "segment_id"]).select("user_id", "segment_id", "frame_index")
+    return tracks.unchunked(c.withColumnRenamed("boxes", "outputs"), ["user_id", "segment_id"]).select("user_id", "segment_id", "frame_index", F.round("outputs", 6).alias("value"))
 
 
 @query(_HOURS + """, u AS (SELECT user_id, max(frame_index) + 1 AS frame_count FROM h GROUP BY user_id)
@@ -150,14 +150,14 @@ def skeleton_edges(spark, sf):
 
 
 @query("""
-WITH j AS (SELECT vec_id, k AS joint, round(embedding[2 * k + 1]::double, 4) AS x, round(embedding[2 * k + 2]::double, 4) AS y FROM embeddings, range(21) t(k) WHERE vec_id < 100),
+WITH j AS (SELECT vec_id, k AS joint, round(embedding[2 * k + 1]::double, 4) AS x, round(embedding[2 * k + 2]::double, 4) AS y FROM embeddings, range(21) t(k)),
 e AS (SELECT k AS edge, k // 4 AS finger, CASE WHEN k % 4 = 0 THEN 0 ELSE k END AS a, k + 1 AS b FROM range(20) t(k))
 SELECT p.vec_id, CAST(e.edge AS INTEGER) AS edge, CAST(e.finger AS INTEGER) AS finger, p.x AS x_start, p.y AS y_start, q.x AS x_end, q.y AS y_end
 FROM e JOIN j p ON p.joint = e.a JOIN j q ON q.joint = e.b AND q.vec_id = p.vec_id
 """)
 def skeleton_lines(spark, sf):
     """JOIN5, SNK7."""
-    e = read(spark, sf, "embeddings").where("vec_id < 100")
+    e = read(spark, sf, "embeddings")
     at = lambda k: F.round(F.element_at("embedding", k).cast("double"), 4)
     joints = e.select("vec_id", F.explode(F.array(*[F.struct(F.lit(k).alias("joint"), at(2 * k + 1).alias("x"), at(2 * k + 2).alias("y")) for k in range(21)])).alias("j")).select("vec_id", "j.*")
     return tracks.segments_to_draw(joints, ["vec_id"])
@@ -200,15 +200,18 @@ def downscale_sizes(spark, sf):
 
 
 @query("""
-WITH c AS (SELECT DISTINCT p_size, lpad(to_hex(p_size * 5), 2, '0') AS h, p_size * 5 / 255.0::double AS v FROM part)
-SELECT p_size, round(CASE WHEN v <= 0.04045 THEN v / 12.92 ELSE pow((v + 0.055) / 1.055, 2.4) END, 9) AS red, 1.0::double AS alpha FROM c
+WITH c AS (SELECT DISTINCT p_size, p_size * 5 / 255.0::double AS r, (p_size * 3 + 7) / 255.0::double AS g, (255 - p_size) / 255.0::double AS b FROM part)
+SELECT p_size, round(CASE WHEN r <= 0.04045 THEN r / 12.92 ELSE pow((r + 0.055) / 1.055, 2.4) END, 9) AS red,
+       round(CASE WHEN g <= 0.04045 THEN g / 12.92 ELSE pow((g + 0.055) / 1.055, 2.4) END, 9) AS green,
+       round(CASE WHEN b <= 0.04045 THEN b / 12.92 ELSE pow((b + 0.055) / 1.055, 2.4) END, 9) AS blue, 1.0::double AS alpha FROM c
 """)
 def srgb_linear(spark, sf):
     """MTH9."""
     p = read(spark, sf, "part").select("p_size").distinct()
-    h = F.lpad(F.hex((F.col("p_size") * 5).cast("long")), 2, "0")
-    c = S.srgb_linear(F.concat(F.lit("#"), h, h, h))
-    return p.select("p_size", F.round(c[0], 9).alias("red"), c[3].alias("alpha"))
+    byte = lambda v: F.lpad(F.hex(v.cast("long")), 2, "0")
+    n = F.col("p_size")
+    c = S.srgb_linear(F.concat(F.lit("#"), byte(n * 5), byte(n * 3 + 7), byte(255 - n)))
+    return p.select("p_size", *[F.round(c[k], 9).alias(x) for k, x in enumerate(("red", "green", "blue"))], c[3].alias("alpha"))
 
 
 @query("SELECT k::INTEGER AS plank, round((k - 2.5) * 0.208, 6)::DOUBLE AS offset_x FROM range(6) t(k)")
@@ -271,7 +274,7 @@ def asset_anti_join(spark, sf):
 
 @query("""
 SELECT c.video_id, coalesce(min_by(f.path, c.pos), max_by(n.path, n.mtime)) AS path FROM
-  (SELECT lpad(p_partkey::VARCHAR, 11, 'v') AS video_id, pos, '/d/' || p_partkey || '-' || pos || '.mp4' AS path FROM part, range(2) t(pos) WHERE p_partkey <= 200) c
+  (SELECT lpad(p_partkey::VARCHAR, 11, 'v') AS video_id, pos, '/d/' || p_partkey || '-' || pos || '.mp4' AS path FROM part, range(2) t(pos)) c
 LEFT JOIN (SELECT '/d/' || p_partkey || '-' || (p_partkey % 2) || '.mp4' AS path FROM part WHERE p_partkey % 3 = 0) f ON f.path = c.path
 LEFT JOIN (SELECT lpad(p_partkey::VARCHAR, 11, 'v') AS video_id, '/d/title ' || lpad(p_partkey::VARCHAR, 11, 'v') || '.mkv' AS path, p_size AS mtime FROM part WHERE p_partkey % 3 = 1) n ON n.video_id = c.video_id
 GROUP BY c.video_id
@@ -280,7 +283,7 @@ def downloaded_files(spark, sf):
     """SRC8, SRT2, RANK3."""
     p = read(spark, sf, "part")
     key, vid = F.col("p_partkey").cast("string"), F.lpad(F.col("p_partkey").cast("string"), 11, "v")
-    c = p.where("p_partkey <= 200").select(vid.alias("video_id"), key.alias("k"), F.explode(F.array(F.lit(0), F.lit(1))).alias("pos")).select("video_id", "pos", F.concat(F.lit("/d/"), "k", F.lit("-"), F.col("pos").cast("string"), F.lit(".mp4")).alias("path"))
+    c = p.select(vid.alias("video_id"), key.alias("k"), F.explode(F.array(F.lit(0), F.lit(1))).alias("pos")).select("video_id", "pos", F.concat(F.lit("/d/"), "k", F.lit("-"), F.col("pos").cast("string"), F.lit(".mp4")).alias("path"))
     a = p.where("p_partkey % 3 = 0").select(F.concat(F.lit("/d/"), key, F.lit("-"), (F.col("p_partkey") % 2).cast("string"), F.lit(".mp4")).alias("path"), F.col("p_size").alias("modification_time"))
     b = p.where("p_partkey % 3 = 1").select(F.concat(F.lit("/d/title "), vid, F.lit(".mkv")).alias("path"), F.col("p_size").alias("modification_time"))
     return catalog.downloaded_file(c, a.unionByName(b))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.answers import items
 from tessera.functions.registered import register
-from tessera.operators import asr, models, sinks
+from tessera.operators import asr, models, pages, sinks
 from tessera.plans import programs
 from tessera.plans.registry import query, read
 
@@ -29,11 +30,11 @@ def embed_texts(spark, sf):
     return e.select("item_id", F.size("embedding").alias("dims"), F.round(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")), 4).alias("norm"))
 
 
-_VIDEOS = "WITH v AS (SELECT user_id::VARCHAR AS video, count(*) AS n FROM events WHERE user_id < 20 GROUP BY user_id)"
+_VIDEOS = "WITH v AS (SELECT user_id::VARCHAR AS video, count(*) AS n FROM events GROUP BY user_id)"
 
 
 def _videos(spark, sf):
-    n = read(spark, sf, "events").where("user_id < 20").groupBy("user_id").agg(F.count("*").cast("int").alias("frame_count"))
+    n = read(spark, sf, "events").groupBy("user_id").agg(F.count("*").cast("int").alias("frame_count"))
     return n.select(F.col("user_id").cast("string").alias("video"), F.lit(640).alias("width"), F.lit(480).alias("height"), F.lit(0.0).alias("fps"), "frame_count")
 
 
@@ -65,20 +66,40 @@ def write_text_files(spark, sf):
     return sinks.write_files(sinks.unique_names(rows, "name"), sinks.workspace(spark))
 
 
-@query("SELECT doc_id, 1 AS blocks, 'Title' AS category FROM documents WHERE doc_id < 50")
+@query("""
+SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE 1 END AS blocks, CASE WHEN text IS NOT NULL THEN 'Title' END AS category,
+       length(regexp_replace(text, '[^A-Za-z0-9 ]', '', 'g')) AS chars FROM documents
+""")
 def registered_function(spark, sf):
-    """UDF1: the answer parse from SQL."""
+    """UDF1: the answer parse from SQL, on answers that are cut in their second object."""
     register(spark)
-    read(spark, sf, "documents").where("doc_id < 50").createOrReplaceTempView("tessera_docs")
-    return spark.sql("""SELECT doc_id, size(p) AS blocks, p[0].category AS category FROM (SELECT doc_id, parse_answer('[{"category": "Title", "text": "x"}, {"cat') AS p FROM tessera_docs)""")
+    read(spark, sf, "documents").createOrReplaceTempView("tessera_docs")
+    answers = """SELECT doc_id, concat('Found: [{"category": "Title", "text": "', regexp_replace(text, '[^A-Za-z0-9 ]', ''), '"}, {"cat') AS answer FROM tessera_docs"""
+    return spark.sql(f"SELECT doc_id, size(p) AS blocks, get(p, 0).category AS category, length(get(p, 0).text) AS chars FROM (SELECT doc_id, parse_answer(answer) AS p FROM ({answers}))")
+
+
+@query("""
+SELECT conv_id, turn, status FROM (
+  SELECT conv_id::VARCHAR AS conv_id, turn, CASE WHEN turn % 4 IN (2, 3) THEN 'error' ELSE 'ok' END AS status,
+         min(CASE WHEN turn % 4 IN (2, 3) THEN turn END) OVER (PARTITION BY conv_id) AS first FROM conversations)
+WHERE first IS NULL OR turn <= first
+""")
+def stop_on_first_failure(spark, sf):
+    """ERR3: no page behind the first that fails, by its call or by an answer without items, is asked."""
+    k = F.col("turn") % 4
+    image = F.concat(F.when(k == 3, "bad ").when(k == 2, "cites [1] ").otherwise("page "), F.col("turn").cast("string"))
+    p = read(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("conv_id"), "turn", image.alias("image"))
+    spec = models.ModelSpec("fake pages", lambda name: models.FakePageModel())
+    asked = models.answered_until_failure(p.withColumnRenamed("turn", "page"), spec, lambda a: bool(items(a)), doc="conv_id")
+    return pages.parsed(asked).select("conv_id", F.col("page").alias("turn"), "status")
 
 
 @query("""
-SELECT conv_id, turn, role, round(100.0 * length(text), 2)::DOUBLE AS x FROM conversations WHERE turn < 2
+SELECT conv_id, turn, role, round(100.0 * length(text), 2)::DOUBLE AS x FROM conversations
 """)
 def zipped_pages(spark, sf):
     """JOIN4, MAP1, ARR1: pages and their images by position, then looked up by key."""
-    c = read(spark, sf, "conversations").where("turn < 2")
+    c = read(spark, sf, "conversations")
     parts = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.length("text").alias("n")))).alias("m"))
     both = parts.select("conv_id", F.arrays_zip(F.transform("m", lambda x: x["turn"]).alias("turn"), F.transform("m", lambda x: x["role"]).alias("role")).alias("z"), F.map_from_entries(F.transform("m", lambda x: F.struct(x["turn"], x["n"]))).alias("sizes"))
     rows = both.select("conv_id", F.explode("z").alias("z"), "sizes").select("conv_id", "z.turn", "z.role", "sizes")

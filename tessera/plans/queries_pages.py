@@ -180,15 +180,13 @@ def parse_pdf(spark, sf):
     return pages.rollup(done).select("doc_id", "block_count", "parsed_page_count", "success")
 
 
-@query("""
-SELECT doc_id, source IN ('src1', 'src2') AS has_box, CASE WHEN source IN ('src1', 'src2') THEN doc_id || ' Text' END AS label FROM documents WHERE source IN ('src1', 'src2')
-""")
+@query("SELECT doc_id, doc_id || ' Text' AS label, n_chars::DOUBLE AS x1 FROM documents WHERE doc_id % 3 <> 1")
 def layout_overlay(spark, sf):
-    """SNK6: blocks without a box are not drawn."""
+    """SNK6: blocks without a box are not drawn; every third one has none."""
     d = read(spark, sf, "documents")
-    box = F.when(F.col("source").isin("src1", "src2"), F.array(*[F.lit(float(k)) for k in range(4)]))
+    box = F.when(F.col("doc_id") % 3 != 1, F.array(F.lit(0.0), F.lit(0.0), F.col("n_chars").cast("double"), F.lit(9.0)))
     b = layout.overlay(d.select("doc_id", F.col("doc_id").alias("index"), F.lit("Text").alias("category"), box.alias("bbox")))
-    return b.select("doc_id", F.col("bbox").isNotNull().alias("has_box"), "label")
+    return b.select("doc_id", "label", F.element_at("bbox", 3).alias("x1"))
 
 
 @query("SELECT source AS doc_id, max(n_chars) AS width, sum(n_chars)::BIGINT AS height FROM documents GROUP BY source")

@@ -69,17 +69,27 @@ def test_answers():
     assert items('[1, {"a": 1}]') == [{"a": 1}]
     assert items('[{"a": 1}] and that is all') == [{"a": 1}]
     assert items('see [1] then [{"a": 1}]') == []  # a stray bracket defeats the parse
+    assert items('```\n[1]\n``` and ```json\n[{"a": 1}]\n```') == []  # the first list counts
+    assert items('[{"a": "]}\\""}, {"b": [1, {"c": 2}]}, 3, {"d": 4}') == [{"a": ']}"'}, {"b": [1, {"c": 2}]}]
+    assert items('[{"a": 1}{"b": 2} x {"c": 3}') == [{"a": 1}, {"b": 2}] and items('[{"a": nope}, {"b": 2}') == []
+    assert items("```JSON\n[]\n``` [{}") == []
+
+
+def test_boxes():
+    assert answers.box([1, "2.346", True, 4.999]) == [1.0, 2.35, 1.0, 5.0]
+    assert answers.box([1, 2, 3]) is None and answers.box([1, 2, 3, "x"]) is None and answers.box([1, 2, 3, None]) is None and answers.box("1234") is None and answers.box([1, 2, 3, [4]]) is None
 
 
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.dictionaries(st.text(max_size=4), st.one_of(st.integers(), st.text(max_size=6)), max_size=3), max_size=4), st.integers(0, 200))
 def test_salvage_finds_the_whole_objects(found, cut):
     text = json.dumps(found)
-    got = answers.salvage(text[:cut])
+    got = answers.whole_objects(text[:cut])
     if cut >= len(text):
-        assert (got or []) == found
+        assert got == found
     else:
-        assert (got or []) == found[: len(got or [])]
+        ends = [len(json.dumps(found[: k + 1])) - 1 for k in range(len(found))]
+        assert got == found[: sum(cut >= e for e in ends)]
 
 
 def test_blocks(spark):

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.functions import answers
 from tessera.operators import asr, consistency, models, pages, sinks, tracks
 from tessera.plans import programs
 from tessera.sources import catalog, files, media
@@ -34,6 +35,9 @@ def test_stop_on_first_error_makes_no_further_call(spark):
     df = spark.createDataFrame(rows, "doc_id string, page int, image string")
     got = models.answered_until_failure(df, fake_pages(), lambda a: "[" in a).orderBy("page").collect()
     assert [r.page for r in got] == [1, 2]
+    cited = spark.createDataFrame([("a", 1, "p1"), ("a", 2, "cites"), ("a", 3, "p3"), ("b", 1, "p1"), ("b", 2, "p2")], "doc_id string, page int, image string")
+    got = models.answered_until_failure(cited, fake_pages(), lambda a: bool(answers.items(a))).collect()
+    assert sorted((r.doc_id, r.page) for r in got) == [("a", 1), ("a", 2), ("b", 1), ("b", 2)]  # brackets without items are a failure
     assert sorted(r.page for r in pages.fail_fast(pages.parsed(models.answered(df, fake_pages()))).collect()) == [1, 2]
 
 
