@@ -21,13 +21,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Only where the session has none, as in tests on one machine, a temporary folder is set.
+    Only where a session on one machine has none, as in tests, a temporary folder is set.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = jdir.get() if jdir.isDefined() else None
     if not base:
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tessera-shared-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

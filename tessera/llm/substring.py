@@ -184,7 +184,11 @@ def _grams(n: int):
 
 
 class FingerprintIndex:
-    """Sorted immutable runs of hashes by bucket, in a folder that all executors share."""
+    """Sorted immutable runs of hashes by bucket, in a folder that all executors share.
+
+    A folder with a manifest is an index of an earlier session: it is opened as it was left, and
+    runs that its manifest doesn't name, of a batch that didn't end, don't count.
+    """
 
     def __init__(self, spark: SparkSession, uri: str, buckets: int | None = None, fanout: int = FANOUT):
         self.spark, self.uri, self.fanout = spark, uri, fanout
@@ -193,6 +197,12 @@ class FingerprintIndex:
         fs.create_dir(path, recursive=True)
         #: (level, name) of the runs that count, oldest first; what the manifest says.
         self.runs: list[tuple[int, str]] = []
+        if fs.get_file_info(f"{path}/manifest.json").type == pafs.FileType.File:
+            with fs.open_input_stream(f"{path}/manifest.json") as f:
+                said = json.loads(f.read())
+            if buckets not in (None, said["buckets"]):
+                raise ValueError(f"the index at {uri} has {said['buckets']} buckets")
+            self.buckets, self.runs = said["buckets"], [tuple(r) for r in said["runs"]]
 
     def _commit(self) -> None:
         fs, path = pafs.FileSystem.from_uri(self.uri)

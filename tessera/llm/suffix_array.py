@@ -28,11 +28,12 @@ than a piece; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,20 +55,30 @@ STRINGS_SQL = "bucket int, h binary, d binary, p binary, size binary, data binar
 
 
 class Columns:
-    """Two external files that take turns: one is read front to back, the other written."""
+    """Two external files that take turns: one is read front to back, the other written.
 
-    def __init__(self):
-        self.files = [tempfile.TemporaryFile(), tempfile.TemporaryFile()]
+    They lie in a shared folder, under a name of this attempt, and go when it ends.
+    """
+
+    def __init__(self, uri: str):
+        self.fs, folder = pafs.FileSystem.from_uri(uri)
+        self.fs.create_dir(folder, recursive=True)
+        name = uuid4().hex
+        self.files = [f"{folder}/{name}-{k}" for k in range(2)]
 
     def put(self, data: np.ndarray) -> None:
         self.files.reverse()
-        self.files[0].seek(0)
-        self.files[0].write(data)
-        self.size = len(data)
+        with self.fs.open_output_stream(self.files[0], buffer_size=None) as out:
+            out.write(data)
 
     def get(self) -> np.ndarray:
-        self.files[0].seek(0)
-        return np.frombuffer(self.files[0].read(self.size), np.uint8)
+        with self.fs.open_input_stream(self.files[0], buffer_size=None) as f:
+            return np.frombuffer(f.read(), np.uint8)
+
+    def close(self) -> None:
+        for name in self.files:
+            if self.fs.get_file_info(name).type == pafs.FileType.File:
+                self.fs.delete_file(name)
 
 
 def column_bwt(data: np.ndarray, off: np.ndarray, files: Columns) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,9 +153,9 @@ def shared_prefix(data: np.ndarray, start: np.ndarray, width: int) -> np.ndarray
     return out
 
 
-def marked_windows(data: np.ndarray, off: np.ndarray, doc: np.ndarray, width: int = WINDOW, files: Columns | None = None) -> tuple[np.ndarray, np.ndarray]:
+def marked_windows(data: np.ndarray, off: np.ndarray, doc: np.ndarray, width: int, files: Columns) -> tuple[np.ndarray, np.ndarray]:
     """(start in ``data``, string) of windows inside the strings that a smaller document has as well."""
-    _, start, row = column_bwt(data, off, files or Columns())
+    _, start, row = column_bwt(data, off, files)
     whole = start + width <= off[row + 1]
     start, row = start[whole], row[whole]
     if not len(start):
@@ -276,10 +287,10 @@ def _strings(n: int):
     return run
 
 
-def _construct(n: int):
+def _construct(n: int, uri: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have: dict[int, list[pa.RecordBatch]] = {}
-        files = Columns()
+        files = Columns(uri)
         open_, rolls = zstandard.ZstdDecompressor(), (kernels.Rolling(73), kernels.Rolling(74))
         for batch in batches:
             for k in range(batch.num_rows):
@@ -318,13 +329,14 @@ def _construct(n: int):
                 stop = int(ends[max(full - 1, next_)])
                 s = head[at:stop]
                 off = np.concatenate([[0], np.cumsum(size[s])])
-                hit, row = marked_windows(raw[kernels.ragged(begin[s], size[s])], off, d[s], files=files)
+                hit, row = marked_windows(raw[kernels.ragged(begin[s], size[s])], off, d[s], WINDOW, files)
                 own = slice(*np.searchsorted(of, [at, stop]))
                 first = np.searchsorted(of[own], row + at)
                 count = np.searchsorted(of[own], row + at, side="right") - first
                 m = members[own][kernels.ragged(first, count)]
                 yield from _runs(d[m], p[m] + np.repeat(hit - off[row], count), n)
                 at = stop
+        files.close()
 
     return run
 
@@ -371,7 +383,7 @@ def remove_shared(docs: DataFrame) -> DataFrame:
     keyed = docs.where(F.col("doc_id").isNotNull())
     hits = common.exchange(keyed.mapInArrow(_grams(n), ENTRY_SQL), n).mapInArrow(_nominate(n), HIT_SQL)
     around = keyed.join(by_document(hits, n).hint("merge"), "doc_id").select("doc_id", "text", "at")
-    spans = common.exchange(around.mapInArrow(_strings(n), STRINGS_SQL), n).mapInArrow(_construct(n), HIT_SQL)
+    spans = common.exchange(around.mapInArrow(_strings(n), STRINGS_SQL), n).mapInArrow(_construct(n, common.shared_dir(docs.sparkSession, "columns")), HIT_SQL)
     judged = keyed.join(by_document(spans, n).hint("merge"), "doc_id", "left").select("doc_id", "text", "at", "ends")
     none = F.lit(None).cast("binary")
     free = docs.where(F.col("doc_id").isNull()).select("doc_id", "text", none.alias("at"), none.alias("ends"))

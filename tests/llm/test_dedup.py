@@ -93,6 +93,24 @@ def test_substring_index_is_incremental(spark):
     assert sorted(level for level, _ in index.runs) == [0, 2]  # runs of five batches, compacted by two
 
 
+def test_substring_index_of_two_sessions_equals_one(spark):
+    w = vocabulary(400)
+    rng = random.Random(3)
+    same = " ".join(rng.choice(w) for _ in range(60))
+    batches = [docs(spark, [" ".join(rng.choice(w) for _ in range(50)) + " " + same * (k % 2), same], [2 * k, 2 * k + 1]).select("doc_id", "text") for k in range(6)]
+    hits = lambda index, k: sorted((r.doc_id, r["at"]) for r in substring.by_document(index.add(batches[k]), 4).collect())
+    one, uri = substring.FingerprintIndex(spark, common.shared_dir(spark, "one"), 4, fanout=2), common.shared_dir(spark, "two")
+    want = [hits(one, k) for k in range(6)]
+    got = []
+    for part in ((0, 1, 2), (3,), (4, 5)):
+        index = substring.FingerprintIndex(spark, uri, fanout=2)  # opened from its manifest
+        index.buckets = 4 if not index.runs else index.buckets
+        got += [hits(index, k) for k in part]
+    assert got == want and [level for level, _ in index.runs] == [level for level, _ in one.runs]
+    with pytest.raises(ValueError):
+        substring.FingerprintIndex(spark, uri, 5)
+
+
 def brute_bytes(rows):
     seen, out = {}, {}
     for k, t in sorted(rows, key=lambda r: r[0]):
@@ -113,12 +131,12 @@ def test_suffix_dedup(spark):
     assert {r.doc_id: (r.n_bytes, sum(s.end - s.start for s in r.removed), len(r.removed), hashlib.sha256(r.kept).hexdigest()) for r in got} == brute_bytes(list(enumerate(texts)))
 
 
-def test_column_bwt_sorts_all_suffixes():
+def test_column_bwt_sorts_all_suffixes(tmp_path):
     rng = np.random.default_rng(4)
     strings = [bytes(rng.integers(97, 100, n).astype(np.uint8)) for n in (5, 0, 30, 31, 1, 30)]
     strings.append(strings[2])
     data, off = np.frombuffer(b"".join(strings), np.uint8), np.concatenate([[0], np.cumsum([len(s) for s in strings])])
-    bwt, start, string = suffix_array.column_bwt(data, off, suffix_array.Columns())
+    bwt, start, string = suffix_array.column_bwt(data, off, suffix_array.Columns(f"file://{tmp_path}"))
     suffixes = [(strings[k][s - off[k] :], k) for s, k in zip(start, string, strict=True)]
     assert suffixes == sorted(((s[i:], k) for k, s in enumerate(strings) for i in range(len(s) + 1)))
     before = [strings[k][s - off[k] - 1] if s > off[k] else None for s, k in zip(start, string, strict=True)]
