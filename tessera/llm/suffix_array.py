@@ -46,7 +46,7 @@ GRAM = 20
 #: Bytes of text that one pass works on: repeats within them are settled before any shuffle.
 PIECE_BYTES = 3 << 20
 #: Strings that one collection has at most, and so the bytes that its files hold.
-COLLECTION = 800
+COLLECTION = 3200
 
 STRINGS = pa.schema([("bucket", pa.int32()), ("h", pa.binary()), ("d", pa.binary()), ("p", pa.binary()), ("size", pa.binary()), ("data", pa.binary()), ("settled", pa.bool_())])
 STRINGS_SQL = "bucket int, h binary, d binary, p binary, size binary, data binary, settled boolean"
