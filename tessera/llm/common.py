@@ -127,7 +127,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Alternating large-star and small-star rounds over DataFrames: each round is two grouped
     minima, combined before the shuffle, and the number of links never grows.  A hot node only
-    ever sends partial minima, so no task holds a whole group.  Rounds are logarithmic in the
+    ever sends partial minima, so no task holds a whole group.  A link may come to repeat, which
+    changes no minimum, so no round has to make links distinct.  Rounds are logarithmic in the
     longest chain.  Lineage is cut in the shared folder each round.
     """
     e = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
@@ -136,11 +137,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         # large star: every greater neighbour of a node is linked to the node's least one
         both = e.select("u", "v").union(e.select(F.col("v"), F.col("u")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: a node and its lesser neighbours are linked to the least of them
         down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        e = stored(small.union(down.select("u", F.col("m").alias("v"))).distinct(), "links")
+        e = stored(large.join(down, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")), "links")
         total = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if total == last:
             break
