@@ -57,7 +57,8 @@ STRINGS_SQL = "bucket int, h binary, d binary, p binary, size binary, data binar
 class Columns:
     """Two external files that take turns: one is read front to back, the other written.
 
-    They lie in a shared folder, under a name of this attempt, and go when it ends.
+    They lie in a shared folder, under a name of this attempt, and go when it ends.  Where that
+    folder is mounted they stay open and are overwritten from their beginnings.
     """
 
     def __init__(self, uri: str):
@@ -65,17 +66,39 @@ class Columns:
         self.fs.create_dir(folder, recursive=True)
         name = uuid4().hex
         self.files = [f"{folder}/{name}-{k}" for k in range(2)]
+        self.size = 0
+        self.opened = [open(f, "w+b", buffering=0) for f in self.files] if self.fs.type_name == "local" else []
 
     def put(self, data: np.ndarray) -> None:
         self.files.reverse()
-        with self.fs.open_output_stream(self.files[0], buffer_size=None) as out:
-            out.write(data)
+        self.opened.reverse()
+        self.size = len(data)
+        if not self.opened:
+            with self.fs.open_output_stream(self.files[0], buffer_size=None) as out:
+                out.write(data)
+            return
+        self.opened[0].seek(0)
+        left = memoryview(data)
+        while len(left):
+            left = left[self.opened[0].write(left) :]
 
     def get(self) -> np.ndarray:
-        with self.fs.open_input_stream(self.files[0], buffer_size=None) as f:
-            return np.frombuffer(f.read(), np.uint8)
+        if not self.opened:
+            with self.fs.open_input_stream(self.files[0], buffer_size=None) as f:
+                return np.frombuffer(f.read(), np.uint8)
+        data = np.empty(self.size, np.uint8)
+        self.opened[0].seek(0)
+        left = memoryview(data)
+        while len(left):
+            got = self.opened[0].readinto(left)
+            if not got:
+                raise EOFError(f"{self.files[0]} ends early")
+            left = left[got:]
+        return data
 
     def close(self) -> None:
+        for f in self.opened:
+            f.close()
         for name in self.files:
             if self.fs.get_file_info(name).type == pafs.FileType.File:
                 self.fs.delete_file(name)
