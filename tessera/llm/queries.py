@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import embedding_dedup, jaccard_join, language_id, line_dedup, mixing, sentencepiece_nbest, substring, suffix_array, token_shards, topk_nra
+from tessera.llm import embedding_dedup, jaccard_join, language_id, line_dedup, mixing, sentencepiece_nbest, substring, suffix_array, token_counts, token_shards, topk_nra
 
 QUERIES = {
     "op4_sentencepiece": sentencepiece_nbest.op4_sentencepiece,
@@ -15,5 +15,6 @@ QUERIES = {
     "op10_mix": mixing.op10_mix,
     "op5_language_id": language_id.op5_language_id,
     "op9_token_shards": token_shards.op9_token_shards,
+    "op13_token_counts": token_counts.op13_token_counts,
 }
 ORACLES: dict[str, str] = {"op2_topk": topk_nra.OP2_SQL}
