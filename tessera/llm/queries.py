@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import conversations, embedding_dedup, jaccard_join, language_id, line_dedup, mixing, sentencepiece_nbest, substring, suffix_array, token_counts, token_shards, topk_nra
+from tessera.llm import conversations, embedding_dedup, jaccard_join, language_id, line_dedup, mixing, sentencepiece_nbest, spelling, substring, suffix_array, token_counts, token_shards, topk_nra
 
 QUERIES = {
     "op4_sentencepiece": sentencepiece_nbest.op4_sentencepiece,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_mix": mixing.op10_mix,
     "op5_language_id": language_id.op5_language_id,
     "op9_token_shards": token_shards.op9_token_shards,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
     "op12_conversation_repair": conversations.op12_conversation_repair,
     "op13_token_counts": token_counts.op13_token_counts,
 }
