@@ -306,3 +306,40 @@ def variants(docs: DataFrame, key: str = "doc_id", text: str = "text", damage: i
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(common.table(spark, sf_dir, "documents"))
+
+
+#: Checksums by a table made of eight shifts, pairs by words less one letter, roots by recursion.
+OP11_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY i) AS steps
+  FROM (SELECT i, list_reduce(range(8), lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, i) AS v FROM (SELECT unnest(range(256)) AS i))
+), runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS k, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]{5,}')) AS run
+  FROM documents
+), per_document AS (
+  SELECT k, run, count(*) AS c, hex(encode(k || ':' || run)) AS bytes FROM runs GROUP BY k, run
+), hashed AS (
+  SELECT run, c, xor(list_reduce(
+    list_transform(range(1, length(bytes), 2), lambda i: CAST('0x' || substr(bytes, CAST(i AS INT), 2) AS BIGINT)),
+    lambda x, b: xor(x >> 8, steps[CAST(xor(x, b) & 255 AS INT) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS h
+  FROM per_document, crc
+), damaged AS (
+  SELECT c, CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word FROM hashed
+), words AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM damaged WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3
+), less AS (
+  SELECT word, n, i, substr(word, 1, CAST(i - 1 AS INT)) || substr(word, CAST(i + 1 AS INT)) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS form, max(near_n) AS form_n FROM pairs GROUP BY word
+), told AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * n THEN form END AS form, CASE WHEN form_n >= 2 * n THEN form_n END AS form_n FROM words w LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS at, form AS next FROM told
+  UNION ALL SELECT walk.word, told.word, told.form FROM walk JOIN told ON told.word = walk.next
+)
+SELECT told.word, form, walk.at AS root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM told JOIN walk ON walk.word = told.word AND walk.next IS NULL
+"""

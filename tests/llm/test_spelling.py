@@ -127,3 +127,13 @@ def test_empty_table(spark):
 def test_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     assert found(spelling.op11_spelling_variants(spark, "/root/testdata/sf0.001")) == brute(rows)
+
+
+def test_query_against_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.01/documents.parquet'")
+    want = con.sql(spelling.OP11_SQL)
+    rows = {tuple(dict(zip(want.columns, r))[c] for c in ("word", "form", "root", "n", "n_near", "form_n")) for r in want.fetchall()}
+    assert found(spelling.op11_spelling_variants(spark, "/root/testdata/sf0.01")) == rows
