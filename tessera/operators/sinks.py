@@ -14,6 +14,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators import document_sink
+
 
 def put(uri: str, data: bytes) -> None:
     """Write under a name of this attempt, then rename: a reader never sees half a file."""
@@ -39,21 +41,18 @@ def unique_names(rows: DataFrame, name: str) -> DataFrame:
     return rows
 
 
-def write_files(rows: DataFrame, root: str, name: str = "name", content: str = "content") -> DataFrame:
-    """Write one file for each row, text or bytes; returns (name, bytes) (SNK1 to SNK4).
-
-    Each task writes its own rows; a repeated task writes the same files again.
-    """
-    root = root if "://" in root else f"file://{root}"
+def rooted(spark: SparkSession, root: str) -> str:
+    """A root as a URI; a bare path is one only where driver and executors are one machine."""
+    if "://" in root:
+        return root
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError(f"a root that executors share needs a scheme, as in hdfs://... or file://...: {root}")
+    return f"file://{root}"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            data = [x.encode() if isinstance(x, str) else bytes(x) for x in b["c"]]
-            for n, d in zip(b["n"], data, strict=True):
-                put(f"{root.rstrip('/')}/{n}", d)
-            yield pd.DataFrame({"name": b["n"], "bytes": [len(d) for d in data]})
 
-    return rows.select(F.col(name).alias("n"), F.col(content).alias("c")).mapInPandas(run, "name string, bytes long")
+def write_files(rows: DataFrame, root: str, name: str = "name", content: str = "content") -> DataFrame:
+    """Write one file for each row, text or bytes, all or none; returns (name, bytes) (SNK1 to SNK4)."""
+    return document_sink.write_documents(rows, rooted(rows.sparkSession, root), name, content)
 
 
 def _pretty(documents: pd.Series) -> pd.Series:
@@ -73,7 +72,7 @@ def write_json_documents(rows: DataFrame, root: str, name: str, document: Column
 def rendered(rows: DataFrame, renderer: Callable[[dict], bytes], root: str, name: str = "name") -> DataFrame:
     """Files of an injected renderer, one row at a time: pages, overlays, frames, videos (SNK5 to SNK8)."""
     names = rows.columns
-    root = root if "://" in root else f"file://{root}"
+    root = rooted(rows.sparkSession, root)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -108,5 +107,5 @@ def run_job(root: str, prompt: str, script: str, job: Callable[[str], None], val
 
 def workspace(spark: SparkSession, name: str = "workspace") -> str:
     """A new folder that driver and executors share, below ``spark.checkpoint.dir``."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tessera-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or rooted(spark, tempfile.mkdtemp(prefix="tessera-"))
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

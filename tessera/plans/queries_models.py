@@ -61,11 +61,28 @@ def pose_frames(spark, sf):
 
 @query("SELECT item_id || '.txt' AS name, octet_length(encode(text)) AS bytes FROM benchmark")
 def write_text_files(spark, sf):
-    """SNK1 to SNK4, SNK10: a file for each row, written aside and moved."""
+    """SNK1 to SNK4, SNK10: a file for each row, staged by tasks and committed together."""
     rows = read(spark, sf, "benchmark").select(F.concat(F.col("item_id").cast("string"), F.lit(".txt")).alias("name"), F.col("text").alias("content"))
     return sinks.write_files(sinks.unique_names(rows, "name"), sinks.workspace(spark))
 
 
+@query("""
+SELECT conv_id::VARCHAR || '.json' AS name, count(*) AS turns, sum(length(text))::BIGINT AS chars, string_agg(role[1], '' ORDER BY turn) AS roles
+FROM conversations GROUP BY conv_id
+""")
+def conversation_documents(spark, sf):
+    """SNK1 to SNK3: an indented JSON document for each conversation, committed together, read from the files."""
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    rows = read(spark, sf, "conversations").groupBy("conv_id").agg(turns.alias("turns")).withColumn("name", F.concat(F.col("conv_id").cast("string"), F.lit(".json")))
+    root = sinks.workspace(spark)
+    sinks.write_json_documents(rows, root, "name", F.struct("conv_id", "turns"))
+    told = F.from_json(F.col("content").cast("string"), "conv_id long, turns array<struct<turn: long, role: string, text: string>>")
+    found = spark.read.format("binaryFile").load(f"{root}/*.json").select("path", told.alias("d"))
+    chars = F.aggregate("d.turns", F.lit(0).cast("long"), lambda n, t: n + F.char_length(t["text"]))
+    roles = F.array_join(F.transform("d.turns", lambda t: F.substring(t["role"], 1, 1)), "")
+    return found.select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), F.size("d.turns").cast("long").alias("turns"), chars.alias("chars"), roles.alias("roles"))
+
+
 @query("""
 SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE 1 END AS blocks, CASE WHEN text IS NOT NULL THEN 'Title' END AS category,
        length(regexp_replace(text, '[^A-Za-z0-9 ]', '', 'g')) AS chars FROM documents
