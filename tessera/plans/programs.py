@@ -16,16 +16,17 @@ from pyspark.sql import functions as F
 from tessera.functions import scalars as S
 from tessera.functions.answers import items
 from tessera.operators import asr, consistency, layout, models, pages, sinks, tracks
-from tessera.sources import catalog, files, media
+from tessera.sources import catalog, containers, files, media
 
 
-def transcribe(spark: SparkSession, path: str, spec: models.ModelSpec, language: str | None = None, word_timestamps: bool = False, probe=media.ffprobe) -> DataFrame:
-    """Media files to transcripts; silent ones never reach the model."""
-    found = media.probed(files.listing(spark, path), probe).select("source", "duration_seconds", "audio_present")
+def transcribe(spark: SparkSession, path: str, spec: models.ModelSpec, language: str | None = None, word_timestamps: bool = False, probe=None) -> DataFrame:
+    """Media files to transcripts; silent ones never reach the model.  ``probe`` takes the place of a look at headers."""
+    listed = files.listing(spark, path)
+    found = (containers.probed(listed) if probe is None else media.probed(listed, probe)).select("source", "duration_seconds", "audio_present")
     return asr.transcribed(found, spec.name, models.transcriber(spec, language, word_timestamps))
 
 
-def parse_pdfs(spark: SparkSession, path: str, spec: models.ModelSpec, count: Callable[[str], int], selection: str = "all", mode: str = "layout_all", max_tokens: int = 8192, stop_on_first_error: bool = False, blank_page_ok: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+def parse_pdfs(spark: SparkSession, path: str, spec: models.ModelSpec, count: Callable[[str], int] | None = None, selection: str = "all", mode: str = "layout_all", max_tokens: int = 8192, stop_on_first_error: bool = False, blank_page_ok: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(pages, blocks, documents) of PDFs; pages are selected before any is answered."""
     S.positive(max_tokens, "max_tokens")
     todo = media.pdf_pages(files.pdfs(spark, path), count, selection)

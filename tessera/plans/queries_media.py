@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars as S
-from tessera.operators import asr, consistency, tracks
+from tessera.operators import asr, consistency, sinks, tracks
+from tessera.plans import fixtures
 from tessera.plans.registry import query, read
-from tessera.sources import catalog, files
+from tessera.sources import catalog, containers, files, pdf
 
 # ---- image-text consistency
 
@@ -348,3 +349,43 @@ def video_limits(spark, sf):
     return o.select("o_orderkey", S.frame_rate((F.col("o_custkey") % 4).cast("double")).alias("fps"), S.frame_count(F.col("o_orderkey") % 500 + 1, 100).alias("frame_count"))
 
 
+
+
+_FILMS = """WITH v AS (SELECT conv_id, sum(length(text))::BIGINT AS n, (count(*) % 8 + 1)::INTEGER AS k FROM conversations GROUP BY conv_id)"""
+
+
+@query(_FILMS + """
+SELECT conv_id || '.mp4' AS name, round(n * 512 / 15360.0, 3)::DOUBLE AS duration_seconds, conv_id % 3 <> 0 AS audio_present, (16 * k)::INTEGER AS width, (9 * k)::INTEGER AS height,
+       30.0::DOUBLE AS fps, n::INTEGER AS frame_count FROM v WHERE conv_id % 7 <> 6
+UNION ALL SELECT conv_id || '.mp4', NULL, NULL, NULL, NULL, NULL, NULL FROM v WHERE conv_id % 7 = 6
+""")
+def media_headers(spark, sf):
+    """SRC17 to SRC19: a film for each conversation, with a frame for each letter; plain, with its header first, in
+    fragments, with large boxes, or cut off; written as files and read by ranges."""
+    v = read(spark, sf, "conversations").groupBy("conv_id").agg(F.sum(F.char_length("text")).alias("n"), (F.count("*") % 8 + 1).alias("k"))
+    films = v.select(F.concat(F.col("conv_id").cast("string"), F.lit(".mp4")).alias("name"), fixtures.film("conv_id", "n", "k").alias("content"))
+    root = sinks.workspace(spark)
+    names = sinks.write_files(films, root).select("name", F.concat(F.lit(f"{root}/"), F.col("name")).alias("path"))
+    return containers.headers(names).select("name", *containers.NAMES)
+
+
+@query("""
+SELECT doc_id, CASE WHEN doc_id % 11 = 10 THEN NULL ELSE coalesce(length(text) % 400, 0) END::INTEGER AS pages, doc_id % 11 = 10 AS broken FROM documents
+""")
+def pdf_page_counts(spark, sf):
+    """SRC13: a PDF for each document, with cross references as tables or streams, updated, or cut off."""
+    d = read(spark, sf, "documents").select("doc_id", fixtures.paper("doc_id", F.coalesce(F.char_length("text") % 400, F.lit(0))).alias("content"))
+    return pdf.page_counts(d, "content").select("doc_id", "pages", F.col("error").isNotNull().alias("broken"))
+
+
+@query("""
+SELECT name, page::INTEGER AS page, (792 + CASE WHEN page % 2 = 0 THEN page ELSE 0 END)::DOUBLE AS height_pt, round(612 * 96 / 72.0)::INTEGER AS pixel_width
+FROM (SELECT coalesce(lang, '-') || '.pdf' AS name, unnest(range(1, (sum(length(text)) // 100 % 1900 + 101)::BIGINT)) AS page FROM documents GROUP BY coalesce(lang, '-')) WHERE page BETWEEN 40 AND 1500
+""")
+def pdf_page_rows(spark, sf):
+    """SRC14, SRC15: the selected pages of long PDFs as a data source, some pages a task."""
+    d = read(spark, sf, "documents").groupBy(F.coalesce("lang", F.lit("-")).alias("p")).agg((F.floor(F.sum(F.char_length("text")) / 100) % 1900 + 100).alias("n"))
+    root = sinks.workspace(spark)
+    sinks.write_files(d.select(F.concat("p", F.lit(".pdf")).alias("name"), fixtures.paper(F.lit(0), F.col("n")).alias("content")), root)
+    pages = pdf.read_pages(spark, root, dpi=96, pages_per_task=200).where(F.col("page").between(40, 1500))
+    return pages.select(F.regexp_extract("doc_id", "([^/]+)$", 1).alias("name"), "page", "height_pt", "pixel_width")

@@ -1,7 +1,8 @@
 """Media sources that need a codec: probes, page images and frames, by injected readers.
 
 Spark plans what is to be read (which pages, which frames, what a missing value means); a reader
-does what needs a library.  ``ffprobe`` is used where it is installed.
+does what needs a library.  Headers of media and structures of PDFs need none: see ``containers`` and
+``pdf``.  ``ffprobe`` can be asked where it is installed, for other formats.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scalars import frame_name, frame_rate, page_name
 from tessera.operators.pages import page_list
+from tessera.sources import pdf
 
 PDF_DPI, PAGE_DPI = 150, 200
 
@@ -71,14 +73,21 @@ def usable_videos(media: DataFrame, max_frames: int | None = None) -> DataFrame:
     return media.withColumn("fps", frame_rate(F.col("fps"))).withColumn("frame_count", count).where((F.col("width") > 0) & (F.col("height") > 0) & (F.col("frame_count") > 0))
 
 
-def pdf_pages(pdfs: DataFrame, count: Callable[[str], int], spec: str = "all") -> DataFrame:
-    """A row for each selected page of each PDF, with the name of its image (SRC13, STR3)."""
+def pdf_pages(pdfs: DataFrame, count: Callable[[str], int] | None = None, spec: str = "all") -> DataFrame:
+    """A row for each selected page of each PDF, with the name of its image (SRC13, STR3).
+
+    Pages are counted by the file's own structure, or by a reader that is given; a file that can't be counted is an error.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield pd.DataFrame({"doc_id": b["path"], "pages": [count(p) for p in b["path"]]})
 
-    counted = pdfs.select("path").mapInPandas(run, "doc_id string, pages int")
+    if count is None:
+        told = F.coalesce(F.col("pages"), F.raise_error(F.concat_ws(": ", "path", "error")).cast("int"))
+        counted = pdf.page_counts(pdfs.select("path")).select(F.col("path").alias("doc_id"), told.alias("pages"))
+    else:
+        counted = pdfs.select("path").mapInPandas(run, "doc_id string, pages int")
     rows = counted.select("doc_id", "pages", F.explode(page_list(F.lit(spec), F.col("pages"))).alias("page"))
     return rows.withColumn("image", page_name(F.col("page")))
 
