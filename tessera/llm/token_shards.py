@@ -12,9 +12,12 @@ Documents stand in ascending key order, over all shards.  A key is found in cons
 levels of the hash function give a slot, the fingerprint turns away strangers, the ordinal gives
 the place of the ids.
 
+A manifest's line also has the first and last key of its shard, so that a lookup asks one shard.
+
 Defined results: a null text is an empty document; a null key comes last and is read by ordinal
-only; of rows that repeat a key the first is the keyed one, and all are stored.  Other columns,
-whatever their names, are ignored.  An empty table gives no shard with documents.
+only; rows that repeat a key stand in the order of a hash of their texts, all are stored, and the
+first in a shard is the keyed one.  Other columns, whatever their names, are ignored.  An empty
+table gives no shard with documents.
 """
 
 from __future__ import annotations
@@ -274,8 +277,9 @@ def write_token_shards(docs: DataFrame, uri: str, tokenizer: str, end_id: int =
     n = n_shards or common.partitions(spark)
     fs, path = _open(uri)
     fs.create_dir(path, recursive=True)
-    ordered = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).repartitionByRange(n, F.col("k").asc_nulls_last()).sortWithinPartitions(F.col("k").asc_nulls_last())
-    made = pa.schema([("shard", pa.int64()), ("docs", pa.int64()), ("ids", pa.int64())])
+    order = [F.col("k").asc_nulls_last(), F.xxhash64("t")]  # documents without a key, or of one key, go to several shards
+    ordered = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).repartitionByRange(n, *order).sortWithinPartitions(*order)
+    made = pa.schema([("shard", pa.int64()), ("docs", pa.int64()), ("ids", pa.int64()), ("first", pa.int64()), ("last", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ctx = TaskContext.get()
@@ -302,11 +306,12 @@ def write_token_shards(docs: DataFrame, uri: str, tokenizer: str, end_id: int =
         if out is not None:
             out.close()
             fs.move(tmp, f"{path}/shard-{shard:05d}.ids")
-            count = np.concatenate(counts)
-            _write_shard(fs, path, shard, np.concatenate(keys), np.concatenate(nulls), count, enc.width)
-            yield common.rows(made, [shard], [len(count)], [int(count.sum())])
+            count, key, null = np.concatenate(counts), np.concatenate(keys), np.concatenate(nulls)
+            _write_shard(fs, path, shard, key, null, count, enc.width)
+            keyed = key[~null]
+            yield common.rows(made, [shard], [len(count)], [int(count.sum())], [int(keyed[0]) if len(keyed) else None], [int(keyed[-1]) if len(keyed) else None])
 
-    lines = sorted((r.asDict() for r in ordered.mapInArrow(run, "shard long, docs long, ids long").collect()), key=lambda r: r["shard"])
+    lines = sorted((r.asDict() for r in ordered.mapInArrow(run, "shard long, docs long, ids long, first long, last long").collect()), key=lambda r: r["shard"])
     base = 0
     for r in lines:
         r["base"], base = base, base + r["ids"]
@@ -314,11 +319,20 @@ def write_token_shards(docs: DataFrame, uri: str, tokenizer: str, end_id: int =
     return lines
 
 
-def read_token_shards(spark: SparkSession, uri: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files by keyed access."""
+def manifest(uri: str) -> list[dict]:
     fs, path = _open(uri)
     with fs.open_input_file(f"{path}/manifest.json") as f:
-        lines = json.loads(f.read())
+        return json.loads(f.read())
+
+
+def read_token_shards(spark: SparkSession, uri: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files by keyed access.
+
+    Every key goes through the hash function, its fingerprint and the ordinal in its slot; a key that
+    is not found that way is an error.  Documents without a key, and further ones of a key, have no
+    slot and are read by their place.
+    """
+    lines = manifest(uri)
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
     todo = spark.createDataFrame([(r["shard"], r["base"]) for r in lines], "shard long, base long")
     made = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
@@ -327,15 +341,53 @@ def read_token_shards(spark: SparkSession, uri: str) -> DataFrame:
         for batch in batches:
             for shard, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 s = Shard(uri, shard)
-                found = s.find(s.keys)
-                own = np.arange(len(s.keys))
-                ordinal = np.where(s.null | (s.keys[found] != s.keys) | (found != own), own, found)
+                keyed = ~s.null
+                keyed[1:] &= (s.keys[1:] != s.keys[:-1]) | s.null[:-1]
+                ordinal = np.arange(len(s.keys))
+                ordinal[keyed] = s.find(s.keys[keyed])
+                if (ordinal < 0).any():
+                    raise ValueError(f"the index of shard {shard} doesn't find {int((ordinal < 0).sum())} of its keys")
                 crc = [zlib.crc32(s.read(o).astype("<u4").tobytes()) for o in ordinal.tolist()]
                 yield common.rows(made, pa.array(s.keys, mask=s.null), s.starts[ordinal] + base, s.starts[ordinal + 1] - s.starts[ordinal], crc)
 
     return todo.repartition(max(1, len(lines)), "shard").mapInArrow(run, schema)
 
 
+def lookup(keys: DataFrame, uri: str, key: str = "doc_id") -> DataFrame:
+    """(key, ids) of the keys that the shards have; others, and null, give no row.
+
+    Keys are sent to the shard whose range holds them, by a manifest of a line a shard, in slices of
+    a shard's keys; equal keys meet once.
+    """
+    lines = [r for r in manifest(uri) if r["first"] is not None]
+    spark = keys.sparkSession
+    if not lines:
+        return spark.createDataFrame([], f"`{key}` long, ids array<long>")
+    # of shards that begin with the same key the first has the keyed document
+    firsts = F.array(*[F.lit(r["first"]).cast("long") for r in lines])
+    at = F.size(F.filter(firsts, lambda x: x < F.col("k")))
+    wanted = keys.select(F.col(key).cast("long").alias("k")).where("k is not null").distinct().withColumn("at", at)
+    tries = wanted.select("k", F.explode(F.array("at", F.col("at") + 1)).alias("line")).where((F.col("line") >= 1) & (F.col("line") <= len(lines)))
+    shards = [r["shard"] for r in lines]
+    made = pa.schema([("k", pa.int64()), ("line", pa.int64()), ("ids", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, Shard] = {}
+        for batch in batches:
+            k, line = (batch.column(c).to_numpy() for c in (0, 1))
+            for one in np.unique(line).tolist():
+                if one not in held:
+                    held = {one: Shard(uri, shards[one - 1])}
+                mine = k[line == one]
+                found = held[one].find(mine)
+                ids = [held[one].read(o).astype(np.int64) for o in found[found >= 0].tolist()]
+                yield common.rows(made, mine[found >= 0], np.full(len(ids), one), pa.array(ids, pa.list_(pa.int64())))
+
+    slices = tries.repartition(common.partitions(spark), "line", F.pmod(F.xxhash64("k"), F.lit(8))).sortWithinPartitions("line")
+    found = slices.select("k", F.col("line").cast("long").alias("line")).mapInArrow(run, "k long, line long, ids array<long>")
+    return found.groupBy("k").agg(F.min_by("ids", "line").alias("ids")).withColumnRenamed("k", key)
+
+
 def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 

@@ -64,6 +64,47 @@ def test_token_shards_with_null_and_repeated_keys(spark):
     assert token_shards.write_token_shards(docs(spark, []), uri, public_tokenizers.path("word_bpe_49k.json")) == [] and token_shards.read_token_shards(spark, uri).count() == 0
 
 
+def test_token_shards_of_one_key_with_different_texts(spark):
+    """The order within a key doesn't hang on how the rows come in; copies of it may fill several shards."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["one", "one two", "one two three", None, "one", "", "four five"] * 3
+    keys = [9] * 12 + [None] * 5 + [3, 4, 10, 9]
+    tables = []
+    for order in (1, -1):
+        uri = common.shared_dir(spark, "test-shards")
+        token_shards.write_token_shards(docs(spark, texts[::order], keys[::order]), uri, path, n_shards=5)
+        tables.append([tuple(r) for r in token_shards.read_token_shards(spark, uri).orderBy("start").collect()])
+    assert tables[0] == tables[1] and len(tables[0]) == len(keys)
+    assert [r[0] for r in tables[0]] == sorted((k for k in keys if k is not None)) + [None] * 5
+    found = {r.doc_id: r.ids for r in token_shards.lookup(spark.createDataFrame([(k,) for k in (3, 4, 9, 10, 11, -5, 9, None)], "doc_id long"), uri).collect()}
+    assert set(found) == {3, 4, 9, 10} and all(found[k] == plain_ids(texts[keys.index(k)]) for k in (3, 4, 10))
+    assert zlib.crc32(np.array(found[9], "<u4").tobytes()) == next(r[3] for r in tables[1] if r[0] == 9)
+
+
+@pytest.mark.parametrize("part", ["prints", "ordinals", "hash"])
+def test_a_spoiled_index_is_an_error(spark, part):
+    """What comes out comes through the hash function, its fingerprints and its ordinals."""
+    import pathlib
+
+    uri = common.shared_dir(spark, "test-shards")
+    token_shards.write_token_shards(docs(spark, ["a", "b c", "d e f"], [5, 1, 3]), uri, public_tokenizers.path("word_bpe_49k.json"), n_shards=1)
+    assert token_shards.read_token_shards(spark, uri).count() == 3
+    s = token_shards.Shard(uri, 0)
+    file = pathlib.Path(uri.removeprefix("file://")) / "shard-00000.idx"
+    data = bytearray(file.read_bytes())
+    tail = len(s.prints) * 12
+    bits = sum((len(x) + 7) // 8 for x in s.hash.levels)
+    begin, end = {"prints": (tail, tail - 4 * len(s.prints)), "ordinals": (tail - 4 * len(s.prints), 0), "hash": (tail + bits, tail)}[part]
+    if part == "ordinals":
+        data[len(data) - begin :] = data[len(data) - 8 :] + data[len(data) - begin : len(data) - 8]  # turned by one
+    else:
+        for k in range(len(data) - begin, len(data) - end):
+            data[k] = 0 if part == "hash" else data[k] ^ 0xFF
+    file.write_bytes(bytes(data))
+    with pytest.raises(Exception, match="doesn't find|index"):
+        token_shards.read_token_shards(spark, uri).collect()
+
+
 def test_perfect_hash():
     keys = np.unique(np.random.default_rng(1).integers(-(2**62), 2**62, 5000))
     h = token_shards.PerfectHash.build(keys)
