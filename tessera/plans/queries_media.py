@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars as S
-from tessera.operators import asr, consistency, sinks, tracks
+from tessera.operators import asr, association, consistency, sinks, tracks
 from tessera.plans import fixtures
 from tessera.plans.registry import query, read
 from tessera.sources import catalog, containers, files, pdf
@@ -370,11 +370,11 @@ def media_headers(spark, sf):
 
 
 @query("""
-SELECT doc_id, CASE WHEN doc_id % 11 = 10 THEN NULL ELSE coalesce(length(text) % 400, 0) END::INTEGER AS pages, doc_id % 11 = 10 AS broken FROM documents
+SELECT doc_id, CASE WHEN doc_id % 11 = 10 THEN NULL ELSE coalesce(ceil(length(text) / 3000.0), 0) END::INTEGER AS pages, doc_id % 11 = 10 AS broken FROM documents
 """)
 def pdf_page_counts(spark, sf):
-    """SRC13: a PDF for each document, with cross references as tables or streams, updated, or cut off."""
-    d = read(spark, sf, "documents").select("doc_id", fixtures.paper("doc_id", F.coalesce(F.char_length("text") % 400, F.lit(0))).alias("content"))
+    """SRC13: a PDF for each document, a page for 3000 letters, with cross references as tables or streams, updated, or cut off."""
+    d = read(spark, sf, "documents").select("doc_id", fixtures.paper("doc_id", F.coalesce(F.ceil(F.char_length("text") / 3000), F.lit(0))).alias("content"))
     return pdf.page_counts(d, "content").select("doc_id", "pages", F.col("error").isNotNull().alias("broken"))
 
 
@@ -389,3 +389,19 @@ def pdf_page_rows(spark, sf):
     sinks.write_files(d.select(F.concat("p", F.lit(".pdf")).alias("name"), fixtures.paper(F.lit(0), F.col("n")).alias("content")), root)
     pages = pdf.read_pages(spark, root, dpi=96, pages_per_task=200).where(F.col("page").between(40, 1500))
     return pages.select(F.regexp_extract("doc_id", "([^/]+)$", 1).alias("name"), "page", "height_pt", "pixel_width")
+
+
+@query("""
+WITH d AS (SELECT conv_id::VARCHAR AS video, (turn * (1 + conv_id % 3))::INTEGER AS frame_index, CASE role WHEN 'user' THEN 0 WHEN 'assistant' THEN 1 ELSE 2 END AS cls FROM conversations),
+s AS (SELECT *, sum(started) OVER (PARTITION BY video, cls ORDER BY frame_index) AS part
+      FROM (SELECT *, CASE WHEN frame_index - lag(frame_index) OVER (PARTITION BY video, cls ORDER BY frame_index) > 4 THEN 1 ELSE 0 END AS started FROM d)),
+t AS (SELECT video, cls, part, row_number() OVER (PARTITION BY video ORDER BY min(frame_index), cls) - 1 AS track_id FROM s GROUP BY video, cls, part)
+SELECT video, frame_index, cls, track_id::INTEGER AS track_id FROM s JOIN t USING (video, cls, part)
+""")
+def associated_tracks(spark, sf):
+    """MDL7: a speaker is an object in its place, seen when it speaks; a track ends when more than three frames are missing."""
+    c = read(spark, sf, "conversations")
+    cls = F.when(F.col("role") == "user", 0).when(F.col("role") == "assistant", 1).otherwise(2)
+    box = F.array(*[(cls * 100 + x).cast("double") for x in (0, 0, 50, 50)])
+    d = c.select(F.col("conv_id").cast("string").alias("video"), (F.col("turn") * (1 + F.col("conv_id") % 3)).alias("frame_index"), cls.alias("cls"), box.alias("bbox_xyxy"), F.lit(1.0).alias("score"))
+    return association.associated(d, max_age=3).select("video", "frame_index", "cls", "track_id")
