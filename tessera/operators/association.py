@@ -94,11 +94,14 @@ class Tracks:
         gone = (frame - self.last)[:, None]
         shared = overlaps(self.box + self.speed * gone, box)
         allowed = (shared > min_overlap) & (self.cls[:, None] == cls[None, :])
-        alone = (1 - min_overlap) / 2
-        cost = np.full((t + d, t + d), alone)  # a track or a detection beside itself is left alone
-        cost[:t, :d] = np.where(allowed, 1 - shared, 4 * alone)
-        cost[t:, d:] = 0
-        to = assigned(cost)[:t]
+        if (allowed.sum(0) <= 1).all() and (allowed.sum(1) <= 1).all():
+            to = np.where(allowed.any(1), allowed.argmax(1) if d else 0, d)  # nobody contends; any match costs less than two alone
+        else:
+            alone = (1 - min_overlap) / 2
+            cost = np.full((t + d, t + d), alone)  # a track or a detection beside itself is left alone
+            cost[:t, :d] = np.where(allowed, 1 - shared, 4 * alone)
+            cost[t:, d:] = 0
+            to = assigned(cost)[:t]
         matched = np.flatnonzero((to < d) & allowed[np.arange(t), np.minimum(to, d - 1)]) if d else np.zeros(0, np.int64)
         numbers = np.full(d, -1, np.int64)
         if len(matched):
@@ -117,24 +120,31 @@ class Tracks:
         return numbers
 
 
-def _ordered(rows: pd.DataFrame) -> pd.DataFrame:
-    key = rows["bbox_xyxy"].map(lambda b: None if b is None else tuple(b))
-    return rows.assign(_k=key.map(str), _b=key).sort_values(["frame_index", "cls", "_k", "score"], kind="stable").drop(columns="_k")
+def _number(state: dict, rows: pd.DataFrame, max_age: int, min_overlap: float) -> pd.DataFrame:
+    """Rows of whole frames with their tracks, videos together and their frames in order.
 
-
-def _number(tracks: Tracks, rows: pd.DataFrame, max_age: int, min_overlap: float) -> pd.DataFrame:
-    """Rows of whole frames, in order, with their tracks."""
-    rows = _ordered(rows)
-    known = rows["_b"].map(lambda b: b is not None and len(b) == 4 and all(x is not None and np.isfinite(x) for x in b)).to_numpy(bool) & rows["cls"].notna().to_numpy()
-    frames = rows["frame_index"].to_numpy()
+    ``state`` holds the tracks of the video that came last; another one begins anew.
+    """
+    boxes = rows["bbox_xyxy"].tolist()
+    whole = [b is not None and len(b) == 4 and None not in list(b) for b in boxes]
+    box = np.array([b if ok else [np.nan] * 4 for b, ok in zip(boxes, whole, strict=True)], np.float64).reshape(-1, 4)
+    known = np.isfinite(box).all(1) & rows["cls"].notna().to_numpy()
+    cls = rows["cls"].fillna(-1).to_numpy(np.int64)
+    frames, score = rows["frame_index"].to_numpy(np.int64), rows["score"].fillna(-np.inf).to_numpy(np.float64)
+    video = pd.factorize(rows["video"], use_na_sentinel=False)[0]
+    order = np.lexsort((score, box[:, 3], box[:, 2], box[:, 1], box[:, 0], cls, frames, video))
     numbers = np.full(len(rows), -1, np.int64)
-    at = np.flatnonzero(known)
-    cuts = np.flatnonzero(np.diff(frames[at])) + 1
+    at = order[known[order]]
+    cuts = np.flatnonzero((np.diff(frames[at]) != 0) | (np.diff(video[at]) != 0)) + 1
+    names = rows["video"].tolist()
     for part in np.split(at, cuts) if len(at) else []:
-        box = np.array(rows["_b"].iloc[part].tolist(), np.float64)
-        numbers[part] = tracks.step(int(frames[part[0]]), rows["cls"].iloc[part].to_numpy(np.int64), box, max_age, min_overlap)
+        name = names[part[0]]
+        if ("of", name) not in state:
+            state.clear()
+            state["of", name] = Tracks()
+        numbers[part] = state["of", name].step(int(frames[part[0]]), cls[part], box[part], max_age, min_overlap)
     number = pd.Series(numbers, index=rows.index).astype("Int32").mask(numbers < 0)
-    return rows.drop(columns="_b").assign(track_id=number, cls=rows["cls"].astype("Int32"))
+    return rows.assign(track_id=number, cls=rows["cls"].astype("Int32"))
 
 
 def _columns(detections: DataFrame, video: str) -> DataFrame:
@@ -149,23 +159,20 @@ def associated(detections: DataFrame, video: str = "video", max_age: int = MAX_A
     names = ["video", *[c.split()[0] for c in OUT.split(", ")]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, tracks, held = object(), Tracks(), None
+        state, held = {}, None
         for b in batches:
+            b = b.assign(video=b["video"].astype(object).where(b["video"].notna(), None))
             b = b if held is None else pd.concat([held, b], ignore_index=True)
             if not len(b):
                 continue
             # the last frame may go on in the next batch
-            same = (b["video"].fillna("") == (b["video"].iloc[-1] or "")) & (b["video"].isna() == pd.isna(b["video"].iloc[-1])) & (b["frame_index"] == b["frame_index"].iloc[-1])
+            name = b["video"].iloc[-1]
+            same = (b["video"].isna() if name is None else b["video"] == name) & (b["frame_index"] == b["frame_index"].iloc[-1])
             held, b = b[same], b[~same]
-            for name, rows in b.groupby("video", sort=False, dropna=False):
-                name = None if pd.isna(name) else name
-                if name != current:
-                    current, tracks = name, Tracks()
-                yield _number(tracks, rows, max_age, min_overlap)[names]
+            if len(b):
+                yield _number(state, b, max_age, min_overlap)[names]
         if held is not None and len(held):
-            name = held["video"].iloc[0]
-            name = None if pd.isna(name) else name
-            yield _number(tracks if name == current else Tracks(), held, max_age, min_overlap)[names]
+            yield _number(state, held, max_age, min_overlap)[names]
 
     ordered = _columns(detections, video).where("frame_index is not null").repartition("video").sortWithinPartitions("video", "frame_index")
     return ordered.mapInPandas(run, f"video string, {OUT}").withColumnRenamed("video", video)
@@ -201,7 +208,7 @@ class TrackerState(StatefulProcessor):
         if parts:
             new = pd.concat(parts, ignore_index=True)
             late = new["frame_index"] <= frame  # its frame is over; the row is kept, without a track
-            done = _number(tracks, new[~late], self.max_age, self.min_overlap) if (~late).any() else None
+            done = _number({("of", new["video"].iloc[0]): tracks}, new[~late], self.max_age, self.min_overlap) if (~late).any() else None
             frame = max(frame, int(new["frame_index"].max()))
             out = [p for p in (done, new[late].assign(track_id=None) if late.any() else None) if p is not None]
             columns = ["video", *[c.split()[0] for c in OUT.split(", ")]]
