@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.answers import page_error, parse_answers
 from tessera.functions.scalars import html_escape, strip
-from tessera.operators import layout
+from tessera.operators import layout, scans
 
 
 def page_list(spec: Column, pages: Column) -> Column:
@@ -49,9 +49,15 @@ def parsed(answers: DataFrame, blank_page_ok: bool = False) -> DataFrame:
 
 
 def fail_fast(pages: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """Pages up to and with the first that failed (WIN9, ERR3)."""
-    first = F.min(F.when(F.col("status") != "ok", F.col("page"))).over(Window.partitionBy(doc))
-    return pages.withColumn("_first", first).where(F.col("_first").isNull() | (F.col("page") <= F.col("_first"))).drop("_first")
+    """Pages up to and with the first that failed (WIN9, ERR3).
+
+    The pages are written once; a document's first failure is a minimum that every task prepares, and
+    the join with it is one that Spark splits, so no task holds a document.
+    """
+    pages = scans.kept(pages, "pages")
+    first = pages.where(F.col("status") != "ok").groupBy(doc).agg(F.min("page").alias("_first")).withColumnRenamed(doc, "_doc")
+    both = pages.join(first, F.col(doc).eqNullSafe(F.col("_doc")), "left")
+    return both.where(F.col("_first").isNull() | (F.col("page") <= F.col("_first"))).drop("_first", "_doc")
 
 
 def merged(pages: DataFrame, doc: str = "doc_id") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars as S
-from tessera.operators import asr, association, consistency, sinks, tracks
+from tessera.operators import asr, association, consistency, scans, sinks, tracks
 from tessera.plans import fixtures
 from tessera.plans.registry import query, read
 from tessera.sources import catalog, containers, files, pdf
@@ -405,3 +405,27 @@ def associated_tracks(spark, sf):
     box = F.array(*[(cls * 100 + x).cast("double") for x in (0, 0, 50, 50)])
     d = c.select(F.col("conv_id").cast("string").alias("video"), (F.col("turn") * (1 + F.col("conv_id") % 3)).alias("frame_index"), cls.alias("cls"), box.alias("bbox_xyxy"), F.lit(1.0).alias("score"))
     return association.associated(d, max_age=3).select("video", "frame_index", "cls", "track_id")
+
+
+@query("""
+WITH l AS (SELECT source, doc_id, n_chars, CASE WHEN doc_id - lag(doc_id) OVER (PARTITION BY source ORDER BY doc_id) > 3 THEN 1 ELSE 0 END AS started FROM documents)
+SELECT source, doc_id, row_number() OVER w AS number, CAST(sum(started) OVER w AS BIGINT) AS segment_id, CAST(sum(n_chars) OVER w AS BIGINT) AS chars FROM l WINDOW w AS (PARTITION BY source ORDER BY doc_id)
+""")
+def long_tracks(spark, sf):
+    """WIN1, WIN3 without a task that holds a key: each source's documents numbered, in segments, with running sums."""
+    d = read(spark, sf, "documents").select("source", "doc_id", "n_chars")
+    rows = scans.scanned(scans.placed(d, ["source"], ["doc_id"]), ["source"], ["doc_id"], lags={"before": "doc_id"})
+    started = F.when(F.col("doc_id") - F.col("before") > 3, 1).otherwise(0)
+    out = scans.scanned(rows, ["source"], ["doc_id"], number="number", sums={"segment_id": started, "chars": F.col("n_chars")})
+    return out.select("source", "doc_id", "number", "segment_id", "chars")
+
+
+@query("""
+WITH s AS (SELECT lang AS video, doc_id AS frame_index, n_chars AS x, lead(doc_id) OVER w AS nxt, lead(n_chars) OVER w AS y FROM documents WHERE lang IS NOT NULL WINDOW w AS (PARTITION BY lang ORDER BY doc_id)),
+f AS (SELECT *, unnest(generate_series(frame_index, CASE WHEN nxt - frame_index <= 6 THEN nxt - 1 ELSE frame_index END)) AS f FROM s)
+SELECT video, f AS frame_index, f = frame_index AS detected, round(CASE WHEN f = frame_index THEN x::DOUBLE ELSE x + (y - x)::DOUBLE / (nxt - frame_index) * (f - frame_index) END, 6) AS x FROM f
+""")
+def long_track_interpolation(spark, sf):
+    """WIN4, JOIN7 without a task that holds a track: between documents of a language up to five numbers apart the length runs straight."""
+    d = read(spark, sf, "documents").where("lang is not null").select(F.col("lang").alias("video"), F.col("doc_id").alias("frame_index"), F.col("n_chars").alias("x"))
+    return scans.interpolated(d, ["video"], ["x"], max_gap=5).select("video", "frame_index", "detected", F.round("x", 6).alias("x"))
