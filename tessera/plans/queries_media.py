@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars as S
-from tessera.operators import asr, association, consistency, scans, sinks, tracks
+from tessera.operators import asr, association, consistency, drawing, scans, sinks, tracks
 from tessera.plans import fixtures
 from tessera.plans.registry import query, read
 from tessera.sources import catalog, containers, files, pdf
@@ -429,3 +429,19 @@ def long_track_interpolation(spark, sf):
     """WIN4, JOIN7 without a task that holds a track: between documents of a language up to five numbers apart the length runs straight."""
     d = read(spark, sf, "documents").where("lang is not null").select(F.col("lang").alias("video"), F.col("doc_id").alias("frame_index"), F.col("n_chars").alias("x"))
     return scans.interpolated(d, ["video"], ["x"], max_gap=5).select("video", "frame_index", "detected", F.round("x", 6).alias("x"))
+
+
+@query("""
+WITH b AS (SELECT conv_id, turn, 50 + length(text) % 100 AS w, role <> 'system' AS boxed FROM conversations)
+SELECT conv_id, 200::BIGINT AS width, (40 * (max(turn) + 1))::BIGINT AS height, sum(CASE WHEN boxed THEN w * 20 - (w - 6) * 14 ELSE 0 END)::BIGINT AS blue FROM b GROUP BY conv_id
+""")
+def layout_overlay_images(spark, sf):
+    """SNK6: the blocks of each conversation drawn and encoded; sides from the file's header, ink from its pixels."""
+    c = read(spark, sf, "conversations")
+    w, top = 50 + F.char_length("text") % 100, F.col("turn") * 40 + 18
+    box = F.when(F.col("role") != "system", F.array(*[x.cast("double") for x in (F.lit(10), top, 9 + w, top + 19)]))
+    blocks = F.array_sort(F.collect_list(F.struct(F.col("turn").alias("index"), F.col("role").alias("category"), box.alias("bbox"))))
+    pages = c.groupBy("conv_id").agg(F.lit(200).alias("width"), (40 * (F.max("turn") + 1)).cast("int").alias("height"), blocks.alias("blocks"))
+    images = drawing.layout_overlays(pages, ["conv_id"])
+    size = S.png_size(F.col("content"))
+    return images.select("conv_id", size["width"].alias("width"), size["height"].alias("height"), drawing.pixels_of("content", drawing.BOX_COLOR).alias("blue"))
