@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions import scalars as S
 from tessera.functions.answers import items
 from tessera.functions.registered import register
 from tessera.operators import asr, models, pages, sinks
@@ -123,3 +124,32 @@ def zipped_pages(spark, sf):
     return rows.select("conv_id", "turn", "role", F.round(F.try_element_at("sizes", F.col("turn")) * 100.0, 2).alias("x"))
 
 
+
+
+@query("""
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn)::INTEGER AS index, role AS category, length(text)::INTEGER AS chars FROM conversations
+""")
+def answer_blocks_sql(spark, sf):
+    """UDF1: answers to block rows by a table function in SQL; each conversation is an answer that ends in its last turn's text."""
+    register(spark)
+    read(spark, sf, "conversations").createOrReplaceTempView("tessera_turns")
+    return spark.sql("""
+        WITH a AS (SELECT conv_id, concat('The blocks: ', to_json(array_sort(collect_list(struct(turn, role AS category, text)))), ' and so on') AS answer FROM tessera_turns GROUP BY conv_id)
+        SELECT a.conv_id, b.index, b.category, length(b.text) AS chars FROM a, LATERAL answer_blocks(a.answer, 'index, category, text') b
+    """)
+
+
+@query("""
+WITH p AS (SELECT i.vec_id AS image_id, t.vec_id AS pos, list_cosine_similarity(i.embedding::double[], t.embedding::double[]) AS c
+           FROM embeddings i JOIN embeddings t ON i.vec_id // 4 = t.vec_id // 4 AND i.vec_id % 4 = 0 AND t.vec_id % 4 <> 0),
+x AS (SELECT *, exp(100.0 * (c - max(c) OVER (PARTITION BY image_id))) AS e FROM p), s AS (SELECT image_id, pos, round(e / sum(e) OVER (PARTITION BY image_id), 6) AS score FROM x)
+SELECT image_id, arg_min(pos, (-score, pos)) AS pos, max(score) AS score FROM s GROUP BY image_id
+""")
+def softmax_best_sql(spark, sf):
+    """UDF1, AGG8, AGG10: the best text of each image by grouped aggregates in SQL."""
+    register(spark)
+    e = read(spark, sf, "embeddings").withColumn("request", F.floor(F.col("vec_id") / 4))
+    images = e.where("vec_id % 4 = 0").select("request", F.col("vec_id").alias("image_id"), F.col("embedding").alias("i"))
+    texts = e.where("vec_id % 4 <> 0").select("request", F.col("vec_id").alias("pos"), F.col("embedding").alias("t"))
+    images.join(texts, "request").select("image_id", "pos", S.cosine(F.col("i"), F.col("t")).alias("c")).createOrReplaceTempView("tessera_pairs")
+    return spark.sql("SELECT image_id, softmax_best(c, pos) AS pos, softmax_score(c) AS score FROM tessera_pairs GROUP BY image_id")
