@@ -18,6 +18,7 @@ of nothing.  Languages that tie are decided for the first by name.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,10 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import common, kernels
-from tessera.llm.lattice import Vocabulary, prefixed, rectangles
+from tessera.llm.lattice import Vocabulary, edges, prefixed, rectangles
 
-#: Bound of the training sample: texts of each language, those with the least hashed ids.
-SAMPLE_DOCS = 200
+#: Bounds of the training sample: texts of each language, those with the least hashed ids, and their characters altogether.
+SAMPLE_DOCS, SAMPLE_CHARS = 200, 1 << 22
 ROUNDS = 3
 #: Pseudo-count of each piece in each language.
 SMOOTHING = 0.02
@@ -67,22 +68,23 @@ def forward(v: Vocabulary, lifted: np.ndarray, raw: np.ndarray, start: np.ndarra
         alpha = np.zeros((size + 1, len(part), groups))
         alpha[0] = 1
         scale = np.zeros(len(part))
-        match = v.matches(prefix, raw, start[part], size)
+        lattice = deque(edges(v.matches(prefix, raw, start[part], size)))
+        ending = np.argsort(length[part], kind="stable")
+        ends = np.searchsorted(length[part][ending], np.arange(size + 2))
         for j in range(1, size + 1):
-            total = alpha[j]
-            for n in range(1, min(j, v.longest) + 1):
-                piece = match[n - 1][:, j - n]
-                some = np.flatnonzero(piece >= 0)
-                if len(some):
-                    total[some] += alpha[j - n, some] * lifted[piece[some]]
+            while lattice and lattice[0][0] == j:
+                _, n, some, piece = lattice.popleft()
+                alpha[j, some] += alpha[j - n, some] * lifted[piece]
             if j % 16 == 0:  # what is still needed is scaled alike in all languages
                 low = max(0, j - v.longest)
                 top = alpha[low : j + 1].max(axis=(0, 2))
                 top[top == 0] = 1
                 alpha[low : j + 1] /= top[:, None]
                 scale += np.log(top)
-        with np.errstate(divide="ignore"):
-            out[part] = np.maximum(np.log(alpha[size]), -700.0) + scale[:, None] - size * np.log(LIFT)
+            if ends[j] < ends[j + 1]:  # words that end here
+                own = ending[ends[j] : ends[j + 1]]
+                with np.errstate(divide="ignore"):
+                    out[part[own]] = np.maximum(np.log(alpha[j, own]), -700.0) + scale[own, None] - j * np.log(LIFT)
     return out
 
 
@@ -128,23 +130,18 @@ def fit(texts: list[str], labels: list[str], path: str, rounds: int = ROUNDS, sm
         lifted = _lifted(v, p)
         expected = np.zeros_like(p)
         for size, part in rectangles(begin, length):
-            match = v.matches(prefix, buf, begin[part], size)
+            lattice = list(edges(v.matches(prefix, buf, begin[part], size)))
             alpha, beta = np.zeros((size + 1, len(part), groups)), np.zeros((size + 1, len(part), groups))
-            alpha[0] = beta[size] = 1
-            edges = []
-            for j in range(1, size + 1):
-                for n in range(1, min(j, v.longest) + 1):
-                    piece = match[n - 1][:, j - n]
-                    some = np.flatnonzero(piece >= 0)
-                    if len(some):
-                        edges.append((j - n, j, some, piece[some]))
-                        alpha[j, some] += alpha[j - n, some] * lifted[piece[some]]
-            for i, j, some, piece in reversed(edges):
-                beta[i, some] += beta[j, some] * lifted[piece]
-            whole = alpha[size]
+            own = np.arange(len(part))
+            alpha[0] = beta[length[part], own] = 1
+            for j, n, some, piece in lattice:
+                alpha[j, some] += alpha[j - n, some] * lifted[piece]
+            for j, n, some, piece in reversed(lattice):
+                beta[j - n, some] += beta[j, some] * lifted[piece]
+            whole = alpha[length[part], own]
             weight = np.divide(count[part], whole, out=np.zeros_like(whole), where=whole > 0)
-            for i, j, some, piece in edges:
-                np.add.at(expected, piece, alpha[i, some] * lifted[piece] * beta[j, some] * weight[some])
+            for j, n, some, piece in lattice:
+                np.add.at(expected, piece, alpha[j - n, some] * lifted[piece] * beta[j, some] * weight[some])
         p = (expected + smoothing) * usable[:, None]
         p /= p.sum(axis=0)
     return LanguageModel(languages, p, path)
@@ -198,9 +195,11 @@ def has_letter(off: np.ndarray, raw: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, path: str, sample_docs: int = SAMPLE_DOCS, may_learn=None) -> LanguageModel:
-    """Fit on at most ``sample_docs`` labelled texts of each language.
+    """Fit on at most ``sample_docs`` labelled texts of each language, of ``SAMPLE_CHARS`` altogether.
 
-    The ids are chosen first, without their texts; the bounded list of ids then picks the texts.
+    The ids are chosen first, without their texts; the bounded list of ids then picks the texts, one
+    for each id: of rows that share it, the one whose text has the least hash.  Texts that would take
+    a language's sample over its characters are passed over, so a language with longer texts only isn't learned.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     if may_learn is not None:
@@ -209,9 +208,19 @@ def train(docs: DataFrame, path: str, sample_docs: int = SAMPLE_DOCS, may_learn=
     # hashed ids are even in [0, 1), so a threshold by language passes about twice the sample
     h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     least = F.coalesce(*[F.when(F.col("lang") == k, F.lit(2.0 * sample_docs / n + 1e-3 * (n < 1000))) for k, n in sorted(counts.items())]) if counts else F.lit(0.0)
-    some = rows.where(h < least).select("lang", "doc_id", h.alias("h")).distinct().collect()
-    ids = sorted({r[1] for lang in counts for r in sorted((x for x in some if x[0] == lang), key=lambda x: (x[2], x[1]))[:sample_docs]})
-    picked = rows.where(F.col("doc_id").isin(ids)).select("doc_id", "lang", "text").collect() if ids else []
+    mark = F.xxhash64("text")
+    some = rows.where(h < least).groupBy("lang", "doc_id").agg(h.alias("h"), F.min_by(F.char_length("text"), mark).alias("n"), F.min(mark).alias("t")).collect()
+    chosen: dict[tuple, int] = {}
+    for lang in counts:
+        left, held = SAMPLE_CHARS, 0
+        for r in sorted((x for x in some if x.lang == lang), key=lambda x: (x.h, x.doc_id)):
+            if held < sample_docs and r.n <= left:
+                left, held = left - r.n, held + 1
+                chosen[lang, r.doc_id] = r.t
+    ids = sorted({k for _, k in chosen})
+    texts = rows.where(F.col("doc_id").isin(ids)).select("doc_id", "lang", "text", mark.alias("t")) if ids else None
+    marks = docs.sparkSession.createDataFrame([(*k, t) for k, t in sorted(chosen.items())], f"lang string, doc_id {docs.schema['doc_id'].dataType.simpleString()}, t long") if ids else None
+    picked = texts.join(F.broadcast(marks), ["lang", "doc_id", "t"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect() if ids else []  # a row for each id of the sample
     picked.sort(key=lambda r: (r[1], r[0], r[2]))
     return fit([r[2] for r in picked], [r[1] for r in picked], path)
 

@@ -1,8 +1,9 @@
 """The lattice of vocabulary pieces over distinct words: lookups for operators 4 and 5.
 
 A word is a run of bytes in which pieces are looked up by the hash of every span of at most the
-longest piece.  Words of one length make one rectangle, so a dynamic programme over a lattice is
-a few array operations for all of them together.
+longest piece.  Words of like length make one rectangle, all aligned at their starts, so a dynamic
+programme over a lattice is a few array operations for all of them together.  What stands behind a
+shorter word's end is looked up as well; no path that ends at the word's own end meets it.
 """
 
 from __future__ import annotations
@@ -87,10 +88,10 @@ class Vocabulary:
         return out
 
     def matches(self, prefix: np.ndarray, raw: np.ndarray, start: np.ndarray, size: int) -> list[np.ndarray]:
-        """For words of that size: by length n from 1, pieces (words x places) of n bytes, -1 for none."""
-        out = []
+        """For words of up to that size: by length n from 1, pieces (words x places) of n bytes, -1 for none."""
+        out, last = [], len(prefix) - 1
         for n in range(1, min(size, self.longest) + 1):
-            at = start[:, None] + np.arange(size - n + 1)
+            at = np.minimum(start[:, None] + np.arange(size - n + 1), last - n)
             ids = self.find(self.roll.spans(prefix, at, at + n))
             if n == 1:
                 ids = np.where(ids < 0, self.byte_ids[raw[at]], ids)
@@ -98,12 +99,31 @@ class Vocabulary:
         return out
 
 
+def edges(match: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(end, bytes, words, their pieces) of all places where some word has a piece, by end and then length."""
+    at = [np.flatnonzero((ids >= 0).any(axis=0)) for ids in match]
+    size = np.repeat(np.arange(1, len(match) + 1), [len(x) for x in at])
+    end = np.concatenate(at) + size if at else size
+    order = np.lexsort((size, end))
+    for j, n in zip(end[order].tolist(), size[order].tolist(), strict=True):
+        column = match[n - 1][:, j - n]
+        some = np.flatnonzero(column >= 0)
+        yield j, n, some, column[some]
+
+
+#: Words up to that many bytes share a rectangle with their equals only; longer ones with those up to a fifth longer.
+SHORT, GROWTH = 32, 1.2
+
+
 def rectangles(start: np.ndarray, length: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(length, words of that length) for words given by their start and length."""
-    order = np.argsort(length, kind="stable")
-    for part in np.split(order, np.flatnonzero(np.diff(length[order])) + 1):
+    """(greatest length, words) of groups of words of like length, given by their start and length."""
+    grade = np.where(length <= SHORT, length, SHORT + np.ceil(np.log(np.maximum(length, 1) / SHORT) / np.log(GROWTH))).astype(np.int64)
+    order = np.argsort(grade, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(grade[order])) + 1):
         for at in range(0, len(part), 16_384):
-            yield int(length[part[0]]), part[at : at + 16_384]
+            some = part[at : at + 16_384]
+            if len(some):
+                yield int(length[some].max()), some
 
 
 def prefixed(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import common, kernels
-from tessera.llm.lattice import SPACE, Vocabulary, rectangles
+from tessera.llm.lattice import SPACE, Vocabulary, edges, rectangles
 
 N_BEST = 3
 REMEMBERED = 800_000
@@ -66,22 +66,16 @@ class Segmenter:
             fwd = np.full((size + 1, k), NONE)
             fwd[0] = 0
             took = np.zeros((size + 1, k), np.int16)
-            edges = []
-            for j in range(1, size + 1):
-                for n in range(1, min(j, self.v.longest) + 1):
-                    piece = match[n - 1][:, j - n]
-                    some = np.flatnonzero(piece >= 0)
-                    if not len(some):
-                        continue
-                    got = fwd[j - n, some] + self.v.score[piece[some]]
-                    edges.append((j, n, some, piece[some]))
-                    up = got >= fwd[j, some]  # of equals the longest
-                    fwd[j, some[up]] = got[up]
-                    took[j, some[up]] = n
+            own, lattice = length[part], list(edges(match))
+            for j, n, some, piece in lattice:
+                got = fwd[j - n, some] + self.v.score[piece]
+                up = got >= fwd[j, some]  # of equals the longest
+                fwd[j, some[up]] = got[up]
+                took[j, some[up]] = n
             bwd = np.full((size + 1, k), NONE)
-            bwd[size] = 0
+            bwd[own, np.arange(k)] = 0
             on = np.zeros((size + 1, k), bool)  # ends of the pieces of the best path
-            at, ids, live = np.full(k, size), [], np.arange(k)
+            at, ids, live = own.copy(), [], np.arange(k)
             while len(live):
                 n = took[at[live], live]
                 on[at[live], live] = True
@@ -89,15 +83,15 @@ class Segmenter:
                 at[live] -= n
                 live = live[at[live] > 0]
             second = np.full(k, NONE)
-            for j, n, some, piece in reversed(edges):
+            for j, n, some, piece in reversed(lattice):
                 s = self.v.score[piece]
                 bwd[j - n, some] = np.maximum(bwd[j - n, some], s + bwd[j, some])
                 through = fwd[j - n, some] + s + bwd[j, some]
                 other = ~(on[j, some] & (took[j, some] == n))
                 w = some[other]
                 second[w] = np.maximum(second[w], through[other])
-            best[part] = fwd[size]
-            cost[part] = np.where(second > NONE / 2, fwd[size] - second, np.inf)
+            best[part] = fwd[own, np.arange(k)]
+            cost[part] = np.where(second > NONE / 2, best[part] - second, np.inf)
             count[part] = 0
             for live, n, end in ids:
                 count[part[live]] += 1
@@ -144,8 +138,8 @@ class Segmenter:
                     path = path[1]
                 out.append((behind, ids))
                 continue
-            for k, piece, s in into[at]:
-                serial += 1
+            for k, piece, s in reversed(into[at]):  # of equals the one pushed last, with the longest piece, is gone on with
+                serial -= 1
                 heapq.heappush(heap, (-(fwd[k] + s + behind), serial, k, s + behind, (piece, path)))
         if len(self.solved) > 200_000:
             self.solved.clear()

@@ -373,3 +373,49 @@ def test_language_id_learns_scripts_without_spaces(spark):
     raw = np.frombuffer(("é" * 300 + "x" * 10).encode(), np.uint8)
     a, b, of = language_id.in_parts(raw, np.array([0, 600]), np.array([600, 610]), 181)
     assert a.tolist() == [0, 180, 360, 540, 600] and b.tolist() == [180, 360, 540, 600, 610] and of.tolist() == [0, 0, 0, 0, 1]
+
+
+def test_text_without_spaces(spark):
+    """Segments of many lengths share few rectangles, and come out as those of a whole lattice."""
+    from tessera.llm import lattice
+
+    rng = random.Random(31)
+    letters = [chr(0x4E00 + k) for k in range(400)] + list("abcdefghij")
+    texts = ["\n".join("".join(rng.choice(letters) for _ in range(rng.randint(5, 130))) for _ in range(40)) for _ in range(4)] + ["".join(rng.choice("ab") for _ in range(900))]
+    s = sentencepiece_nbest.Segmenter(public_tokenizers.path("piece_bpe_32k.model"))
+    got = s.encode(*kernels.buffers(pa.array(texts)), 3)
+    for k, t in enumerate(texts):
+        assert got[2][k] == pytest.approx(plain_nbest(s, t, 3), rel=1e-9)
+    length = np.arange(1, 400)
+    parts = list(lattice.rectangles(np.zeros(399, np.int64), length))
+    assert len(parts) <= 32 + 15 and sorted(np.concatenate([p for _, p in parts]).tolist()) == list(range(399))
+    assert all(size == length[p].max() and size <= max(32, 1.2 * length[p].min() + 1) for size, p in parts)
+
+
+def test_many_equal_segmentations_are_not_all_looked_at():
+    """Ties of a long word without spaces: a best path is gone down to its end before others are begun."""
+    import heapq as h
+
+    s = sentencepiece_nbest.Segmenter(public_tokenizers.path("piece_bpe_32k.model"))
+    rng, pushed = random.Random(1), []
+    word = "".join(rng.choice("abcdefghij") for _ in range(5000)).encode()
+    push = h.heappush
+    try:
+        sentencepiece_nbest.heapq.heappush = lambda heap, x: pushed.append(1) or push(heap, x)
+        found = s.nbest(word, 3)
+    finally:
+        sentencepiece_nbest.heapq.heappush = push
+    assert len(pushed) < 30 * len(word) and len(found) == 3 and found[0][0] >= found[1][0] >= found[2][0]
+
+
+def test_language_model_learns_from_one_row_an_id(spark, monkeypatch):
+    """Copies of an id and very long texts don't make the sample larger than its bounds."""
+    monkeypatch.setattr(language_id, "SAMPLE_CHARS", 5000)
+    seen = []
+    fit = language_id.fit
+    monkeypatch.setattr(language_id, "fit", lambda texts, labels, path: seen.append((texts, labels)) or fit(texts, labels, path))
+    rows = [(1, "eine kleine frage", "de")] * 300 + [(1, "noch eine andere frage", "de"), (2, "wort " * 4000, "de"), (3, "the word", "en"), (4, None, "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = language_id.train(df, public_tokenizers.path("piece_bpe_32k.model"))
+    texts, labels = seen[0]
+    assert sorted(labels) == ["de", "en"] and model.languages == ["de", "en"] and sum(map(len, texts)) <= 10_000
