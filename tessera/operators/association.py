@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tessera.operators import scans
+
 MIN_OVERLAP, MAX_AGE = 0.1, 30
 #: Weight of the newest step in a track's speed.
 NEWEST = 0.5
@@ -174,7 +176,7 @@ def associated(detections: DataFrame, video: str = "video", max_age: int = MAX_A
         if held is not None and len(held):
             yield _number(state, held, max_age, min_overlap)[names]
 
-    ordered = _columns(detections, video).where("frame_index is not null").repartition("video").sortWithinPartitions("video", "frame_index")
+    ordered = _columns(detections, video).where("frame_index is not null").repartition(scans.ranges(detections.sparkSession), "video").sortWithinPartitions("video", "frame_index")
     return ordered.mapInPandas(run, f"video string, {OUT}").withColumnRenamed("video", video)
 
 

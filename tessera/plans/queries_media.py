@@ -9,7 +9,7 @@ from tessera.functions import scalars as S
 from tessera.operators import asr, association, consistency, drawing, scans, sinks, tracks
 from tessera.plans import fixtures
 from tessera.plans.registry import query, read
-from tessera.sources import catalog, containers, files, pdf
+from tessera.sources import catalog, containers, files, pdf, snapshot
 
 # ---- image-text consistency
 
@@ -445,3 +445,25 @@ def layout_overlay_images(spark, sf):
     images = drawing.layout_overlays(pages, ["conv_id"])
     size = S.png_size(F.col("content"))
     return images.select("conv_id", size["width"].alias("width"), size["height"].alias("height"), drawing.pixels_of("content", drawing.BOX_COLOR).alias("blue"))
+
+
+@query("""
+WITH f AS (SELECT coalesce(source, '-') AS source, coalesce(lang, '-') AS lang, sum(n_chars) // 100 AS size FROM documents GROUP BY ALL)
+SELECT md5(source) || '/' || lang || '.bin' AS name, size::BIGINT AS bytes, CASE WHEN size % 32 = 0 THEN NULL ELSE size % 32 END::BIGINT AS last FROM f
+""")
+def dataset_snapshot(spark, sf):
+    """SRC10, SRC12: a file for each source and language, fetched in parts by eight workers in two runs, the second for what the first left."""
+    d = read(spark, sf, "documents").groupBy(F.coalesce("source", F.lit("-")).alias("s"), F.coalesce("lang", F.lit("-")).alias("l")).agg(F.floor(F.sum("n_chars") / 100).alias("size"))
+    listed = scans.kept(d.select(F.concat(F.md5("s"), F.lit("/"), "l", F.lit(".bin")).alias("path"), "size"), "listing")
+    root = sinks.workspace(spark)
+    block = bytes(range(1, 33))
+
+    def fetch(path: str, revision: str, offset: int, length: int) -> bytes:
+        return (block * (length // 32 + 2))[offset % 32 : offset % 32 + length]
+
+    snapshot.download(listed.where(F.col("path").endswith("en.bin")), root, "first", fetch, part_bytes=1 << 16)
+    snapshot.download(listed, root, "first", fetch, part_bytes=1 << 16)
+    found = files.listing(spark, root, content=True).where("length > 0")
+    name = F.regexp_extract("path", "([^/]+/[^/]+)$", 1)
+    last = F.conv(F.hex(F.substring("content", -1, 1)), 16, 10).cast("long")
+    return found.select(name.alias("name"), F.col("length").alias("bytes"), F.when(last < 32, last).alias("last"))
