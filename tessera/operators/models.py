@@ -10,15 +10,18 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from typing import Any, Protocol
 
 import pandas as pd
+from pyspark.resource import ExecutorResourceRequests, ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.schemas import SEGMENT
+from tessera.sources import tools
 
 PROMPT_MODES = ("layout_all", "ocr", "layout_only")
 DEVICES = ("auto", "cpu", "mps", "cuda")
@@ -30,11 +33,19 @@ class Handle(Protocol):
 
 @dataclass(frozen=True)
 class ModelSpec:
-    """A model by name and how to load it (MDL3, MDL4)."""
+    """A model by name and how to load it (MDL3, MDL4).
+
+    ``config`` names a stored configuration, which is fixed up and given to the factory as well (MDL9);
+    ``cache`` is the folder that the worker's environment names before the factory runs (MDL12);
+    ``accelerators`` is what a task of the model's stage asks for (MDL10).
+    """
 
     name: str
-    factory: Callable[[str], Any]
+    factory: Callable[..., Any]
     options: dict[str, Any] = field(default_factory=dict)
+    config: str | None = None
+    cache: str | None = None
+    accelerators: float = 0.0
 
 
 _HANDLES: dict[str, Any] = {}
@@ -42,10 +53,24 @@ _HANDLES: dict[str, Any] = {}
 
 def handle(spec: ModelSpec) -> Any:
     if spec.name not in _HANDLES:
-        _HANDLES[spec.name] = spec.factory(spec.name)
+        if spec.cache is not None:
+            tools.cache_environment(spec.cache)
+        given = (spec.name,) if spec.config is None else (spec.name, tools.stored_config(spec.config))
+        _HANDLES[spec.name] = spec.factory(*given)
     return _HANDLES[spec.name]
 
 
+def profile(spec: ModelSpec, resource: str = "gpu") -> ResourceProfile | None:
+    """What the stage of a model's calls asks of executors and tasks; None where it needs no accelerator.
+
+    Only that stage runs on such executors; the cluster manager must be one that knows stage profiles.
+    """
+    if not spec.accelerators:
+        return None
+    executors = ExecutorResourceRequests().resource(resource, max(1, math.ceil(spec.accelerators)))
+    return ResourceProfileBuilder().require(executors).require(TaskResourceRequests().resource(resource, spec.accelerators)).build
+
+
 def release(spec: ModelSpec) -> None:
     """Let a handle drop what it caches between items; never fatal (MDL11)."""
     clear = getattr(_HANDLES.get(spec.name), "clear_cache", None)
@@ -95,7 +120,7 @@ def answered(pages: DataFrame, spec: ModelSpec, item: str = "image", mode: str =
                 release(spec)
             yield b.assign(answer=[g[0] for g in got], error=[g[1] for g in got])
 
-    return pages.mapInPandas(run, schema)
+    return pages.mapInPandas(run, schema, profile=profile(spec))
 
 
 def answered_until_failure(pages: DataFrame, spec: ModelSpec, ok: Callable[[str], bool], doc: str = "doc_id", item: str = "image", mode: str = "layout_all", max_tokens: int = 8192) -> DataFrame:
@@ -119,7 +144,7 @@ def answered_until_failure(pages: DataFrame, spec: ModelSpec, ok: Callable[[str]
                 stopped = error is not None or not ok(answer)
             yield pd.DataFrame(rows, columns=[*names, "answer", "error"])
 
-    return pages.repartition(doc).sortWithinPartitions(doc, "page").mapInPandas(run, schema)
+    return pages.repartition(doc).sortWithinPartitions(doc, "page").mapInPandas(run, schema, profile=profile(spec))
 
 
 def transcriber(spec: ModelSpec, language: str | None = None, word_timestamps: bool = False) -> Callable[[DataFrame], DataFrame]:
@@ -134,7 +159,7 @@ def transcriber(spec: ModelSpec, language: str | None = None, word_timestamps: b
                 model = handle(spec)
                 yield b.assign(raw=[json.dumps(model.generate(x, language=language, word_timestamps=word_timestamps)) for x in b["source"]])
 
-        out = media.select(*names).mapInPandas(run, schema)
+        out = media.select(*names).mapInPandas(run, schema, profile=profile(spec))
         parsed = F.from_json("raw", f"text string, language string, segments array<{SEGMENT}>")
         return out.withColumn("_p", parsed).select(*names, "_p.text", "_p.language", "_p.segments")
 
@@ -153,7 +178,7 @@ def embedded(rows: DataFrame, spec: ModelSpec, item: str, batch_size: int = 8, o
                 got += [pooled(x) for x in model.generate(list(b[item].iloc[at : at + batch_size]))]
             yield b.assign(**{out: got})
 
-    return rows.mapInPandas(run, schema)
+    return rows.mapInPandas(run, schema, profile=profile(spec))
 
 
 def pooled(output: Any) -> list[float]:
@@ -182,7 +207,7 @@ def tracked(frames: DataFrame, spec: ModelSpec, video: str = "video") -> DataFra
             yield pd.DataFrame(rows, columns=columns)
 
     ordered = frames.repartition(video).sortWithinPartitions(video, "frame_index")
-    return ordered.mapInPandas(run, "video string, frame_index int, cls int, bbox_xyxy array<float>, score float, track_id int")
+    return ordered.mapInPandas(run, "video string, frame_index int, cls int, bbox_xyxy array<float>, score float, track_id int", profile=profile(spec))
 
 
 def posed(chunks: DataFrame, spec: ModelSpec, keys: list[str], batch: int = 4) -> DataFrame:
@@ -197,7 +222,7 @@ def posed(chunks: DataFrame, spec: ModelSpec, keys: list[str], batch: int = 4) -
                 got += model.generate(b.iloc[at : at + batch].to_dict("records"))
             yield b[names].assign(outputs=got)
 
-    return chunks.mapInPandas(run, schema)
+    return chunks.mapInPandas(run, schema, profile=profile(spec))
 
 
 class FakePageModel:
@@ -252,3 +277,15 @@ class FakePose:
             mid = [((b[0] + b[2]) / 2, (b[1] + b[3]) / 2) for b in c["boxes"]]
             out.append([{"keypoints_2d": [[x, y]] * 21, "keypoints_3d": [[x, y, 1.0]] * 21} for x, y in mid])
         return out
+
+
+def transcriber_factory(name: str) -> FakeTranscriber:
+    return FakeTranscriber()
+
+
+def tracker_factory(name: str) -> FakeTracker:
+    return FakeTracker()
+
+
+def pose_factory(name: str) -> FakePose:
+    return FakePose()

@@ -7,6 +7,7 @@ import posixpath
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pandas as pd
 import pyarrow.fs as pafs
@@ -14,7 +15,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import document_sink
+from tessera.operators import document_sink, scans
+from tessera.sources.catalog import BUNDLE_PARTS
 
 
 def put(uri: str, data: bytes) -> None:
@@ -105,6 +107,50 @@ def run_job(root: str, prompt: str, script: str, job: Callable[[str], None], val
     validate(root)
 
 
+def run_jobs(jobs: DataFrame, root: str, command: Callable[[str, str], None], version: str = "") -> DataFrame:
+    """Run an external job for each row (name, prompt, script) in the tasks (SNK11, SNK12).
+
+    A job works in a folder of its own on its executor: prompt and script are archived there, ``command``
+    gets the folder and the prompt, and what it left is validated (all parts of a bundle, see
+    ``catalog``).  Then its files go to ``root/name``, the manifest last, so a bundle with a manifest is
+    whole.  Returns (name, status, error, files); a failed job leaves nothing below the root, and a job
+    that is run again replaces its files.
+    """
+    root = rooted(jobs.sparkSession, root).rstrip("/")
+
+    def one(name: str, prompt: str, script: str) -> tuple[str, str | None, int]:
+        with tempfile.TemporaryDirectory() as folder:
+            try:
+                document_sink.safe(name)
+                for file, text in (("prompt.txt", (prompt or "").strip() + "\n"), ("scene.py", script or "")):
+                    Path(folder, file).write_text(text, encoding="utf-8")
+                command(folder, prompt)
+                found = {str(p.relative_to(folder)): p.read_bytes() for p in sorted(Path(folder).rglob("*")) if p.is_file()}
+                if lacking := lacking_parts(found):
+                    raise RuntimeError(f"missing: {', '.join(lacking)}")
+                for file, data in found.items():
+                    put(f"{root}/{name}/{file}", data)
+                manifest = {"prompt": prompt, "version": version, "files": {f: len(d) for f, d in found.items()}}
+                put(f"{root}/{name}/manifest.json", (json.dumps(manifest, ensure_ascii=False, indent=2) + "\n").encode())
+                return "ok", None, len(found) + 1
+            except Exception as e:  # noqa: BLE001 - one job must not stop the others
+                return "error", f"{type(e).__name__}: {e}", 0
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            done = [one(*row) for row in b[["name", "prompt", "script"]].itertuples(index=False)]
+            yield pd.DataFrame({"name": b["name"], "status": [d[0] for d in done], "error": [d[1] for d in done], "files": [d[2] for d in done]})
+
+    todo = unique_names(jobs, "name").select("name", "prompt", "script").repartition(scans.ranges(jobs.sparkSession), "name")
+    return scans.kept(todo.mapInPandas(run, "name string, status string, error string, files int"), "jobs")
+
+
+def lacking_parts(found: dict[str, bytes]) -> list[str]:
+    """What a bundle lacks: a prompt with words, its script, a scene, an image."""
+    has = [bool(found.get("prompt.txt", b"").strip()), "scene.py" in found, any(f.endswith(".blend") for f in found), any(f.endswith(".png") and d[:8] == b"\x89PNG\r\n\x1a\n" for f, d in found.items())]
+    return [part for part, ok in zip(BUNDLE_PARTS, has, strict=True) if not ok]
+
+
 def workspace(spark: SparkSession, name: str = "workspace") -> str:
     """A new folder that driver and executors share, below ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None) or rooted(spark, tempfile.mkdtemp(prefix="tessera-"))

@@ -8,7 +8,6 @@ does what needs a library.  Headers of media and structures of PDFs need none: s
 from __future__ import annotations
 
 import json
-import shutil
 import subprocess
 from collections.abc import Callable, Iterator
 
@@ -18,18 +17,21 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scalars import frame_name, frame_rate, page_name
 from tessera.operators.pages import page_list
-from tessera.sources import pdf
+from tessera.sources import pdf, tools
 
 PDF_DPI, PAGE_DPI = 150, 200
 
 
-def ffprobe(path: str, timeout: int = 60) -> dict:
-    """Duration, streams and geometry of one file; empty where the tool is missing or fails."""
-    tool = shutil.which("ffprobe")
-    if not tool:
+def ffprobe(path: str, timeout: int = 60, explicit: str | None = None) -> dict:
+    """Duration, streams and geometry of one file; empty where the tool is missing or fails.  A path given must exist."""
+    try:
+        found = tools.tool("ffprobe", explicit)
+    except FileNotFoundError:
+        if explicit is not None:
+            raise
         return {}
     try:
-        done = subprocess.run([tool, "-v", "error", "-show_format", "-show_streams", "-of", "json", path], capture_output=True, text=True, timeout=timeout, check=False)
+        done = subprocess.run([found, "-v", "error", "-show_format", "-show_streams", "-of", "json", path], capture_output=True, text=True, timeout=timeout, check=False)
         return json.loads(done.stdout) if done.returncode == 0 else {}
     except (OSError, ValueError, subprocess.SubprocessError):
         return {}
