@@ -475,3 +475,65 @@ def damaged(convs: DataFrame) -> DataFrame:
 
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(damaged(common.table(spark, sf_dir, "conversations")), present="present")
+
+
+#: A forward pass by recursion, a turn at a time: of equal costs the least string, as of two strings with
+#: equal cost, state and turns neither begins the other.
+OP12_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY i) AS steps
+  FROM (SELECT i, list_reduce(range(8), lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, i) AS v FROM (SELECT unnest(range(256)) AS i))
+), named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, hex(encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))) AS bytes FROM conversations
+), fates AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(
+    list_transform(range(1, length(bytes), 2), lambda i: CAST('0x' || substr(bytes, CAST(i AS INT), 2) AS BIGINT)),
+    lambda x, b: xor(x >> 8, steps[CAST(xor(x, b) & 255 AS INT) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS fate
+  FROM named, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role, CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM fates
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS k FROM damaged
+), faults AS (
+  SELECT conv_id, turn, role, text, k, left(role, 1) AS r, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY k) AS before,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'd'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault
+  FROM placed
+), steps AS (
+  SELECT conv_id, k, r, CASE WHEN fault IN ('b', 'd') THEN 1000000000 WHEN fault = 't' THEN 3 ELSE 0 END AS stay FROM faults
+), walk AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS k, {'c': CAST(0 AS BIGINT), 'a': ''} AS m0, {'c': CAST(1000000000 AS BIGINT), 'a': ''} AS m1, {'c': CAST(3 AS BIGINT), 'a': 'I'} AS m2, {'c': CAST(6 AS BIGINT), 'a': 'II'} AS m3
+  FROM (SELECT DISTINCT conv_id FROM faults)
+  UNION ALL
+  SELECT conv_id, k, n0, n1, n2, list_min([n3, {'c': n2.c + 3, 'a': n2.a || 'I'}]) FROM (
+    SELECT conv_id, k, n0, n1, n3, list_min([u, {'c': n0.c + 3, 'a': n0.a || 'I'}, {'c': n1.c + 3, 'a': n1.a || 'I'}, {'c': n3.c + 3, 'a': n3.a || 'I'}]) AS n2 FROM (
+      SELECT s.conv_id, s.k, {'c': m0.c + 4, 'a': m0.a || 'D'} AS n0,
+             list_min([{'c': m1.c + 4, 'a': m1.a || 'D'}, {'c': CASE WHEN r = 's' THEN m0.c + stay ELSE 1000000000 END, 'a': m0.a || 'K'}]) AS n1,
+             list_min([{'c': m2.c + 4, 'a': m2.a || 'D'}, {'c': m0.c + stay + CASE WHEN r = 'u' THEN 0 ELSE 3 END, 'a': m0.a || CASE WHEN r = 'u' THEN 'K' ELSE 'R' END},
+                       {'c': m1.c + stay + CASE WHEN r = 'u' THEN 0 ELSE 3 END, 'a': m1.a || CASE WHEN r = 'u' THEN 'K' ELSE 'R' END},
+                       {'c': m3.c + stay + CASE WHEN r = 'u' THEN 0 ELSE 3 END, 'a': m3.a || CASE WHEN r = 'u' THEN 'K' ELSE 'R' END}]) AS u,
+             list_min([{'c': m3.c + 4, 'a': m3.a || 'D'}, {'c': m2.c + stay + CASE WHEN r = 'a' THEN 0 ELSE 3 END, 'a': m2.a || CASE WHEN r = 'a' THEN 'K' ELSE 'R' END}]) AS n3
+      FROM walk JOIN steps s ON s.conv_id IS NOT DISTINCT FROM walk.conv_id AND s.k = walk.k + 1))
+), ends AS (
+  SELECT conv_id, arg_max(list_min([m0, m3]), k) AS e FROM walk GROUP BY conv_id
+), letters AS (
+  SELECT conv_id, i, substr(e.a, CAST(i AS INT), 1) AS edit, length(replace(substr(e.a, 1, CAST(i AS INT)), 'I', '')) AS k FROM (SELECT conv_id, e, unnest(range(1, length(e.a) + 1)) AS i FROM ends)
+), kept AS (
+  SELECT l.conv_id, l.i, l.edit, f.role, CASE WHEN l.edit = 'I' THEN '' ELSE f.text END AS text, row_number() OVER (PARTITION BY l.conv_id ORDER BY l.i) AS j
+  FROM letters l LEFT JOIN faults f ON l.edit <> 'I' AND f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.k = l.k WHERE l.edit <> 'D'
+), system AS (
+  SELECT conv_id, max(CASE WHEN j = 1 AND edit = 'K' AND left(role, 1) = 's' THEN 1 ELSE 0 END) AS has FROM kept GROUP BY conv_id
+), said AS (
+  SELECT k.conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (j - has) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY i) AS said
+  FROM kept k JOIN system s ON s.conv_id IS NOT DISTINCT FROM k.conv_id GROUP BY k.conv_id
+), figures AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (k > 1 AND before || r NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(e.c, 0) AS cost, coalesce(e.a, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN said ON said.conv_id IS NOT DISTINCT FROM c.conv_id
+"""

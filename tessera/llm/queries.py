@@ -19,4 +19,4 @@ QUERIES = {
     "op12_conversation_repair": conversations.op12_conversation_repair,
     "op13_token_counts": token_counts.op13_token_counts,
 }
-ORACLES: dict[str, str] = {"op2_topk": topk_nra.OP2_SQL, "op11_spelling_variants": spelling.OP11_SQL}
+ORACLES: dict[str, str] = {"op2_topk": topk_nra.OP2_SQL, "op11_spelling_variants": spelling.OP11_SQL, "op12_conversation_repair": conversations.OP12_SQL}

@@ -140,3 +140,12 @@ def test_query(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     got = found(conversations.op12_conversation_repair(spark, "/root/testdata/sf0.01"))
     assert got == {c: w for c, (w, _) in brute(damaged(rows)).items()}
+
+
+def test_query_against_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql("CREATE VIEW conversations AS SELECT * FROM '/root/testdata/sf0.1/conversations.parquet'")
+    want = {r[0]: r[1:] for r in con.sql(f"SELECT conv_id, {', '.join(COLUMNS)} FROM ({conversations.OP12_SQL})").fetchall()}
+    assert found(conversations.op12_conversation_repair(spark, "/root/testdata/sf0.1")) == want
