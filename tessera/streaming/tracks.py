@@ -40,11 +40,11 @@ def tracked_stream(frames: DataFrame, track: str = "video") -> DataFrame:
     def run(key: tuple, groups: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         seen = dict(zip(*state.get, strict=True)) if state.exists else {}
         for g in groups:
-            out = []
-            for _, r in g.sort_values("frame_index").iterrows():
-                number = seen.setdefault(int(r["cls"]), len(seen))
-                out.append((key[0], int(r["frame_index"]), int(r["cls"]), number))
-            yield pd.DataFrame(out, columns=[track, "frame_index", "cls", "track_id"])
+            g = g.sort_values("frame_index", kind="stable")
+            cls = g["cls"].astype("int64")
+            for c in cls.unique():  # in the order in which classes appear
+                seen.setdefault(int(c), len(seen))
+            yield pd.DataFrame({track: key[0], "frame_index": g["frame_index"].astype("int32"), "cls": cls.astype("int32"), "track_id": cls.map(seen).astype("int32")})
         state.update((list(seen), list(seen.values())))
 
     return frames.groupBy(track).applyInPandasWithState(run, f"{track} string, frame_index int, cls int, track_id int", "classes array<int>, numbers array<int>", "append", "NoTimeout")
