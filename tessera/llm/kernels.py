@@ -129,7 +129,22 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:n], x[width - have : width - have + n]) if have < width else x[:n]
 
 
+#: Places that share a number with a hash have 28 bits; longer sequences are worked on in parts.
+LIMIT = 1 << 28
+
+
 def anchors(gram: np.ndarray, off: np.ndarray, window: int, gram_width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``anchors_of`` for sequences of any length; a run of windows may be cut between two parts."""
+    if len(gram) <= LIMIT:
+        return anchors_of(gram, off, window, gram_width)
+    step, found = LIMIT - window, []
+    for s in range(0, len(gram), step):  # the windows that start in a part, and all that they hold
+        own = anchors_of(gram[s : s + step + window - gram_width], np.clip(off, s, s + step + window - 1) - s, window, gram_width)
+        found.append([x + s for x in own])
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def anchors_of(gram: np.ndarray, off: np.ndarray, window: int, gram_width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Minimizers: (anchor, first window, last window) where an anchor is the start of the least
     gram of each window from the first to the last.
 

@@ -28,6 +28,7 @@ than a piece; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 from uuid import uuid4
 
@@ -312,8 +313,11 @@ def _strings(n: int):
 
 def _construct(n: int, uri: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with contextlib.closing(Columns(uri)) as files:  # they go when the task fails, too
+            yield from work(batches, files)
+
+    def work(batches: Iterator[pa.RecordBatch], files: Columns) -> Iterator[pa.RecordBatch]:
         have: dict[int, list[pa.RecordBatch]] = {}
-        files = Columns(uri)
         open_, rolls = zstandard.ZstdDecompressor(), (kernels.Rolling(73), kernels.Rolling(74))
         for batch in batches:
             for k in range(batch.num_rows):
@@ -359,7 +363,6 @@ def _construct(n: int, uri: str):
                 m = members[own][kernels.ragged(first, count)]
                 yield from _runs(d[m], p[m] + np.repeat(hit - off[row], count), n)
                 at = stop
-        files.close()
 
     return run
 

@@ -38,6 +38,32 @@ def corpus(seed=7):
     return out
 
 
+@pytest.mark.parametrize("limit", [60, 61, 97])
+def test_anchors_of_long_sequences(monkeypatch, limit):
+    """In parts, every window has the anchor that it has at once."""
+    rng = np.random.default_rng(limit)
+    gram = rng.integers(0, 2**63, 700).astype(np.uint64)
+    off = np.array([0, 0, 150, 160, 161, 400, 708])
+
+    def by_window(found):
+        pairs = [(w, a) for a, first, last in zip(*(x.tolist() for x in found), strict=True) for w in range(first, last + 1)]
+        assert len(pairs) == len(set(pairs))
+        return dict(pairs)
+
+    want = by_window(kernels.anchors(gram, off, 20, 9))
+    monkeypatch.setattr(kernels, "LIMIT", limit)
+    assert by_window(kernels.anchors(gram, off, 20, 9)) == want and len(want) > 500
+
+
+def test_external_files_go_when_a_task_fails(tmp_path):
+    import pathlib
+
+    work = suffix_array._construct(2, f"file://{tmp_path}/columns")
+    with pytest.raises(AttributeError):
+        list(work(iter(["not a batch"])))
+    assert list(pathlib.Path(tmp_path, "columns").iterdir()) == []
+
+
 def test_kernels():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 2**63, 500).astype(np.uint64)
