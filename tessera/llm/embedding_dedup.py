@@ -156,3 +156,20 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
 
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(common.table(spark, sf_dir, "embeddings"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), fit AS (
+  SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM vectors
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fit a JOIN fit b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.95
+), reach AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.other
+)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id) JOIN (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id) USING (vec_id)
+"""

@@ -19,4 +19,13 @@ QUERIES = {
     "op12_conversation_repair": conversations.op12_conversation_repair,
     "op13_token_counts": token_counts.op13_token_counts,
 }
-ORACLES: dict[str, str] = {"op2_topk": topk_nra.OP2_SQL, "op11_spelling_variants": spelling.OP11_SQL, "op12_conversation_repair": conversations.OP12_SQL}
+#: SQL that says the same; the others learn, tokenize or draw blocks by a seed.
+ORACLES: dict[str, str] = {
+    "op1_substring_dedup": substring.OP1_SQL,
+    "op2_topk": topk_nra.OP2_SQL,
+    "op3_embedding_dedup": embedding_dedup.OP3_SQL,
+    "op7_suffix_dedup": suffix_array.OP7_SQL,
+    "op8_jaccard_join": jaccard_join.OP8_SQL,
+    "op11_spelling_variants": spelling.OP11_SQL,
+    "op12_conversation_repair": conversations.OP12_SQL,
+}

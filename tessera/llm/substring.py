@@ -419,3 +419,21 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), placed AS (
+  SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), windows AS (
+  SELECT doc_id, i, w[i] AS word, CASE WHEN i + 19 <= len(w) THEN array_to_string(w[i : i + 19], ' ') END AS s FROM placed
+), judged AS (
+  SELECT doc_id, i, word, s IS NOT NULL AND row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1 AS again FROM windows
+), covered AS (
+  SELECT doc_id, i, word, max(CASE WHEN again THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) = 1 AS gone FROM judged
+), kept AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM covered GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM documents d LEFT JOIN kept USING (doc_id)
+"""

@@ -420,3 +420,26 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_shared(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda s, r: s + r["end"] - r["start"])
     return out.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP7_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), bytes AS (
+  SELECT doc_id, i, substr(part, CAST(2 * j - 1 AS INT), 2) AS b FROM (
+    SELECT doc_id, part, 500 * k + j AS i, j FROM (
+      SELECT doc_id, k, part, unnest(range(1, length(part) // 2 + 1)) AS j FROM (
+        SELECT doc_id, k, substr(h, CAST(1000 * k + 1 AS INT), 1000) AS part FROM (SELECT doc_id, h, unnest(range(0, length(h) // 1000 + 1)) AS k FROM texts))))
+), windows AS (
+  SELECT doc_id, i, b, CASE WHEN count(*) OVER w = 50 THEN string_agg(b, '') OVER w END AS s FROM bytes WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)
+), judged AS (
+  SELECT doc_id, i, b, s IS NOT NULL AND min(doc_id) OVER (PARTITION BY s) < doc_id AS again FROM windows
+), covered AS (
+  SELECT doc_id, i, b, max(CASE WHEN again THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) = 1 AS gone FROM judged
+), edged AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM covered
+), kept AS (
+  SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans, string_agg(b, '' ORDER BY i) FILTER (NOT gone) AS kept FROM edged GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM documents d LEFT JOIN kept USING (doc_id)
+"""
