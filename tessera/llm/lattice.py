@@ -120,8 +120,8 @@ def rectangles(start: np.ndarray, length: np.ndarray) -> Iterator[tuple[int, np.
     grade = np.where(length <= SHORT, length, SHORT + np.ceil(np.log(np.maximum(length, 1) / SHORT) / np.log(GROWTH))).astype(np.int64)
     order = np.argsort(grade, kind="stable")
     for part in np.split(order, np.flatnonzero(np.diff(grade[order])) + 1):
-        for at in range(0, len(part), 16_384):
-            some = part[at : at + 16_384]
+        for at in range(0, len(part), 8_192):
+            some = part[at : at + 8_192]
             if len(some):
                 yield int(length[some].max()), some
 

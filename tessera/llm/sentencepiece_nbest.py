@@ -36,7 +36,9 @@ from tessera.llm.lattice import SPACE, Vocabulary, edges, rectangles
 N_BEST = 3
 REMEMBERED = 800_000
 #: Bytes of text that are segmented at a time.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
+#: Segments whose lattices are held at a time.
+SOLVED = 20_000
 NONE = -1e300
 
 
@@ -177,9 +179,9 @@ class Segmenter:
                 known[:] = False
             new = np.flatnonzero(~known)
             got = []
-            for x in range(0, len(new), 40_000):
-                s = start[first[new[x : x + 40_000]]]
-                got.append(self._solve(raw, s, end[first[new[x : x + 40_000]]] - s))
+            for x in range(0, len(new), SOLVED):
+                s = start[first[new[x : x + SOLVED]]]
+                got.append(self._solve(raw, s, end[first[new[x : x + SOLVED]]] - s))
             base = np.cumsum([0, *[len(g[2]) for g in got]])
             score, cost, flat, begin, count = (np.concatenate(x) for x in zip(*[(g[0], g[1], g[2], g[3] + o, g[4]) for g, o in zip(got, base, strict=False)], strict=True))
             where = np.searchsorted(self.keys, uniq[new])
