@@ -448,21 +448,22 @@ def layout_overlay_images(spark, sf):
 
 
 @query("""
-WITH f AS (SELECT coalesce(source, '-') AS source, coalesce(lang, '-') AS lang, sum(n_chars) // 100 AS size FROM documents GROUP BY ALL)
-SELECT md5(source) || '/' || lang || '.bin' AS name, size::BIGINT AS bytes, CASE WHEN size % 32 = 0 THEN NULL ELSE size % 32 END::BIGINT AS last FROM f
+WITH f AS (SELECT doc_id // 64 AS k, sum(n_chars) // 100 AS size FROM documents GROUP BY ALL)
+SELECT (k // 100) || '/' || k || '.bin' AS name, size::BIGINT AS bytes, CASE WHEN size % 32 = 0 THEN NULL ELSE size % 32 END::BIGINT AS last FROM f WHERE size > 0
 """)
 def dataset_snapshot(spark, sf):
-    """SRC10, SRC12: a file for each source and language, fetched in parts by eight workers in two runs, the second for what the first left."""
-    d = read(spark, sf, "documents").groupBy(F.coalesce("source", F.lit("-")).alias("s"), F.coalesce("lang", F.lit("-")).alias("l")).agg(F.floor(F.sum("n_chars") / 100).alias("size"))
-    listed = scans.kept(d.select(F.concat(F.md5("s"), F.lit("/"), "l", F.lit(".bin")).alias("path"), "size"), "listing")
+    """SRC10, SRC12: a file for each 64 documents, fetched in parts by eight workers in two runs, the second for what the first left."""
+    d = read(spark, sf, "documents").groupBy(F.floor(F.col("doc_id") / 64).alias("k")).agg(F.floor(F.sum("n_chars") / 100).alias("size"))
+    name = F.concat(F.floor(F.col("k") / 100).cast("string"), F.lit("/"), F.col("k").cast("string"), F.lit(".bin"))
+    listed = scans.kept(d.select(name.alias("path"), "size"), "listing")
     root = sinks.workspace(spark)
     block = bytes(range(1, 33))
 
     def fetch(path: str, revision: str, offset: int, length: int) -> bytes:
         return (block * (length // 32 + 2))[offset % 32 : offset % 32 + length]
 
-    snapshot.download(listed.where(F.col("path").endswith("en.bin")), root, "first", fetch, part_bytes=1 << 16)
-    snapshot.download(listed, root, "first", fetch, part_bytes=1 << 16)
+    snapshot.download(listed.where(F.col("path").endswith("7.bin")), root, "first", fetch, part_bytes=1 << 10)
+    snapshot.download(listed, root, "first", fetch, part_bytes=1 << 10)
     found = files.listing(spark, root, content=True).where("length > 0")
     name = F.regexp_extract("path", "([^/]+/[^/]+)$", 1)
     last = F.conv(F.hex(F.substring("content", -1, 1)), 16, 10).cast("long")
