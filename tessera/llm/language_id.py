@@ -41,7 +41,7 @@ UNKNOWN = "und"
 #: Bytes of a word that pieces are learned from at a time; a longer one is cut between characters.
 LONGEST = 180
 #: Scores of that many words are remembered by a worker; beyond it starts afresh.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 #: Bytes of text that are scored at a time.
 PIECE_BYTES = 1 << 19
 

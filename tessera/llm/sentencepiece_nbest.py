@@ -34,9 +34,11 @@ from tessera.llm import common, kernels
 from tessera.llm.lattice import SPACE, Vocabulary, edges, rectangles
 
 N_BEST = 3
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 #: Bytes of text that are segmented at a time.
 PIECE_BYTES = 1 << 19
+#: Segments whose n best are remembered by a worker, some 400 bytes each.
+SOLVED_KEPT = 50_000
 #: Segments whose lattices are held at a time.
 SOLVED = 20_000
 NONE = -1e300
@@ -143,7 +145,7 @@ class Segmenter:
             for k, piece, s in reversed(into[at]):  # of equals the one pushed last, with the longest piece, is gone on with
                 serial -= 1
                 heapq.heappush(heap, (-(fwd[k] + s + behind), serial, k, s + behind, (piece, path)))
-        if len(self.solved) > 200_000:
+        if len(self.solved) > SOLVED_KEPT:
             self.solved.clear()
         self.solved[segment] = out if len(out) == n else [*out, (NONE, [])]
         return out
