@@ -158,10 +158,10 @@ def srgb_linear(colour: Column) -> Column:
     return F.array(channel(1), channel(3), channel(5), F.lit(1.0))
 
 
-def even_offsets(count: int, width: float, gap: float) -> Column:
-    """Centres of ``count`` planks of that width, evenly spaced around 0."""
-    step = width + gap
-    return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda k: F.bround((k - (count - 1) / 2) * step, 6))
+def even_offsets(count: Column | int, width: float, gap: float) -> Column:
+    """Centres of ``count`` planks (1 at least) of that width, evenly spaced around 0."""
+    step, last = width + gap, (F.lit(count) if isinstance(count, int) else count) - 1
+    return F.transform(F.sequence(F.lit(0).cast("long"), last.cast("long")), lambda k: F.bround((k - last / 2) * step, 6))
 
 
 def corners(x: float, y: float) -> Column:

@@ -221,6 +221,17 @@ def even_planks(spark, sf):
     return spark.range(1).select(F.posexplode(S.even_offsets(6, 0.2, 0.008)).alias("plank", "offset_x"))
 
 
+@query("""
+WITH t AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id)
+SELECT conv_id, k::BIGINT AS plank, round((k - (n - 1) / 2.0) * 0.208, 6)::DOUBLE AS offset_x FROM (SELECT conv_id, n, unnest(range(n)) AS k FROM t)
+""")
+def planks_of_tables(spark, sf):
+    """MTH10: a table for each conversation, with a plank for each turn."""
+    t = read(spark, sf, "conversations").groupBy("conv_id").agg(F.count("*").alias("n"))
+    planks = t.select("conv_id", F.posexplode(S.even_offsets(F.col("n"), 0.2, 0.008)).alias("plank", "offset_x"))
+    return planks.select("conv_id", F.col("plank").cast("long").alias("plank"), "offset_x")
+
+
 # ---- sources and catalogues
 
 
