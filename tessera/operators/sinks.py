@@ -52,6 +52,15 @@ def rooted(spark: SparkSession, root: str) -> str:
     return f"file://{root}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path of Spark's own settings as a URI: without a scheme it is in Spark's default file system."""
+    if "://" in path:
+        return path
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toUri()
+    return f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}"
+
+
 def write_files(rows: DataFrame, root: str, name: str = "name", content: str = "content") -> DataFrame:
     """Write one file for each row, text or bytes, all or none; returns (name, bytes) (SNK1 to SNK4)."""
     return document_sink.write_documents(rows, rooted(rows.sparkSession, root), name, content)
@@ -152,6 +161,7 @@ def lacking_parts(found: dict[str, bytes]) -> list[str]:
 
 
 def workspace(spark: SparkSession, name: str = "workspace") -> str:
-    """A new folder that driver and executors share, below ``spark.checkpoint.dir``."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or rooted(spark, tempfile.mkdtemp(prefix="tessera-"))
+    """A new folder that driver and executors share, below ``spark.checkpoint.dir``, which needs no scheme."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = qualified(spark, base) if base else rooted(spark, tempfile.mkdtemp(prefix="tessera-"))
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@
 
 import json
 from pathlib import Path
+from types import SimpleNamespace
 
 import pyarrow as pa
 import pytest
@@ -125,3 +126,13 @@ def test_a_stream_writes_each_batch_once(spark, tmp_path):
 
 def test_bare_roots_need_one_machine(spark):
     assert sinks.rooted(spark, "/tmp/x") == "file:///tmp/x" and sinks.rooted(spark, "hdfs://h/x") == "hdfs://h/x"
+
+
+def test_the_checkpoint_folder_needs_no_scheme(spark, tmp_path):
+    for given in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
+        # the setting is one that a running session can't change
+        conf = SimpleNamespace(get=lambda name, default=None, given=given: given)
+        root = sinks.workspace(SimpleNamespace(conf=conf, _jvm=spark._jvm, sparkContext=spark.sparkContext))
+        assert root.startswith(f"file://{tmp_path}/workspace-"), (given, root)
+        rows = spark.createDataFrame([("a", "x")], "name string, content string")
+        assert [tuple(r) for r in sinks.write_files(rows, root).collect()] == [("a", 1)]
