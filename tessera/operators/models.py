@@ -25,6 +25,8 @@ from tessera.sources import tools
 
 PROMPT_MODES = ("layout_all", "ocr", "layout_only")
 DEVICES = ("auto", "cpu", "mps", "cuda")
+#: Chunks whose keypoints leave a worker together.
+POSED = 128
 
 
 class Handle(Protocol):
@@ -211,16 +213,23 @@ def tracked(frames: DataFrame, spec: ModelSpec, video: str = "video") -> DataFra
 
 
 def posed(chunks: DataFrame, spec: ModelSpec, keys: list[str], batch: int = 4) -> DataFrame:
-    """Keypoints of every frame of chunks of 16 (MDL8, WIN7); chunks don't depend on one another."""
+    """Keypoints of every frame of chunks of 16 (MDL8, WIN7); chunks don't depend on one another.
+
+    A worker holds the keypoints of ``POSED`` chunks, or of one batch, whatever a task's batches are.
+    """
     names = [*keys, "frame_indices", "boxes", "valid_count"]
     schema = ", ".join(f"`{c}` {chunks.schema[c].dataType.simpleString()}" for c in names) + ", outputs array<struct<keypoints_2d: array<array<double>>, keypoints_3d: array<array<double>>>>"
 
+    size = max(1, POSED // batch) * batch
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            model, got = handle(spec), []
-            for at in range(0, len(b), batch):
-                got += model.generate(b.iloc[at : at + batch].to_dict("records"))
-            yield b[names].assign(outputs=got)
+            model = handle(spec)
+            for start in range(0, len(b), size):
+                part, got = b.iloc[start : start + size], []
+                for at in range(0, len(part), batch):
+                    got += model.generate(part.iloc[at : at + batch].to_dict("records"))
+                yield part[names].assign(outputs=got)
 
     return chunks.mapInPandas(run, schema, profile=profile(spec))
 

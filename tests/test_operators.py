@@ -1,4 +1,5 @@
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -163,3 +164,17 @@ def test_devices_and_prompts():
     with pytest.raises(ValueError):
         models.prompt_mode("poem")
     assert models.pooled(([1, 2], "rest")) == [1.0, 2.0]
+
+
+def test_keypoints_leave_a_worker_in_small_pieces():
+    import pandas as pd
+
+    names = {"video": "string", "frame_indices": "array<int>", "boxes": "array<array<double>>", "valid_count": "int"}
+    schema = {c: SimpleNamespace(dataType=SimpleNamespace(simpleString=lambda k=k: k)) for c, k in names.items()}
+    chunks = SimpleNamespace(schema=schema, mapInPandas=lambda run, schema, profile: run)
+    run = models.posed(chunks, models.ModelSpec("fake pose", lambda name: models.FakePose()), ["video"], batch=3)
+    batch = pd.DataFrame([{"video": str(k), "frame_indices": [0], "boxes": [[k, k, k, k]], "valid_count": 1} for k in range(1000)])
+    parts = list(run(iter([batch])))
+    assert max(map(len, parts)) <= models.POSED
+    whole = pd.concat(parts)
+    assert list(whole["video"]) == list(batch["video"]) and [o[0]["keypoints_2d"][0][0] for o in whole["outputs"]] == list(range(1000))
