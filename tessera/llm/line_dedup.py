@@ -11,13 +11,11 @@ of 0.8 shares a band, and nine minima, with probability 0.97, at 0.85 with 0.99.
    are compared exactly, by their whole sets, and link at 0.8.  Their components, by union-find,
    settle what large groups of near copies are.
 2. The rest.  Of bands that still hold lines of several components, those of at most ``GROUP`` lines
-   are groups as they are.  Lines of larger ones share a frequent passage, so they are grouped by what
-   is their own: of all runs of these lines, those in 2 to ``GROUP`` lines are rare, and lines with
-   the same one of ``RARE`` minima over their rare runs are a group, which by the choice of runs can't
-   have more lines.  In every group each line looks at all others of another component, and those of
-   which nine minima agree are compared exactly, once.  Two lines at 0.8 whose rare runs are over a
-   ninth of each share at least that many of them; they share a group with probability 0.98 if
-   they agree in a fifth of their rare runs.
+   are looked at whole: each line looks at all others of another component, and those of which nine
+   minima agree are compared exactly, once.  Lines of larger ones share a frequent passage, so they
+   are met by what is their own, and none at 0.8 is missed: of all runs of these lines in the order
+   of their frequency, two lines at 0.8 share one of the smaller line's first ninth and the larger
+   one's first fifth (``run_pairs``).  Whatever meets so is compared exactly, once.
 3. Union-find over all links; every line but a component's first, by document and place, goes.
 
 Equal lines are one line from the start.  All sides of joins are sorted and spill; hot bands and
@@ -37,7 +35,7 @@ from __future__ import annotations
 import random
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import common
@@ -49,8 +47,10 @@ FIVES = 4
 MINIMA = 15
 BANDS = [(0, 1, 2), (3, 4, 5), (6, 7, 8), (9, 10, 11), (12, 13, 14), (0, 4, 8)]
 AGREE = 9
-#: Lines of a group in which all are looked at, lines that a rare run may be in, and minima of rare runs.
-GROUP, RARE = 64, 18
+#: Lines of a band in which all are looked at, and lines that a rare run may be in.
+GROUP = 64
+#: Runs of a task, and shares that the lines of a frequent run are dealt to.
+TASK, SHARES = 1 << 16, 16
 #: Shingles that are hashed from one piece of a line, and from one row.
 PIECE, STEP = 256, 8
 #: Characters of a line whose runs are compared as one array; longer ones are compared row by row.
@@ -60,7 +60,6 @@ BITS = 1 << 24
 BLANK = " \t\n\x0b\x0c\r"
 _rng = random.Random(611)
 MASKS = [_rng.getrandbits(64) - 2**63 for _ in range(MINIMA)]
-RARE_MASKS = [_rng.getrandbits(64) - 2**63 for _ in range(RARE)]
 
 
 def line_key(line: Column) -> Column:
@@ -174,27 +173,61 @@ def left_over(bands: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def all_runs(text: DataFrame, some_long: bool) -> DataFrame:
-    """(id, h): the distinct runs of each line."""
+    """(id, m, h): the distinct runs of each line, and how many they are."""
     fits = F.length("key") <= LONG
     own = once((text.where(fits) if some_long else text), units(), "u", "id")
-    got = own.select("id", F.explode(run_set("u")).alias("h"))
+    got = once(own, run_set("u"), "x", "id").select("id", F.size("x").cast("long").alias("m"), F.explode("x").alias("h"))
     if some_long:
         long = pieces(once(text.where(~fits), units(), "u", "id"), "u", "id")
-        got = got.unionByName(long.select("id", "u", F.explode(F.sequence(F.lit(1), last_run("u"), F.lit(2))).alias("at")).select("id", run_hash("u", F.col("at")).alias("h")).distinct())
+        long = long.select("id", "u", F.explode(F.sequence(F.lit(1), last_run("u"), F.lit(2))).alias("at")).select("id", run_hash("u", F.col("at")).alias("h")).distinct()
+        got = got.unionByName(long.join(long.groupBy("id").agg(F.count("*").alias("m")), "id").select("id", "m", "h"))
     return got
 
 
-def rare_groups(large: DataFrame, text: DataFrame, some_long: bool) -> DataFrame:
-    """(id, band, c): lines of large bands by the minima of their rare runs.
+def firsts(rows: DataFrame, before: Column) -> DataFrame:
+    """(id, m, h, pos): of rows (id, m, h, n) those that may be among the first fifth of a line's runs,
+    least frequent first; ``before`` is how many of a line's runs at least come before these rows."""
+    by = Window.partitionBy("id").orderBy("n", "h")
+    own = rows.withColumn("k", F.count("*").over(Window.partitionBy("id"))).withColumn("pos", before + F.row_number().over(by))
+    return own.where(5 * (F.col("pos") - 1) <= F.col("m")).select("id", "m", "h", "pos")
 
-    A frequent run is counted with partial sums, and a bitmap of the rare ones keeps it out of the join.
+
+def met_by_runs(firsts: DataFrame, c: DataFrame, shares: int) -> DataFrame:
+    """(a, b): lines of two components that share one of their first runs, and whose sizes allow a link."""
+    own = firsts.join(c, "id")
+    # the smaller line's first ninth; dealt out where a run may be in any number of lines
+    one = own.where(9 * (F.col("pos") - 1) <= F.col("m")).select("h", F.pmod(F.xxhash64("id"), F.lit(shares)).alias("share"), F.col("id").alias("x"), F.col("m").alias("mx"), F.col("c").alias("cx"))
+    other = own.select("h", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))).alias("share"), F.col("id").alias("y"), F.col("m").alias("my"), F.col("c").alias("cy"))
+    met = one.join(other, ["h", "share"]).where("cx <> cy and mx <= my").where(5 * F.col("mx") >= FIVES * F.col("my"))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def run_pairs(large: DataFrame, text: DataFrame, some_long: bool) -> DataFrame:
+    """(a, b): all pairs of lines (id, c) of different components that may be at 0.8, without an estimate.
+
+    The runs of all these lines are in one order, the least frequent first.  Two lines at 0.8 share at least
+    8/9 of the smaller one's runs and 4/5 of the larger one's, so the first run that they share is one of
+    the smaller one's first m / 9 + 1 and of the larger one's first m / 5 + 1.  A run of one line shows
+    nothing.  Lines meet by their runs of at most ``GROUP`` lines, and only lines that have too few of
+    these by more frequent ones as well.
     """
-    runs = all_runs(text.join(large.select("id"), "id"), some_long)
-    rare = common.stored(runs.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n").between(2, GROUP)).select("h"), "line-rare-runs")
-    own = maybe_in(runs, "h", bitmap(rare, "h")).where("_ts_in").select("id", "h").join(rare, "h")
-    least = own.groupBy("id").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"r{k}") for k, m in enumerate(RARE_MASKS)])
-    bands = F.array(*[F.xxhash64(F.lit(100 + k), F.col(f"r{k}")) for k in range(RARE)])
-    return least.select("id", F.explode(bands).alias("band")).join(large, "id").select("id", "band", "c")
+    pool = common.stored(text.join(large.select("id"), "id").select("id", "key"), "line-pool")
+    size = pool.agg(F.coalesce(F.sum(F.length("key") + SHINGLE), F.lit(0))).first()[0]
+    # tasks in proportion to the runs
+    runs = common.stored(all_runs(pool.repartition(1 + size // TASK, "id"), some_long), "line-runs")
+    often = common.stored(runs.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "line-run-counts")
+    rare, frequent = often.where(F.col("n") <= GROUP), often.where(F.col("n") > GROUP)
+    # at most so many runs of a line are frequent: a bitmap may take others for such
+    per = maybe_in(runs, "h", bitmap(frequent, "h")).groupBy("id").agg(F.min("m").alias("m"), F.count_if("_ts_in").alias("q"))
+    per = common.stored(per, "line-run-sums")
+    own = maybe_in(runs.select("id", "h"), "h", bitmap(rare, "h")).where("_ts_in").select("id", "h").join(rare, "h").join(per, "id")
+    few = common.stored(firsts(own, F.greatest(F.col("m") - F.col("q") - F.col("k"), F.lit(0))), "line-first-runs")
+    pairs = met_by_runs(few, large, 1)
+    short = common.stored(per.where(5 * (F.col("m") - F.col("q")) <= F.col("m")), "line-frequent")
+    if not short.isEmpty():
+        own = maybe_in(runs.select("id", "h"), "h", bitmap(frequent, "h")).where("_ts_in").select("id", "h").join(short, "id").join(frequent, "h")
+        pairs = pairs.unionByName(met_by_runs(firsts(own, F.col("m") - F.col("q")), large, SHARES))
+    return pairs
 
 
 def within(members: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -270,9 +303,11 @@ def links(table: DataFrame, bands: DataFrame, named: DataFrame, sigs: DataFrame)
     joined = comp.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     left = left_over(bands.select("id", "band"), comp)
     small, large = left.where(F.col("n") <= GROUP).select("id", "band", "c"), left.where(F.col("n") > GROUP).select("id", "c").distinct()
-    groups = small if large.isEmpty() else small.unionByName(rare_groups(common.stored(large, "line-large-bands"), text, some_long))
+    found = within(small, sigs)
+    if not large.isEmpty():
+        found = found.unionByName(run_pairs(common.stored(large, "line-large-bands"), text, some_long)).distinct()
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = common.stored(within(groups, sigs).join(known, ["a", "b"], "left_anti"), "line-pairs")
+    pairs = common.stored(found.join(known, ["a", "b"], "left_anti"), "line-pairs")
     return joined.unionByName(exact(text, pairs, some_long))
 
 

@@ -1,6 +1,7 @@
 """Substring, suffix, line and near-duplicate operators against brute force on small tables."""
 
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
@@ -423,3 +424,16 @@ def test_different_texts_and_vectors_under_one_key(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.0]), (3, [1.0, 0.01])], "vec_id long, embedding array<float>")
     got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(df).collect())
     assert got == [(1, 0, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False)]
+
+
+def test_line_dedup_meets_lines_whose_shared_runs_are_all_frequent(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "GROUP", 2)
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n - 1)) + "x"
+    head, blocks = text(300), [text(30) for _ in range(6)]
+    made = [head + "".join(b) + text(4) for b in itertools.combinations(blocks, 2) for _ in range(8)]
+    rng.shuffle(made)
+    sets = [{p[k : k + 16] for k in range(len(p) - 15)} for p in ("\n" * 15 + x + "\n" * 15 for x in made)]
+    gone = {j for j in range(len(made)) for i in range(j) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])}
+    got = line_dedup.dedup_lines(docs(spark, made)).collect()
+    assert len(gone) == 105 and {r.doc_id for r in got if r.n_removed} == gone
