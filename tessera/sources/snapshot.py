@@ -71,7 +71,8 @@ def download(files: DataFrame, root: str, revision: str, fetch: Fetch, workers:
         raise ValueError("workers and part_bytes must be positive")
     spark = files.sparkSession
     root = sinks.rooted(spark, root).rstrip("/")
-    listed = files.select(F.col("path").cast("string").alias("path"), F.col("size").cast("long").alias("size"))
+    size = F.when(F.col("size") >= 0, F.col("size").cast("long")).otherwise(F.raise_error(F.concat(F.lit("a file without a size: "), F.coalesce("path", F.lit("?")))))
+    listed = files.select(F.col("path").cast("string").alias("path"), size.alias("size"))
     mark = F.udf(lambda p, n: _key(document_sink.safe(p), revision, n), "string")  # fails on a path that leaves the root
     todo = listed.distinct().withColumn("done", mark("path", "size"))
     if not force:
