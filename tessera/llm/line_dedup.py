@@ -12,10 +12,11 @@ of 0.8 shares a band, and nine minima, with probability 0.97, at 0.85 with 0.99.
    settle what large groups of near copies are.
 2. The rest.  Of bands that still hold lines of several components, those of at most ``GROUP`` lines
    are looked at whole: each line looks at all others of another component, and those of which nine
-   minima agree are compared exactly, once.  Lines of larger ones share a frequent passage, so they
-   are met by what is their own, and none at 0.8 is missed: of all runs of these lines in the order
-   of their frequency, two lines at 0.8 share one of the smaller line's first ninth and the larger
-   one's first fifth (``run_pairs``).  Whatever meets so is compared exactly, once.
+   minima agree are compared exactly, once.  Lines of larger ones have much in common, so they are
+   met by what they differ in from their band's leader, and none at 0.8 is missed: a line that
+   doesn't link to the leader shares a known part of these differences with whatever it links to,
+   one of the first of both in the order of their frequency (``met_by_differences``).  Whatever
+   meets so is compared exactly, once.
 3. Union-find over all links; every line but a component's first, by document and place, goes.
 
 Equal lines are one line from the start.  All sides of joins are sorted and spill; hot bands and
@@ -47,10 +48,8 @@ FIVES = 4
 MINIMA = 15
 BANDS = [(0, 1, 2), (3, 4, 5), (6, 7, 8), (9, 10, 11), (12, 13, 14), (0, 4, 8)]
 AGREE = 9
-#: Lines of a band in which all are looked at, and lines that a rare run may be in.
+#: Lines of a band in which all are looked at.
 GROUP = 64
-#: Runs of a task, and shares that the lines of a frequent run are dealt to.
-TASK, SHARES = 1 << 16, 16
 #: Shingles that are hashed from one piece of a line, and from one row.
 PIECE, STEP = 256, 8
 #: Characters of a line whose runs are compared as one array; longer ones are compared row by row.
@@ -166,68 +165,65 @@ def banded(sigs: DataFrame) -> DataFrame:
 
 
 def left_over(bands: DataFrame, comp: DataFrame) -> DataFrame:
-    """(id, band, c, n): lines of bands that hold several components, n lines each."""
-    own = bands.join(comp.withColumnRenamed("node", "id"), "id", "left").select("id", "band", F.coalesce("component", "id").alias("c"))
+    """(id, band, lead, c, n): lines of bands that hold several components, n lines each."""
+    own = bands.join(comp.withColumnRenamed("node", "id"), "id", "left").select("id", "band", "lead", F.coalesce("component", "id").alias("c"))
     per = own.groupBy("band").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
     return common.stored(own.join(per.select("band", "n"), "band"), "line-bands-left")
 
 
-def all_runs(text: DataFrame, some_long: bool) -> DataFrame:
-    """(id, m, h): the distinct runs of each line, and how many they are."""
-    fits = F.length("key") <= LONG
-    own = once((text.where(fits) if some_long else text), units(), "u", "id")
-    got = once(own, run_set("u"), "x", "id").select("id", F.size("x").cast("long").alias("m"), F.explode("x").alias("h"))
+def differences(pairs: DataFrame, text: DataFrame, some_long: bool) -> DataFrame:
+    """(a, b, m, mb, d, h): each run that only one of both lines has, d in all; m and mb are the sizes of their sets."""
+    both = beside(text, pairs)
+    fits = F.greatest(F.length("k_a"), F.length("k_b")) <= LONG
+    got = compared(both.where(fits) if some_long else both)
+    only = F.concat(F.array_except("x", "y"), F.array_except("y", "x"))
+    size = lambda c: F.size(c).cast("long")
+    got = got.select("a", "b", F.explode(F.array(F.struct(size("x").alias("m"), size("y").alias("mb"), only.alias("o")))).alias("t")).select("a", "b", "t.m", "t.mb", size("t.o").alias("d"), F.explode("t.o").alias("h"))
     if some_long:
-        long = pieces(once(text.where(~fits), units(), "u", "id"), "u", "id")
-        long = long.select("id", "u", F.explode(F.sequence(F.lit(1), last_run("u"), F.lit(2))).alias("at")).select("id", run_hash("u", F.col("at")).alias("h")).distinct()
-        got = got.unionByName(long.join(long.groupBy("id").agg(F.count("*").alias("m")), "id").select("id", "m", "h"))
-    return got
-
-
-def firsts(rows: DataFrame, before: Column) -> DataFrame:
-    """(id, m, h, pos): of rows (id, m, h, n) those that may be among the first fifth of a line's runs,
-    least frequent first; ``before`` is how many of a line's runs at least come before these rows."""
-    by = Window.partitionBy("id").orderBy("n", "h")
-    own = rows.withColumn("k", F.count("*").over(Window.partitionBy("id"))).withColumn("pos", before + F.row_number().over(by))
-    return own.where(5 * (F.col("pos") - 1) <= F.col("m")).select("id", "m", "h", "pos")
-
-
-def met_by_runs(firsts: DataFrame, c: DataFrame, shares: int) -> DataFrame:
-    """(a, b): lines of two components that share one of their first runs, and whose sizes allow a link."""
-    own = firsts.join(c, "id")
-    # the smaller line's first ninth; dealt out where a run may be in any number of lines
-    one = own.where(9 * (F.col("pos") - 1) <= F.col("m")).select("h", F.pmod(F.xxhash64("id"), F.lit(shares)).alias("share"), F.col("id").alias("x"), F.col("m").alias("mx"), F.col("c").alias("cx"))
-    other = own.select("h", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))).alias("share"), F.col("id").alias("y"), F.col("m").alias("my"), F.col("c").alias("cy"))
-    met = one.join(other, ["h", "share"]).where("cx <> cy and mx <= my").where(5 * F.col("mx") >= FIVES * F.col("my"))
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
-def run_pairs(large: DataFrame, text: DataFrame, some_long: bool) -> DataFrame:
-    """(a, b): all pairs of lines (id, c) of different components that may be at 0.8, without an estimate.
-
-    The runs of all these lines are in one order, the least frequent first.  Two lines at 0.8 share at least
-    8/9 of the smaller one's runs and 4/5 of the larger one's, so the first run that they share is one of
-    the smaller one's first m / 9 + 1 and of the larger one's first m / 5 + 1.  A run of one line shows
-    nothing.  Lines meet by their runs of at most ``GROUP`` lines, and only lines that have too few of
-    these by more frequent ones as well.
+        per = common.stored(sided(both.where(~fits)), "line-long-runs")
+        sizes = per.groupBy("a", "b").agg(F.count_if(F.col("low") == 1).alias("m"), F.count_if(F.col("high") == 2).alias("mb"), F.count_if(F.col("low") == F.col("high")).alias("d"))
+        got = got.unionByName(per.where("low = high").join(sizes, ["a", "b"]).select("a", "b", "m", "mb", "d", "h"))
+    return common.stored(got, "line-differences")
+
+
+def level(v: str) -> Column:
+    """The power of four of a number: no less for a larger one."""
+    return F.floor(F.log2(v) / 2)
+
+
+def met_by_differences(large: DataFrame, text: DataFrame, some_long: bool) -> DataFrame:
+    """(a, b): of lines (id, lead, c), all pairs of different components that link or may do so, without an estimate.
+
+    Let m and d be the sizes of a line's set and of its difference from the leader, whose set has mb runs.
+    Two sets are at 0.8 if they differ in at most a ninth of their sizes' sum, so
+
+    * a line links to its leader if v = 9 d - m - mb isn't over 0: then it is in the leader's component;
+    * two lines link only if their differences share t runs, 18 t >= (9 d - m) + (9 d' - m'): whatever both
+      have changed alike is no difference of theirs.
+
+    So a line that doesn't link to the leader meets another one of its band by what they changed alike, not by
+    what all of them have.  The differences of a leader's lines are in one order, the least frequent run first;
+    the first run that two share, at places p and p', has t - 1 behind it in both.  That bounds the places
+    where x, with v > 0, may meet y: v <= w = 18 (1 + d' - p') - (9 d' - m') - mb, and 10 (1 + d - p) >= v as no
+    line's size is further from mb than by d'.  Rows of y are dealt out by levels of v, so that those of
+    which w is too small for a line aren't looked at.
     """
-    pool = common.stored(text.join(large.select("id"), "id").select("id", "key"), "line-pool")
-    size = pool.agg(F.coalesce(F.sum(F.length("key") + SHINGLE), F.lit(0))).first()[0]
-    # tasks in proportion to the runs
-    runs = common.stored(all_runs(pool.repartition(1 + size // TASK, "id"), some_long), "line-runs")
-    often = common.stored(runs.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "line-run-counts")
-    rare, frequent = often.where(F.col("n") <= GROUP), often.where(F.col("n") > GROUP)
-    # at most so many runs of a line are frequent: a bitmap may take others for such
-    per = maybe_in(runs, "h", bitmap(frequent, "h")).groupBy("id").agg(F.min("m").alias("m"), F.count_if("_ts_in").alias("q"))
-    per = common.stored(per, "line-run-sums")
-    own = maybe_in(runs.select("id", "h"), "h", bitmap(rare, "h")).where("_ts_in").select("id", "h").join(rare, "h").join(per, "id")
-    few = common.stored(firsts(own, F.greatest(F.col("m") - F.col("q") - F.col("k"), F.lit(0))), "line-first-runs")
-    pairs = met_by_runs(few, large, 1)
-    short = common.stored(per.where(5 * (F.col("m") - F.col("q")) <= F.col("m")), "line-frequent")
-    if not short.isEmpty():
-        own = maybe_in(runs.select("id", "h"), "h", bitmap(frequent, "h")).where("_ts_in").select("id", "h").join(short, "id").join(frequent, "h")
-        pairs = pairs.unionByName(met_by_runs(firsts(own, F.col("m") - F.col("q")), large, SHARES))
-    return pairs
+    pairs = large.where("id <> lead").select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct()
+    own = differences(pairs, text, some_long).withColumn("e", 9 * F.col("d") - F.col("m"))
+    c = lambda k: large.select(F.col("id").alias(k), F.col("lead").alias("b"), "c")
+    near = own.where("e <= mb").select("a", "b").distinct().join(c("a"), ["a", "b"]).join(c("a").where("a = b").select("b", F.col("c").alias("cb")), "b").where("c <> cb").select("a", "b")
+    often = own.groupBy("b", "h").agg(F.count("*").alias("n")).where("n > 1")
+    per = Window.partitionBy("b", "a")
+    # runs of one line only come first
+    place = F.col("d") - F.count("*").over(per) + F.row_number().over(per.orderBy("n", "h"))
+    own = own.join(often, ["b", "h"]).withColumn("rest", 1 + F.col("d") - place)
+    own = own.select("b", "h", "a", "e", (F.col("e") - F.col("mb")).alias("v"), "rest", (18 * F.col("rest") - F.col("e") - F.col("mb")).alias("w"))
+    own = own.where("v > 0 and 10 * rest >= v or w > 0").join(c("a"), ["a", "b"])
+    own = common.stored(own, "line-changes")
+    x = own.where("v > 0 and 10 * rest >= v").select("b", "h", level("v").alias("level"), F.col("a").alias("x"), F.col("v").alias("vx"), (18 * F.col("rest") - F.col("e")).alias("zx"), F.col("c").alias("cx"))
+    y = own.where("w > 0").select("b", "h", F.explode(F.sequence(F.lit(0).cast("long"), level("w"))).alias("level"), F.col("a").alias("y"), "e", "w", F.col("v").alias("vy"), F.col("c").alias("cy"))
+    met = x.join(y, ["b", "h", "level"]).where("cx <> cy and vx <= w and e <= zx and (vy <= 0 or x < y)")
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).unionByName(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
 
 
 def within(members: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -255,24 +251,33 @@ def compared(both: DataFrame) -> DataFrame:
     return own.select("a", "b", F.explode(F.array(F.struct(run_set("u").alias("x"), run_set("v").alias("y")))).alias("s")).select("a", "b", "s.x", "s.y")
 
 
-def counted(both: DataFrame) -> DataFrame:
-    """(a, b) that link, for texts of any length: every run of both is a row, counted once."""
+def sided(both: DataFrame) -> DataFrame:
+    """(a, b, h, low, high): every run of both texts once, with the least and greatest side that has it, 1 or 2."""
     both = both.repartition(4 * common.partitions(both.sparkSession), "a", "b")
     sides = both.select("a", "b", F.explode(F.array(F.struct(F.lit(1).alias("side"), F.col("k_a").alias("k")), F.struct(F.lit(2).alias("side"), F.col("k_b").alias("k")))).alias("x"))
     runs = pieces(sides.select("a", "b", "x.side", units("x.k").alias("u")), "u", "a", "b", "side")
     runs = runs.select("a", "b", "side", "u", F.explode(F.sequence(F.lit(1), last_run("u"), F.lit(2))).alias("at")).select("a", "b", "side", run_hash("u", F.col("at")).alias("h"))
-    per = runs.groupBy("a", "b", "h").agg(F.min("side").alias("low"), F.max("side").alias("high"))
-    per = per.groupBy("a", "b").agg(F.count_if(F.col("low") < F.col("high")).alias("both"), F.count("*").alias("all"))
+    return runs.groupBy("a", "b", "h").agg(F.min("side").alias("low"), F.max("side").alias("high"))
+
+
+def counted(both: DataFrame) -> DataFrame:
+    """(a, b) that link, for texts of any length: every run of both is a row, counted once."""
+    per = sided(both).groupBy("a", "b").agg(F.count_if(F.col("low") < F.col("high")).alias("both"), F.count("*").alias("all"))
     return per.where(5 * F.col("both") >= FIVES * F.col("all")).select("a", "b")
 
 
-def exact(text: DataFrame, pairs: DataFrame, some_long: bool) -> DataFrame:
-    """The pairs (a, b) whose sets of all runs are similar enough.
+def beside(text: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b, k_a, k_b): pairs with their texts.
 
     ``b``, which may be one line for many, is met first, so that the comparisons are spread by ``a``.
     """
     side = lambda x: text.select(F.col("id").alias(x), F.col("key").alias(f"k_{x}"))
-    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    return pairs.join(side("b"), "b").join(side("a"), "a")
+
+
+def exact(text: DataFrame, pairs: DataFrame, some_long: bool) -> DataFrame:
+    """The pairs (a, b) whose sets of all runs are similar enough."""
+    both = beside(text, pairs)
     fits = F.greatest(F.length("k_a"), F.length("k_b")) <= LONG
     got = compared(both.where(fits) if some_long else both)
     got = got.where((5 + FIVES) * F.size(F.array_intersect("x", "y")) >= FIVES * (F.size("x") + F.size("y"))).select("a", "b")
@@ -301,11 +306,11 @@ def links(table: DataFrame, bands: DataFrame, named: DataFrame, sigs: DataFrame)
     comp = common.stored(common.components(found), "line-components")
     # what the links so far join, as one link a line
     joined = comp.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    left = left_over(bands.select("id", "band"), comp)
-    small, large = left.where(F.col("n") <= GROUP).select("id", "band", "c"), left.where(F.col("n") > GROUP).select("id", "c").distinct()
+    left = left_over(bands, comp)
+    small, large = left.where(F.col("n") <= GROUP).select("id", "band", "c"), left.where(F.col("n") > GROUP).select("id", "lead", "c").distinct()
     found = within(small, sigs)
     if not large.isEmpty():
-        found = found.unionByName(run_pairs(common.stored(large, "line-large-bands"), text, some_long)).distinct()
+        found = found.unionByName(met_by_differences(common.stored(large, "line-large-bands"), text, some_long)).distinct()
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = common.stored(found.join(known, ["a", "b"], "left_anti"), "line-pairs")
     return joined.unionByName(exact(text, pairs, some_long))

@@ -437,3 +437,32 @@ def test_line_dedup_meets_lines_whose_shared_runs_are_all_frequent(spark, monkey
     gone = {j for j in range(len(made)) for i in range(j) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])}
     got = line_dedup.dedup_lines(docs(spark, made)).collect()
     assert len(gone) == 105 and {r.doc_id for r in got if r.n_removed} == gone
+
+
+@pytest.mark.parametrize("long", [line_dedup.LONG, 300])
+def test_lines_of_a_large_band_meet_by_what_they_differ_in(spark, monkeypatch, long):
+    monkeypatch.setattr(line_dedup, "LONG", long)
+    rng = random.Random(12)
+    w = vocabulary(4000)
+    base = [rng.choice(w) for _ in range(60)]
+
+    def edit(words, k):
+        words = list(words)
+        for at in rng.sample(range(len(words)), k):
+            words[at] = rng.choice(w)
+        return words
+
+    made = [base] + [edit(base, k % 8) for k in range(200)]
+    made += [edit(x, 1) for x in made[5::10]]
+    lines = dict(enumerate(sorted({" ".join(x) for x in made if x != base})))
+    leader = len(lines)
+    sets = {k: runs_of_16(x) for k, x in (lines | {leader: " ".join(base)}).items()}
+    alike = lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
+    text = spark.createDataFrame([*lines.items(), (leader, " ".join(base))], "id long, key string")
+    large = text.selectExpr("id", f"bigint({leader}) AS lead", "id AS c")
+    met = [(r.a, r.b) for r in line_dedup.met_by_differences(large, text, long == 300).collect()]
+    found = {p for p in met if alike(*p)}
+    assert len(met) == len(set(met)) < 0.06 * leader * leader / 2  # nearly all have a similarity over 0.5
+    ids = {k: k for k in sets}
+    assert brute_components(ids, lambda a, b: (min(a, b), max(a, b)) in found) == brute_components(ids, alike)
+    assert any(leader not in p for p in found)
