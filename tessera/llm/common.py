@@ -59,19 +59,24 @@ def resident(key, make):
     that a worker which serves several operators holds the memory of one."""
     if key not in _RESIDENT:
         _RESIDENT.clear()
-        gc.collect()
+        trim()
         _RESIDENT[key] = make()
     return _RESIDENT[key]
 
 
-def trim() -> None:
-    """Give freed memory back at the end of a task: idle workers then leave room for what runs next."""
-    gc.collect()
+def release() -> None:
+    """Give freed memory back: what one piece of work has freed, the allocators else keep beside what the next takes."""
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def trim() -> None:
+    """Give freed memory back at the end of a task: idle workers then leave room for what runs next."""
+    gc.collect()
+    release()
+
+
 def exchange(df: DataFrame, n: int, bucket: str = "bucket") -> DataFrame:
     """Send each row to the partition that its bucket numbers."""
     return df.repartitionById(n, F.col(bucket))

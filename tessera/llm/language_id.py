@@ -249,6 +249,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 pred = np.where(known, names[best], UNKNOWN)
                 cols = [part.column(part.schema.get_field_index(c)) for c in kept]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(pred.astype(str).tolist(), pa.string()), pa.array(np.where(known, score, 0.0))], [*kept, "lang_pred", "score"])
+                common.release()
         common.trim()
 
     return docs.select(*kept).mapInArrow(run, schema)

@@ -113,6 +113,8 @@ def edges(match: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray, np.nd
 
 #: Words up to that many bytes share a rectangle with their equals only; longer ones with those up to a fifth longer.
 SHORT, GROWTH = 32, 1.2
+#: Bytes of the words of a rectangle, where these are several: what is worked out for it is many times as large.
+CELLS = 1 << 16
 
 
 def rectangles(start: np.ndarray, length: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -120,10 +122,11 @@ def rectangles(start: np.ndarray, length: np.ndarray) -> Iterator[tuple[int, np.
     grade = np.where(length <= SHORT, length, SHORT + np.ceil(np.log(np.maximum(length, 1) / SHORT) / np.log(GROWTH))).astype(np.int64)
     order = np.argsort(grade, kind="stable")
     for part in np.split(order, np.flatnonzero(np.diff(grade[order])) + 1):
-        for at in range(0, len(part), 8_192):
-            some = part[at : at + 8_192]
-            if len(some):
-                yield int(length[some].max()), some
+        if len(part):
+            size = int(length[part].max())
+            step = max(1, CELLS // max(size, 1))
+            for at in range(0, len(part), step):
+                yield size, part[at : at + step]
 
 
 def prefixed(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

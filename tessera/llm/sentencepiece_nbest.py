@@ -259,6 +259,7 @@ def encode(docs: DataFrame, path: str, n_best: int = N_BEST, alternatives: bool
                 part = batch.slice(i, j - i)
                 cols = [part.column(part.schema.get_field_index(c)) for c in kept]
                 yield pa.RecordBatch.from_arrays([*cols, ids, scores] + [_nested(others)] * alternatives, names)
+                common.release()
         common.trim()
 
     return docs.select(*kept).mapInArrow(run, schema)

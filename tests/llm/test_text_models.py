@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 import corpus_pipeline  # noqa: E402
-from tessera.llm import common, kernels, language_id, mixing, queries, sentencepiece_nbest, token_shards, topk_nra  # noqa: E402
+from tessera.llm import common, kernels, language_id, lattice, mixing, queries, sentencepiece_nbest, token_shards, topk_nra  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 ODD = [
@@ -419,3 +419,18 @@ def test_language_model_learns_from_one_row_an_id(spark, monkeypatch):
     model = language_id.train(df, public_tokenizers.path("piece_bpe_32k.model"))
     texts, labels = seen[0]
     assert sorted(labels) == ["de", "en"] and model.languages == ["de", "en"] and sum(map(len, texts)) <= 10_000
+
+
+def test_words_of_a_rectangle_are_bounded_by_their_bytes():
+    length = np.array([180] * 5000 + [7] * 20_000 + [200_000])
+    got = list(lattice.rectangles(np.zeros(len(length), np.int64), length))
+    assert all(size * len(part) <= lattice.CELLS or len(part) == 1 for size, part in got)
+    assert sorted(np.concatenate([part for _, part in got]).tolist()) == list(range(len(length)))
+
+
+def test_a_workers_last_model_leaves_no_memory_behind(monkeypatch):
+    order = []
+    monkeypatch.setattr(common, "_RESIDENT", {"old": bytearray(10)})
+    monkeypatch.setattr(common, "trim", lambda: order.append(("trim", dict(common._RESIDENT))))
+    assert common.resident("new", lambda: order.append("made") or 5) == common.resident("new", None) == 5
+    assert order == [("trim", {}), "made"]
