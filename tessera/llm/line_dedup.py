@@ -51,7 +51,7 @@ AGREE = 9
 #: Lines of a band in which all are looked at.
 GROUP = 64
 #: Shingles that are hashed from one piece of a line, and from one row.
-PIECE, STEP = 256, 8
+PIECE, STEP = 256, 32
 #: Characters of a line whose runs are compared as one array; longer ones are compared row by row.
 LONG = 1 << 18
 #: Bits of a broadcast bitmap: 2 MB at any size of the input.
@@ -85,19 +85,22 @@ def line_check(key: str = "key") -> Column:
 
 
 def bitmap(values: DataFrame, c: str) -> DataFrame:
-    """At most ``BITS / 32768`` rows of bits that are set for the values of a column."""
+    """At most ``BITS / 32768`` rows of bits that are set for the values of a column, as arrays of 64-bit words."""
     at = F.pmod(F.col(c), F.lit(BITS))
-    return values.groupBy(F.bitmap_bucket_number(at).alias("_ts_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("_ts_bits"))
+    bits = values.groupBy(F.bitmap_bucket_number(at).alias("_ts_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("_ts_bits"))
+    # a word is looked up without a copy of all of them, as a slice of binary would make
+    word = lambda b, k: F.conv(F.hex(F.substring(b, 8 * k + 1, F.lit(8))), 16, -10).cast("long")
+    words = F.transform(F.array("_ts_bits"), lambda b: F.transform(F.sequence(F.lit(0), F.lit(511)), lambda k: word(b, k)))[0]
+    return bits.select("_ts_bucket", words.alias("_ts_bits"))
 
 
 def maybe_in(rows: DataFrame, c: str, bits: DataFrame) -> DataFrame:
     """Rows with ``_ts_in``: false only where the column's value isn't among those of the bitmap."""
     at = F.pmod(F.col(c), F.lit(BITS))
-    pos = F.bitmap_bit_position(at)
-    byte = F.conv(F.hex(F.expr("substring(_ts_bits, int(_ts_pos div 8) + 1, 1)")), 16, 10).cast("int")
-    got = rows.withColumn("_ts_bucket", F.bitmap_bucket_number(at)).withColumn("_ts_pos", pos).join(F.broadcast(bits), "_ts_bucket", "left")
-    hit = F.coalesce(F.getbit(byte, F.expr("int(_ts_pos % 8)")) == 1, F.lit(False))
-    return got.withColumn("_ts_in", hit).drop("_ts_bucket", "_ts_bits", "_ts_pos")
+    got = rows.withColumn("_ts_bucket", F.bitmap_bucket_number(at)).withColumn("_ts_pos", F.bitmap_bit_position(at).cast("int")).join(F.broadcast(bits), "_ts_bucket", "left")
+    # the first of a word's bytes is its highest
+    hit = F.expr("getbit(_ts_bits[int(_ts_pos div 64)], 8 * (7 - int(_ts_pos div 8) % 8) + _ts_pos % 8)") == 1
+    return got.withColumn("_ts_in", F.coalesce(hit, F.lit(False))).drop("_ts_bucket", "_ts_bits", "_ts_pos")
 
 
 def units(key: str = "key") -> Column:
@@ -106,7 +109,7 @@ def units(key: str = "key") -> Column:
     return F.encode(F.concat(ends, F.col(key), ends), "UTF-16BE")
 
 
-def last_run(u: str) -> Column:
+def last_run(u: Column | str) -> Column:
     """Where the last run of a text begins, from 1."""
     return F.greatest(F.lit(1), F.length(u) - (2 * SHINGLE - 1))
 
@@ -171,19 +174,25 @@ def left_over(bands: DataFrame, comp: DataFrame) -> DataFrame:
     return common.stored(own.join(per.select("band", "n"), "band"), "line-bands-left")
 
 
-def differences(pairs: DataFrame, text: DataFrame, some_long: bool) -> DataFrame:
-    """(a, b, m, mb, d, h): each run that only one of both lines has, d in all; m and mb are the sizes of their sets."""
-    both = beside(text, pairs)
+def differences(pairs: DataFrame, text: DataFrame, some_long: bool) -> tuple[DataFrame, DataFrame | None]:
+    """The runs that only one line of each pair (a, b, c) has.
+
+    First (a, b, c, m, mb, more, less), one row a pair: m and mb are the sizes of the sets, ``more`` is what
+    only a has, ``less`` what only b has.  Then, for pairs with a long line, (a, b, c, m, mb, d, h, mine), one
+    row a run; d is the number of these.
+    """
+    both = beside(text, pairs.select("a", "b"))
     fits = F.greatest(F.length("k_a"), F.length("k_b")) <= LONG
     got = compared(both.where(fits) if some_long else both)
-    only = F.concat(F.array_except("x", "y"), F.array_except("y", "x"))
     size = lambda c: F.size(c).cast("long")
-    got = got.select("a", "b", F.explode(F.array(F.struct(size("x").alias("m"), size("y").alias("mb"), only.alias("o")))).alias("t")).select("a", "b", "t.m", "t.mb", size("t.o").alias("d"), F.explode("t.o").alias("h"))
-    if some_long:
-        per = common.stored(sided(both.where(~fits)), "line-long-runs")
-        sizes = per.groupBy("a", "b").agg(F.count_if(F.col("low") == 1).alias("m"), F.count_if(F.col("high") == 2).alias("mb"), F.count_if(F.col("low") == F.col("high")).alias("d"))
-        got = got.unionByName(per.where("low = high").join(sizes, ["a", "b"]).select("a", "b", "m", "mb", "d", "h"))
-    return common.stored(got, "line-differences")
+    got = got.select("a", "b", size(F.array_distinct("x")).alias("m"), size(F.array_distinct("y")).alias("mb"), F.array_except("x", "y").alias("more"), F.array_except("y", "x").alias("less"))
+    got = common.stored(got.join(pairs, ["a", "b"]), "line-differences")
+    if not some_long:
+        return got, None
+    per = common.stored(sided(both.where(~fits)), "line-long-runs")
+    sizes = per.groupBy("a", "b").agg(F.count_if(F.col("low") == 1).alias("m"), F.count_if(F.col("high") == 2).alias("mb"), F.count_if(F.col("low") == F.col("high")).alias("d"))
+    per = per.where("low = high").join(sizes.join(pairs, ["a", "b"]), ["a", "b"])
+    return got, common.stored(per.select("a", "b", "c", "m", "mb", "d", "h", (F.col("low") == 1).alias("mine")), "line-long-differences")
 
 
 def level(v: str) -> Column:
@@ -202,24 +211,45 @@ def met_by_differences(large: DataFrame, text: DataFrame, some_long: bool) -> Da
       have changed alike is no difference of theirs.
 
     So a line that doesn't link to the leader meets another one of its band by what they changed alike, not by
-    what all of them have.  The differences of a leader's lines are in one order, the least frequent run first;
+    what all of them have.  The differences of a leader's lines are in one order: runs of one line only, then
+    others by levels of how many lines have them, of a level first what only the leader has, the least frequent
+    first.  What only the leader has are runs of one line, so their order is one array a leader, from which
+    those of a line are cut; only what the leader hasn't meets its counts as rows.
+    In that order,
     the first run that two share, at places p and p', has t - 1 behind it in both.  That bounds the places
     where x, with v > 0, may meet y: v <= w = 18 (1 + d' - p') - (9 d' - m') - mb, and 10 (1 + d - p) >= v as no
     line's size is further from mb than by d'.  Rows of y are dealt out by levels of v, so that those of
     which w is too small for a line aren't looked at.
     """
-    pairs = large.where("id <> lead").select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct()
-    own = differences(pairs, text, some_long).withColumn("e", 9 * F.col("d") - F.col("m"))
-    c = lambda k: large.select(F.col("id").alias(k), F.col("lead").alias("b"), "c")
-    near = own.where("e <= mb").select("a", "b").distinct().join(c("a"), ["a", "b"]).join(c("a").where("a = b").select("b", F.col("c").alias("cb")), "b").where("c <> cb").select("a", "b")
-    often = own.groupBy("b", "h").agg(F.count("*").alias("n")).where("n > 1")
-    per = Window.partitionBy("b", "a")
-    # runs of one line only come first
-    place = F.col("d") - F.count("*").over(per) + F.row_number().over(per.orderBy("n", "h"))
-    own = own.join(often, ["b", "h"]).withColumn("rest", 1 + F.col("d") - place)
-    own = own.select("b", "h", "a", "e", (F.col("e") - F.col("mb")).alias("v"), "rest", (18 * F.col("rest") - F.col("e") - F.col("mb")).alias("w"))
-    own = own.where("v > 0 and 10 * rest >= v or w > 0").join(c("a"), ["a", "b"])
-    own = common.stored(own, "line-changes")
+    pairs = large.where("id <> lead").select(F.col("id").alias("a"), F.col("lead").alias("b"), "c").distinct()
+    own, long = differences(pairs, text, some_long)
+    own = own.withColumn("d", (F.size("more") + F.size("less")).cast("long"))
+    head = ["a", "b", "c", "m", "mb", "d"]
+    each = own.select(*head) if long is None else own.select(*head).unionByName(long.select(*head).distinct())
+    near = each.where("9 * d - m <= mb").join(large.where("id = lead").select(F.col("lead").alias("b"), F.col("c").alias("cb")).distinct(), "b").where("c <> cb").select("a", "b")
+    often = lambda runs: runs.groupBy("b", "h").agg(F.count("*").alias("n")).where("n > 1").withColumn("level", F.floor(F.log2("n")))
+    mine, theirs = own.select("b", F.explode("more").alias("h")), own.select("b", F.explode("less").alias("h"))
+    if long is not None:
+        mine, theirs = mine.unionByName(long.where("mine").select("b", "h")), theirs.unionByName(long.where("not mine").select("b", "h"))
+    mine, theirs = often(mine), often(theirs)
+    order = theirs if long is None else theirs.join(own.select("b").distinct(), "b", "left_semi")
+    order = order.groupBy("b", "level").agg(F.sort_array(F.collect_list(F.struct("n", "h")))["h"].alias("hs")).groupBy("b").agg(F.collect_list(F.struct("level", "hs")).alias("order"))
+    place = lambda level, mine, n, h: F.struct(level.alias("level"), mine.alias("mine"), n.cast("long").alias("n"), h.alias("h"))
+    more = own.select("a", "b", F.explode("more").alias("h")).join(mine, ["b", "h"]).groupBy("a", "b").agg(F.collect_list(place(F.col("level"), F.lit(True), F.col("n"), F.col("h"))).alias("some"))
+    less = F.flatten(F.transform("order", lambda o: F.transform(F.array_intersect(o["hs"], F.col("less")), lambda h, n: place(o["level"], F.lit(False), n, h))))
+    none = F.array().cast("array<struct<level:bigint,mine:boolean,n:bigint,h:bigint>>")
+    rows = own.join(order, "b", "left").select(*head, F.coalesce(less, none).alias("less")).join(more, ["a", "b"], "left")
+    rows = once(rows, F.sort_array(F.concat("less", F.coalesce("some", none)))["h"], "hs", *head)
+    # rest: how many runs that others have, this one too, are left from here on
+    rows = rows.select(*head, F.size("hs").alias("k"), F.posexplode("hs").alias("at", "h")).select(*head, "h", (F.col("k") - F.col("at")).cast("long").alias("rest"))
+    if long is not None:
+        per = Window.partitionBy("b", "a")
+        both = long.join(mine.unionByName(theirs), ["b", "h"])
+        rest = 1 + F.count("*").over(per) - F.row_number().over(per.orderBy("level", "mine", "n", "h"))
+        rows = rows.unionByName(both.select(*head, "h", rest.cast("long").alias("rest")))
+    own = rows.withColumn("e", 9 * F.col("d") - F.col("m"))
+    own = own.select("b", "h", "a", "c", "e", (F.col("e") - F.col("mb")).alias("v"), "rest", (18 * F.col("rest") - F.col("e") - F.col("mb")).alias("w"))
+    own = common.stored(own.where("v > 0 and 10 * rest >= v or w > 0"), "line-changes")
     x = own.where("v > 0 and 10 * rest >= v").select("b", "h", level("v").alias("level"), F.col("a").alias("x"), F.col("v").alias("vx"), (18 * F.col("rest") - F.col("e")).alias("zx"), F.col("c").alias("cx"))
     y = own.where("w > 0").select("b", "h", F.explode(F.sequence(F.lit(0).cast("long"), level("w"))).alias("level"), F.col("a").alias("y"), "e", "w", F.col("v").alias("vy"), F.col("c").alias("cy"))
     met = x.join(y, ["b", "h", "level"]).where("cx <> cy and vx <= w and e <= zx and (vy <= 0 or x < y)")
@@ -239,16 +269,19 @@ def within(members: DataFrame, sigs: DataFrame) -> DataFrame:
     return found.select(F.col("id").alias("a"), F.col("x.id").alias("b")).distinct()
 
 
-def run_set(u: str) -> Column:
-    """The distinct hashes of all runs of a text, as an array."""
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), last_run(u), F.lit(2)), lambda at: run_hash(u, at)))
+def run_list(key: str) -> Column:
+    """The hashes of all runs of a text, as an array.
+
+    The text is a variable of the outer ``transform``: as a column of a row it would be copied for each run.
+    """
+    own = lambda u: F.transform(F.sequence(F.lit(1), last_run(u), F.lit(2)), lambda at: run_hash(u, at))
+    return F.transform(F.array(units(key)), own)[0]
 
 
 def compared(both: DataFrame) -> DataFrame:
-    """(a, b, x, y): the sets of all runs of both texts, as arrays of distinct hashes."""
-    # exploded, so that each text is encoded once and each set made once
-    own = both.select("a", "b", F.explode(F.array(F.struct(units("k_a").alias("u"), units("k_b").alias("v")))).alias("t")).select("a", "b", "t.u", "t.v")
-    return own.select("a", "b", F.explode(F.array(F.struct(run_set("u").alias("x"), run_set("v").alias("y")))).alias("s")).select("a", "b", "s.x", "s.y")
+    """(a, b, x, y): the hashes of all runs of both texts, as arrays."""
+    # exploded, so that each array is made once
+    return both.select("a", "b", F.explode(F.array(F.struct(run_list("k_a").alias("x"), run_list("k_b").alias("y")))).alias("s")).select("a", "b", "s.x", "s.y")
 
 
 def sided(both: DataFrame) -> DataFrame:
@@ -280,7 +313,9 @@ def exact(text: DataFrame, pairs: DataFrame, some_long: bool) -> DataFrame:
     both = beside(text, pairs)
     fits = F.greatest(F.length("k_a"), F.length("k_b")) <= LONG
     got = compared(both.where(fits) if some_long else both)
-    got = got.where((5 + FIVES) * F.size(F.array_intersect("x", "y")) >= FIVES * (F.size("x") + F.size("y"))).select("a", "b")
+    union = F.size(F.array_union("x", "y"))
+    # most pairs are told by the union alone: no set is larger than its array
+    got = got.where(F.when((5 + FIVES) * union <= 5 * (F.size("x") + F.size("y")), 5 * F.size(F.array_intersect("x", "y")) >= FIVES * union)).select("a", "b")
     return common.stored(got.unionByName(counted(both.where(~fits))) if some_long else got, "line-links")
 
 
@@ -297,7 +332,7 @@ def links(table: DataFrame, bands: DataFrame, named: DataFrame, sigs: DataFrame)
     text = table.where(F.col("key").isNotNull()).select("id", "check", "key").groupBy("id").agg(F.min("key").alias("key"), F.min("check").alias("low"), F.max("check").alias("high"))
     text = common.stored(text.where("low = high").join(named, "id").select("id", "key"), "line-texts")
     some_long = not text.where(F.length("key") > LONG).isEmpty()
-    sigs = common.stored(sigs.join(named, "id"), "line-signatures")
+    sigs = common.stored(maybe_in(sigs, "id", bitmap(named, "id")).where("_ts_in").join(named, "id").select("id", "sig"), "line-signatures")
     side = lambda x: sigs.select(F.col("id").alias(x), *minima(f"s_{x}"))
     pairs = ordered(bands.select(F.col("id").alias("a"), F.col("lead").alias("b"))).join(side("a"), "a").join(side("b"), "b")
     pairs = pairs.where(agreement("s_a", "s_b") >= AGREE).select("a", "b")

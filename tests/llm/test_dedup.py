@@ -439,6 +439,27 @@ def test_line_dedup_meets_lines_whose_shared_runs_are_all_frequent(spark, monkey
     assert len(gone) == 105 and {r.doc_id for r in got if r.n_removed} == gone
 
 
+def test_what_lines_lack_of_their_leader_makes_no_rows_to_join(spark, monkeypatch):
+    rng = random.Random(3)
+    base = "".join(rng.choices("abcdefgh", k=400))
+    lines = {k: base[:at] + base[at + 40 :] for k, at in enumerate(range(0, 360, 4))}
+    text = spark.createDataFrame([*lines.items(), (900, base)], "id long, key string")
+    stored, kept = common.stored, {}
+    monkeypatch.setattr(common, "stored", lambda df, name: kept.setdefault(name, stored(df, name)))
+    large = text.selectExpr("id", "bigint(900) AS lead", "id AS c")
+    met = {(r.a, r.b) for r in line_dedup.met_by_differences(large, text, False).collect()}
+    assert met == {(a, 900) for a in lines}  # all link to it
+    assert kept["line-differences"].count() == len(lines)  # a row for each line, none for each run
+
+
+def test_a_bitmap_holds_every_value(spark):
+    ids = [x * 2654435761 - 2**40 for x in range(3000)]
+    df = spark.createDataFrame([(x,) for x in ids], "id long")
+    got = {r.id: r._ts_in for r in line_dedup.maybe_in(df, "id", line_dedup.bitmap(df.where("id % 3 = 0"), "id")).collect()}
+    rest = {x % line_dedup.BITS for x in ids if x % 3 == 0}
+    assert got == {x: x % line_dedup.BITS in rest for x in ids}
+
+
 @pytest.mark.parametrize("long", [line_dedup.LONG, 300])
 def test_lines_of_a_large_band_meet_by_what_they_differ_in(spark, monkeypatch, long):
     monkeypatch.setattr(line_dedup, "LONG", long)
