@@ -86,12 +86,13 @@ def spine(videos: DataFrame, video: str = "video") -> DataFrame:
 def frame_records(videos: DataFrame, tracks: DataFrame, predictions: DataFrame, video: str = "video") -> DataFrame:
     """One record for each frame of each video, hands in order (JOIN1, JOIN2, PRJ6).
 
-    A hand is there where both its track and its prediction are.
+    A hand is there where both its track and its prediction are.  Exploded rows and keypoints are far more
+    than Spark reckons from their files, so no side of these joins may be broadcast.
     """
     box = F.transform("bbox_xyxy", lambda x: F.bround(x, 4))
-    both = tracks.join(predictions, [video, "hand", "frame_index"]).select(video, "frame_index", F.struct(F.col("hand").alias("handedness"), box.alias("bbox_xyxy"), (~F.col("detected")).alias("bbox_interpolated"), null_nan(F.col("score"), 6).alias("detection_score"), "keypoints_2d", "keypoints_3d").alias("h"))
+    both = tracks.hint("merge").join(predictions.hint("merge"), [video, "hand", "frame_index"]).select(video, "frame_index", F.struct(F.col("hand").alias("handedness"), box.alias("bbox_xyxy"), (~F.col("detected")).alias("bbox_interpolated"), null_nan(F.col("score"), 6).alias("detection_score"), "keypoints_2d", "keypoints_3d").alias("h"))
     hands = both.groupBy(video, "frame_index").agg(F.array_sort(F.collect_list("h")).alias("hands"))
-    full = spine(videos, video).join(hands, [video, "frame_index"], "left")
+    full = spine(videos, video).join(hands.hint("merge"), [video, "frame_index"], "left")
     return full.withColumn("hands", F.coalesce("hands", F.filter(F.col("hands"), lambda x: F.lit(False)), F.array()))
 
 

@@ -178,3 +178,15 @@ def test_keypoints_leave_a_worker_in_small_pieces():
     assert max(map(len, parts)) <= models.POSED
     whole = pd.concat(parts)
     assert list(whole["video"]) == list(batch["video"]) and [o[0]["keypoints_2d"][0][0] for o in whole["outputs"]] == list(range(1000))
+
+
+def test_frame_records_broadcast_neither_tracks_nor_keypoints(spark):
+    videos = spark.range(1, 4).select(F.col("id").cast("string").alias("video"), F.lit(640).alias("width"), F.lit(480).alias("height"), F.lit(0.0).alias("fps"), (F.col("id") * 20).cast("int").alias("frame_count"))
+    frames = programs.estimate_hands(videos, models.ModelSpec("fake tracker", lambda name: models.FakeTracker()), models.ModelSpec("fake pose", lambda name: models.FakePose()))[0]
+    before = frames._jdf.queryExecution().executedPlan().toString()
+    got = frames.orderBy("video", "frame_index").collect()
+    assert [(r.video, r.frame_index) for r in got] == [(str(v), k) for v in (1, 2, 3) for k in range(20 * v)]
+    assert all([h.keypoints_2d[0] == [r.frame_index + 5.0] * 2 for h in r.hands] == [True] * (1 if r.frame_index == 20 * int(r.video) - 1 else 2) for r in got)
+    frames.collect()
+    after = frames._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in before and "Broadcast" not in before + after and "isFinalPlan=true" in after
